@@ -14,7 +14,7 @@ _TYPES = {
 }
 
 
-def _table(text: str) -> T.StructType:
+def describe(text: str) -> T.StructType:
     """One column per line: name, type, `!` when required, then an optional comment."""
     fields = []
     for line in text.strip().splitlines():
@@ -39,7 +39,7 @@ _silver_updated_at timestamp
 """
 
 CONTROL = {
-    "ctl_ingest_log": _table("""
+    "ctl_ingest_log": describe("""
         run_id string           # one id per run
         source string
         dataset string
@@ -53,19 +53,19 @@ CONTROL = {
         error_message string
         ingested_at_utc timestamp
     """),
-    "ctl_watermark": _table("""
+    "ctl_watermark": describe("""
         source string
         dataset string
         area_key string
         loaded_until_utc timestamp   # loaded up to, not including
         updated_at_utc timestamp
     """),
-    "ctl_silver_state": _table("""
+    "ctl_silver_state": describe("""
         dataset string
         processed_until_ingested_at timestamp
         updated_at_utc timestamp
     """),
-    "dq_quarantine": _table("""
+    "dq_quarantine": describe("""
         table_name string
         record_key string
         rule_name string
@@ -73,7 +73,7 @@ CONTROL = {
         source_file string
         detected_at timestamp
     """),
-    "dq_check_result": _table("""
+    "dq_check_result": describe("""
         run_id string
         checked_at timestamp
         check_name string
@@ -84,7 +84,7 @@ CONTROL = {
         status string
         details string
     """),
-    "gold_run_log": _table("""
+    "gold_run_log": describe("""
         run_started_utc timestamp !
         run_finished_utc timestamp !
         checked_from_date date !
@@ -95,14 +95,14 @@ CONTROL = {
 }
 
 SILVER = {
-    "silver_load": _table("""
+    "silver_load": describe("""
         area_code string !
         ts_utc timestamp !      # start of the interval
         resolution_minutes int !
         load_mw double
         energy_mwh double       # load_mw * resolution_minutes / 60
     """ + _LINEAGE_COLUMNS),
-    "silver_generation": _table("""
+    "silver_generation": describe("""
         area_code string !
         ts_utc timestamp !
         resolution_minutes int !
@@ -112,13 +112,13 @@ SILVER = {
         energy_mwh double
         co2e_kg double          # NULL when there is no factor
     """ + _LINEAGE_COLUMNS),
-    "silver_price": _table("""
+    "silver_price": describe("""
         area_code string !
         ts_utc timestamp !
         resolution_minutes int !
         price_eur_mwh double
     """ + _LINEAGE_COLUMNS),
-    "silver_flow": _table("""
+    "silver_flow": describe("""
         from_area_code string !
         to_area_code string !
         ts_utc timestamp !
@@ -126,7 +126,7 @@ SILVER = {
         flow_mw double
         energy_mwh double
     """ + _LINEAGE_COLUMNS),
-    "silver_weather_hourly": _table("""
+    "silver_weather_hourly": describe("""
         location_code string !
         country_code string !
         ts_utc timestamp !
@@ -138,7 +138,7 @@ SILVER = {
         precipitation double
         data_source string !    # archive or forecast
     """ + _LINEAGE_COLUMNS),
-    "silver_weather_country_hourly": _table("""
+    "silver_weather_country_hourly": describe("""
         country_code string !
         ts_utc timestamp !
         temperature_2m double
@@ -149,7 +149,7 @@ SILVER = {
         archive_share double    # share of the weight that is observed
         _silver_updated_at timestamp
     """),
-    "silver_holiday": _table("""
+    "silver_holiday": describe("""
         country_code string !
         holiday_date date !
         local_name string
@@ -158,7 +158,7 @@ SILVER = {
         _source_file string
         _silver_updated_at timestamp
     """),
-    "silver_kpi_threshold": _table("""
+    "silver_kpi_threshold": describe("""
         country_code string
         carbon_intensity_alert_gco2e_per_kwh double
         price_spike_alert_eur_per_mwh double
@@ -188,7 +188,7 @@ ts_hour_utc timestamp !
 """
 
 GOLD = {
-    "fact_load_hourly": _table(_HOUR_KEYS + """
+    "fact_load_hourly": describe(_HOUR_KEYS + """
         area_code string !
         country_code string !
         load_mwh decimal(14,3) !
@@ -196,7 +196,7 @@ GOLD = {
         coverage_minutes int !
         loaded_at_utc timestamp !
     """),
-    "fact_generation_hourly": _table(_HOUR_KEYS + """
+    "fact_generation_hourly": describe(_HOUR_KEYS + """
         area_code string !
         country_code string !
         psr_type_code string !
@@ -205,7 +205,7 @@ GOLD = {
         coverage_minutes int !
         loaded_at_utc timestamp !
     """),
-    "fact_carbon_hourly": _table(_HOUR_KEYS + """
+    "fact_carbon_hourly": describe(_HOUR_KEYS + """
         country_code string !
         total_generation_mwh decimal(14,3) !
         renewable_mwh decimal(14,3) !
@@ -218,7 +218,7 @@ GOLD = {
         factor_coverage_pct decimal(6,2)
         loaded_at_utc timestamp !
     """),
-    "fact_price_hourly": _table(_HOUR_KEYS + """
+    "fact_price_hourly": describe(_HOUR_KEYS + """
         area_code string !
         country_code string !
         price_eur_mwh decimal(10,2) !
@@ -228,7 +228,7 @@ GOLD = {
         source_slots smallint !
         loaded_at_utc timestamp !
     """),
-    "fact_flow_hourly": _table(_HOUR_KEYS + """
+    "fact_flow_hourly": describe(_HOUR_KEYS + """
         from_area_code string !
         to_area_code string !
         from_country_code string !
@@ -238,7 +238,7 @@ GOLD = {
         coverage_minutes int !
         loaded_at_utc timestamp !
     """),
-    "fact_weather_hourly": _table(_HOUR_KEYS + """
+    "fact_weather_hourly": describe(_HOUR_KEYS + """
         country_code string !
         temperature_c decimal(6,2)
         wind_speed_100m_kmh decimal(6,2)
@@ -249,7 +249,7 @@ GOLD = {
         is_observed boolean !
         loaded_at_utc timestamp !
     """),
-    "dim_date": _table("""
+    "dim_date": describe("""
         date_key int
         date date
         year int
@@ -262,18 +262,18 @@ GOLD = {
         is_weekend boolean
         season string           # meteorological: December to February is Winter
     """),
-    "dim_hour": _table("""
+    "dim_hour": describe("""
         hour_key int
         hour_label string
         day_part string !       # Night 0-5, Morning 6-11, Afternoon 12-17, Evening 18-23
     """),
-    "dim_country": _table("""
+    "dim_country": describe("""
         country_code string
         country_name string
         time_zone string
         is_active boolean
     """),
-    "dim_area": _table("""
+    "dim_area": describe("""
         area_code string
         eic_code string
         area_name string
@@ -282,7 +282,7 @@ GOLD = {
         is_country_area boolean
         is_bidding_zone boolean
     """),
-    "dim_production_type": _table("""
+    "dim_production_type": describe("""
         psr_type_code string
         production_type_name string
         fuel_category string
@@ -292,7 +292,7 @@ GOLD = {
         has_emission_factor boolean
         emission_factor_source string
     """),
-    "dim_emission_factor": _table("""
+    "dim_emission_factor": describe("""
         psr_type_code string !
         lifecycle_gco2e_per_kwh decimal(6,1)
         emission_factor_source string
@@ -300,7 +300,7 @@ GOLD = {
         valid_to timestamp
         is_current boolean !
     """),
-    "dim_holiday": _table("""
+    "dim_holiday": describe("""
         country_code string
         date_key int
         holiday_date date !
@@ -308,7 +308,7 @@ GOLD = {
         local_name string
         is_nationwide boolean
     """),
-    "dim_kpi_threshold": _table("""
+    "dim_kpi_threshold": describe("""
         country_code string !
         carbon_intensity_alert_gco2e_per_kwh decimal(8,2)
         price_spike_alert_eur_per_mwh decimal(10,2)

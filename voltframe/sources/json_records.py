@@ -4,24 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from voltframe.functions.scalars import strip_bom
 from voltframe.operators.quality import quarantine, split_required
 from voltframe.sources.files import whole_text
 
-HOLIDAY = T.StructType.fromDDL(
-    "countryCode string, date string, localName string, name string, `global` boolean")
+HOLIDAY = "countryCode: string, `date`: string, localName: string, name: string, `global`: boolean"
 
 
-def records(texts: DataFrame, text: str, record: T.StructType) -> DataFrame:
+def records(texts: DataFrame, text: str, record: str) -> DataFrame:
     """One row per record, keeping the other columns of `texts`.
 
     Each line parses as an array (a lone object is an array of one). A text whose first line
     is no complete JSON value
     is parsed as a whole.
     """
-    many, strict = T.ArrayType(record), {"mode": "FAILFAST"}
+    many, strict = f"array<struct<{record}>>", {"mode": "FAILFAST"}
     body = strip_bom(text)
     lines = F.filter(F.split(body, r"\r?\n"), lambda line: F.trim(line) != "")
     opening = F.get(lines, F.lit(0))

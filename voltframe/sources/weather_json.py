@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from voltframe.functions.scalars import any_present, file_name
 from voltframe.operators.quality import require_present, require_subset
@@ -13,9 +12,8 @@ VARIABLES = ["temperature_2m", "wind_speed_10m", "wind_speed_100m",
              "shortwave_radiation", "cloud_cover", "precipitation"]     # fixed values
 UTC_NAMES = ["GMT", "UTC"]                                              # fixed values
 
-SCHEMA = T.StructType.fromDDL(
-    "timezone string, hourly struct<time: array<string>, "
-    + ", ".join(f"{v}: array<double>" for v in VARIABLES) + ">")
+SCHEMA = ("timezone string, hourly struct<time: array<string>, "
+          + ", ".join(f"{v}: array<double>" for v in VARIABLES) + ">")
 
 
 def read(spark: SparkSession, root: str) -> DataFrame:

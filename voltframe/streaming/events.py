@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from voltframe.operators.dedupe import latest
@@ -15,12 +14,11 @@ from voltframe.operators.tables import Lake
 from voltframe.session import new_folder
 
 # The dock feed; it has no event time, so windows on it use arrival time.
-DOCK_SCHEMA = T.StructType.fromDDL(
-    "BikepointID string, Street string, Neighbourhood string, Latitude double, Longitude double, "
-    "No_Bikes bigint, No_Empty_Docks bigint")
+DOCK_SCHEMA = ("BikepointID string, Street string, Neighbourhood string, Latitude double, Longitude double, "
+               "No_Bikes bigint, No_Empty_Docks bigint")
 
 
-def json_stream(spark: SparkSession, path: str, schema: T.StructType = DOCK_SCHEMA) -> DataFrame:
+def json_stream(spark: SparkSession, path: str, schema: str = DOCK_SCHEMA) -> DataFrame:
     return spark.readStream.schema(schema).json(path).withColumn("arrived_at", F.current_timestamp())
 
 
