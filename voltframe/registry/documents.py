@@ -18,8 +18,9 @@ from voltframe.sources import files, grid_xml, json_records, thresholds, weather
 
 def _documents(spark, sf):
     """Clicks repeat values (A03), views list them (A01), signups list a position twice, purchases
-    name no curve and use a namespace prefix, errors carry a value that is no number."""
-    e = table(spark, sf, "events").select(
+    name no curve and use a namespace prefix, errors carry a value that is no number. The narrow
+    event rows are spread first, as separate files would be."""
+    e = table(spark, sf, "events").repartition("event_id").select(
         "event_id", "event_type", "value", F.col("user_id").alias("area"),
         F.date_trunc("hour", "ts").cast("timestamp").alias("start"), F.col("ts").cast("timestamp").alias("ingested_at_utc"))
 

@@ -24,11 +24,21 @@ SCHEMA = (
 PREFIX = r"(</?)[A-Za-z_][\w.\-]*:"
 
 
+def _computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated once per row.
+
+    Several expressions and lambdas below refer to them; a plain projection would be inlined
+    into each reference, parsing the document or its timestamps again for every point.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def read_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add `doc` (parsed tree) and `fault` (NULL when the document is sound)."""
     plain = F.regexp_replace(F.col(text), PREFIX, "$1")
     tree = F.from_xml(plain, SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"})
-    return docs.withColumn("doc", tree).withColumn("fault", _fault(F.col("doc"), F.col("dataset")))
+    parsed = _computed(docs, doc=tree)
+    return _computed(parsed, fault=_fault(F.col("doc"), F.col("dataset")))
 
 
 def _point_value(point: Column, dataset: Column) -> Column:
@@ -82,23 +92,21 @@ def intervals(read: DataFrame, *keep: str) -> DataFrame:
         F.when(dataset == GENERATION_DATASET, F.when(out_domain, "consumption").otherwise("generation")).alias("direction"),
         F.coalesce(blank_to_null(F.col("series.curveType")), F.lit("A01")).alias("curve"),
         F.explode("series.Period").alias("period"))
-    timed = periods.select(
-        "dataset", *keep, "psr_type_code", "direction", "curve",
-        iso_timestamp("period.timeInterval.start").alias("start"), iso_timestamp("period.timeInterval.end").alias("end"),
-        iso_minutes("period.resolution").alias("resolution_minutes"), F.col("period.Point").alias("points"))
-    slots = slot_count("start", "end", "resolution_minutes")
-    valued = F.filter(
-        F.transform("points", lambda p, i: F.struct(
-            blank_to_null(p.getField("position")).try_cast("int").alias("position"), i.alias("i"),
-            _point_value(p, dataset).try_cast("double").alias("value"))),
-        lambda p: p.getField("value").isNotNull() & (p.getField("position") <= F.col("slots"))
-        & ((F.col("curve") != "A03") | (p.getField("position") >= 1)))
-    ordered = timed.withColumn("slots", slots).withColumn("points", F.array_sort(valued))
+    timed = _computed(periods, start=iso_timestamp("period.timeInterval.start"), end=iso_timestamp("period.timeInterval.end"),
+                      resolution_minutes=iso_minutes("period.resolution"))
+    timed = _computed(timed, slots=slot_count("start", "end", "resolution_minutes"))
+    typed = F.transform(F.col("period.Point"), lambda p, i: F.struct(
+        blank_to_null(p.getField("position")).try_cast("int").alias("position"), i.alias("i"),
+        _point_value(p, dataset).try_cast("double").alias("value")))
+    valued = F.filter(typed, lambda p: p.getField("value").isNotNull() & (p.getField("position") <= F.col("slots"))
+                      & ((F.col("curve") != "A03") | (p.getField("position") >= 1)))
+    ordered = _computed(timed, points=F.array_sort(valued))
     # a point is followed by its successor in position order; an equal successor replaces it
     pairs = F.zip_with("points", F.slice("points", F.lit(2), F.greatest(F.size("points"), F.lit(1))),
                        lambda p, q: F.struct(p.getField("position").alias("position"), p.getField("value").alias("value"),
                                              q.getField("position").alias("next")))
-    runs = (ordered.select("*", F.inline(pairs)).where(F.col("next").isNull() | (F.col("next") != F.col("position"))))
+    runs = (ordered.where(F.col("points").isNotNull()).select("*", F.inline(pairs))
+            .where(F.col("next").isNull() | (F.col("next") != F.col("position"))))
     last = F.when(F.col("curve") == "A03", F.coalesce(F.col("next") - 1, "slots")).otherwise(F.col("position"))
     listed = runs.withColumn("slot", F.explode(F.sequence("position", last)))
     return listed.select("dataset", *keep, "psr_type_code", "direction",

@@ -22,8 +22,10 @@ def read(spark: SparkSession, root: str) -> DataFrame:
 
 
 def flatten(raw: DataFrame, *keep: str) -> DataFrame:
-    """Hours with at least one value; arrays of unequal length are padded with NULL."""
-    hours = F.arrays_zip(F.col("hourly.time").alias("time"), *[F.col(f"hourly.{v}").alias(v) for v in VARIABLES])
+    """Hours with at least one value; short or absent arrays are padded with NULL."""
+    none = F.array().cast("array<double>")
+    hours = F.arrays_zip(F.col("hourly.time").alias("time"),
+                         *[F.coalesce(F.col(f"hourly.{v}"), none).alias(v) for v in VARIABLES])
     return (raw.select(*keep, F.inline(hours))
             .withColumn("ts_utc", F.to_timestamp("time", "yyyy-MM-dd'T'HH:mm")).drop("time")
             .where(any_present(*VARIABLES)))
