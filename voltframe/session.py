@@ -20,6 +20,8 @@ SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+_local_folders: dict[str, str] = {}
+
 
 def build(app: str = "voltframe", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -43,9 +45,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    created = tempfile.mkdtemp(prefix="voltframe-")
-    spark.conf.set("spark.checkpoint.dir", created)
-    return created
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="voltframe-")
+    return _local_folders[app]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -20,8 +20,7 @@ def binary_files(spark: SparkSession, root: str, pattern: str = "*", modified_af
 
 def whole_text(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """(source_file, text), one row per file, folders included."""
-    return (spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", pattern).text(root)
+    return (spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
             .select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("text")))
 
 
