@@ -184,27 +184,21 @@ def test_daily_job_end_to_end(spark, job):
     assert checks.where("status = 'FAIL'").isEmpty()
     assert checks.count() == 7 + 5 + 1 + 6 + 8 + 5
 
-    # a second run has nothing to load and leaves every fact as it was
-    facts = {t: clock(store.read(t).drop("loaded_at_utc")) for t in pipeline.PARTITIONS}
-    second = run(spark, raw, store, "2025-01-06 06:00:00")
-    assert second["actual_load"] == {"inserted": 0, "updated": 0, "rejected": 0}
-    assert {t: clock(store.read(t).drop("loaded_at_utc")) for t in pipeline.PARTITIONS} == facts
-
-    # a later correction replaces the value and the day's fact
+    # a later run: one correction arrives, everything else stays as it was
+    facts = {t: clock(store.read(t).drop("loaded_at_utc")) for t in pipeline.PARTITIONS if t != "fact_load_hourly"}
     put(raw / "grid", "load_nl2.xml", document(point(1, 110), "A01", res="PT1H"))
     store.append("ctl_ingest_log", rows(spark, store.schemas["ctl_ingest_log"], [log_row("actual_load", "NL", "raw/load_nl2.xml", "2025-01-06 01:00")]))
-    third = run(spark, raw, store, "2025-01-07 06:00:00")
-    assert third["actual_load"]["updated"] == 1
+    second = run(spark, raw, store, "2025-01-07 06:00:00")
+    assert second["actual_load"] == {"inserted": 0, "updated": 1, "rejected": 0}
+    assert second["day_ahead_price"] == {"inserted": 0, "updated": 0, "rejected": 0}
     assert found(store.read("fact_load_hourly"), "load_mwh") == [(110,), (140,)]
+    assert {t: clock(store.read(t).drop("loaded_at_utc")) for t in facts} == facts
 
-
-def test_failed_reconciliation_is_logged_and_raised(spark, job):
-    raw, store = job
-    run(spark, raw, store)
+    # load energy that gold cannot place: the check fails, is logged, and is raised
     store.append("silver_load", rows(spark, store.schemas["silver_load"], [("ZZ", at("2025-01-04"), 60, 9.0, 9.0, None, None, None)]))
     with pytest.raises(RuntimeError, match="9.000 MWh"):
-        pipeline.load_gold(store, reference.country(spark), reference.area(spark), reference.production_type(spark), "2025-01-05 06:00:00")
-    assert found(store.read("gold_run_log"), "status") == [("FAILED",), ("OK",)]
+        pipeline.load_gold(store, reference.country(spark), reference.area(spark), reference.production_type(spark), "2025-01-07 07:00:00")
+    assert found(store.read("gold_run_log"), "status") == [("FAILED",), ("OK",), ("OK",)]
 
 
 def test_calendar_rules():

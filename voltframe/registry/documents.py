@@ -16,11 +16,16 @@ from voltframe.sources import files, grid_xml, json_records, thresholds, weather
 # ---- grid documents: every event becomes a two-hour document -------------------------------
 
 
+def _spread(df, key):
+    """Spread narrow rows over the session's shuffle partitions before text is built from them,
+    as separate files would be; one row group would otherwise be parsed by one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _documents(spark, sf):
     """Clicks repeat values (A03), views list them (A01), signups list a position twice, purchases
-    name no curve and use a namespace prefix, errors carry a value that is no number. The narrow
-    event rows are spread first, as separate files would be."""
-    e = table(spark, sf, "events").repartition("event_id").select(
+    name no curve and use a namespace prefix, errors carry a value that is no number."""
+    e = _spread(table(spark, sf, "events"), "event_id").select(
         "event_id", "event_type", "value", F.col("user_id").alias("area"),
         F.date_trunc("hour", "ts").cast("timestamp").alias("start"), F.col("ts").cast("timestamp").alias("ingested_at_utc"))
 
@@ -117,7 +122,7 @@ def weather_json_flatten(spark, sf):
     v = F.col("value")
     text = F.concat(F.lit('{"timezone":"GMT","hourly":{"time":["'), times, F.lit('"],"temperature_2m":['), v.cast("string"), F.lit(",null,"),
                     (v + 1).cast("string"), F.lit('],"wind_speed_100m":[5.0],"precipitation":[null,null,null,1.5]}}'))
-    docs = table(spark, sf, "events").select("event_id", F.from_json(text, weather_json.SCHEMA).alias("doc")).select("event_id", "doc.*")
+    docs = _spread(table(spark, sf, "events"), "event_id").select("event_id", F.from_json(text, weather_json.SCHEMA).alias("doc")).select("event_id", "doc.*")
     flat = weather_json.flatten(docs, "event_id")
     return plain(rounded(flat.select("event_id", "ts_utc", "temperature_2m", "wind_speed_100m", "precipitation"), "temperature_2m"))
 
@@ -147,7 +152,8 @@ def json_props(spark, sf):
 
 def _holiday_texts(spark, sf):
     """Orders as holiday files: with BOM and array, as an object, as lines, and without a name."""
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    o = _spread(table(spark, sf, "orders"), "o_orderkey").select(
+        "o_orderkey", "o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
     key = F.col("o_orderkey").cast("string")
 
     def record(name, extra=""):
