@@ -99,7 +99,7 @@ def test_scan_joins_the_audit_log(spark, frame, tmp_path):
     folder.mkdir(parents=True)
     (folder / "a.xml").write_text(document(point(1, 5)))
     (folder / "b.xml").write_text(document(point(1, 6)))
-    todo = frame("dataset string, area_key string, file_path string, ingested_at_utc timestamp", [("actual_load", "NL", "raw/actual_load/NL/b.xml", at("2025-01-02"))])
+    todo = frame("dataset string, area_key string, file_path string, ingested_at_utc timestamp", [("actual_load", "NL", "actual_load/NL/b.xml", at("2025-01-02"))])
     docs = files.documents(spark, str(tmp_path), todo, "*.xml", modified_after="2000-01-01")
     assert found(grid_xml.intervals(grid_xml.read_documents(docs)), "value") == [(6.0,)]
     assert files.documents(spark, str(tmp_path), todo, "*.xml", modified_after="2999-01-01").isEmpty()
@@ -150,11 +150,11 @@ def test_weather_files(spark, frame, tmp_path):
 def test_weather_guards(spark, frame, tmp_path):
     weather_file(tmp_path / "a.json", ["2025-01-01T00:00"], "[1]", "Europe/Rome")
     log = frame(LOG, [("weather_hourly_archive", "XX-YYY", "x/a.json", at("2025-01-02"))])
-    with pytest.raises(ValueError, match="Europe/Rome"):
-        weather_json.parse(weather_json.read(spark, str(tmp_path)), log, reference.weather_location(spark))
+    with pytest.raises(Exception, match="Europe/Rome"):
+        weather_json.parse(weather_json.read(spark, str(tmp_path)), log, reference.weather_location(spark)).collect()
     weather_file(tmp_path / "a.json", ["2025-01-01T00:00"], "[1]")
-    with pytest.raises(ValueError, match="XX-YYY"):
-        weather_json.parse(weather_json.read(spark, str(tmp_path)), log, reference.weather_location(spark))
+    with pytest.raises(Exception, match="XX-YYY"):
+        weather_json.parse(weather_json.read(spark, str(tmp_path)), log, reference.weather_location(spark)).collect()
 
 
 def test_thresholds(spark, tmp_path):

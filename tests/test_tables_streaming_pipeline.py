@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from helpers import at, clock, found
 from test_sources import document, point, weather_file
 from voltframe import session
-from voltframe.operators.tables import Lake
+from voltframe.operators.tables import Day, Lake
 from voltframe.plans import pipeline
 from voltframe.schemas import describe
 from voltframe.sources import reference
@@ -16,7 +16,7 @@ DAILY = describe("date_key int !\nk string !\nv int")
 
 @pytest.fixture
 def store(spark, tmp_path):
-    return Lake(spark, str(tmp_path / "lake"), {"daily": DAILY, "flat": DAILY}, {"daily": "date_key"})
+    return Lake(spark, str(tmp_path / "lake"), {"daily": DAILY, "flat": DAILY}, {"daily": Day()})
 
 
 def daily(spark, *values):
@@ -153,10 +153,10 @@ def job(spark, tmp_path):
     weather_file(raw / "weather" / "w_ams.json", ["2025-01-01T00:00"], "[4]")
     put(raw / "holidays", "nl.json", '[{"countryCode":"NL","date":"2025-01-01","localName":"N","name":"New Year"},{"countryCode":"NL","date":"2025-01-02"}]')
     store.append("ctl_ingest_log", rows(spark, store.schemas["ctl_ingest_log"], [
-        log_row("actual_load", "NL", "raw/load_nl.xml", "2025-01-03 01:00"), log_row("actual_load", "DE", "raw/load_bad.xml", "2025-01-03 02:00"),
-        log_row("actual_generation", "NL", "raw/gen_nl.xml", "2025-01-03 01:00"), log_row("day_ahead_price", "NL", "raw/price_nl.xml", "2025-01-03 01:00"),
-        log_row("crossborder_flow", "DE>NL", "raw/flow.xml", "2025-01-03 01:00"), log_row("actual_load", "FR", None, "2025-01-03 01:00", status="no_data"),
-        log_row("weather_hourly_archive", "NL-AMS", "raw/w_ams.json", "2025-01-03 01:00", source="weather")]))
+        log_row("actual_load", "NL", "grid/load_nl.xml", "2025-01-03 01:00"), log_row("actual_load", "DE", "grid/load_bad.xml", "2025-01-03 02:00"),
+        log_row("actual_generation", "NL", "grid/gen_nl.xml", "2025-01-03 01:00"), log_row("day_ahead_price", "NL", "grid/price_nl.xml", "2025-01-03 01:00"),
+        log_row("crossborder_flow", "DE>NL", "grid/flow.xml", "2025-01-03 01:00"), log_row("actual_load", "FR", None, "2025-01-03 01:00", status="no_data"),
+        log_row("weather_hourly_archive", "NL-AMS", "weather/w_ams.json", "2025-01-03 01:00", source="weather")]))
     return raw, store
 
 
@@ -185,9 +185,9 @@ def test_daily_job_end_to_end(spark, job):
     assert checks.count() == 7 + 5 + 1 + 6 + 8 + 5
 
     # a later run: one correction arrives, everything else stays as it was
-    facts = {t: clock(store.read(t).drop("loaded_at_utc")) for t in pipeline.PARTITIONS if t != "fact_load_hourly"}
+    facts = {t: clock(store.read(t).drop("loaded_at_utc")) for t in pipeline.DAYS if t.startswith('fact_') and t != "fact_load_hourly"}
     put(raw / "grid", "load_nl2.xml", document(point(1, 110), "A01", res="PT1H"))
-    store.append("ctl_ingest_log", rows(spark, store.schemas["ctl_ingest_log"], [log_row("actual_load", "NL", "raw/load_nl2.xml", "2025-01-06 01:00")]))
+    store.append("ctl_ingest_log", rows(spark, store.schemas["ctl_ingest_log"], [log_row("actual_load", "NL", "grid/load_nl2.xml", "2025-01-06 01:00")]))
     second = run(spark, raw, store, "2025-01-07 06:00:00")
     assert second["actual_load"] == {"inserted": 0, "updated": 1, "rejected": 0}
     assert second["day_ahead_price"] == {"inserted": 0, "updated": 0, "rejected": 0}

@@ -60,13 +60,29 @@ def in_reference(df: DataFrame, table: str, column: str, reference: DataFrame, r
     return both.select(F.inline(F.array(_check(name, table, column, F.col("n"), "= 0", "FAIL", F.col("n") == 0, details))))
 
 
-def value_ranges(df: DataFrame, table: str, rules: Sequence[tuple[str, float, float]]) -> DataFrame:
-    """Rows outside inclusive bounds, NULLs passing; one aggregate for all rules."""
-    counts = df.agg(*[F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias(f"r{i}")
-                      for i, (c, lo, hi) in enumerate(rules)])
+Rule = tuple[str, float, float]
+
+
+def scan_checks(df: DataFrame, table: str, rules: Sequence[Rule] = (), fresh_hours: int | None = None,
+                as_of: str | None = None, ts: str = "ts_utc") -> DataFrame:
+    """All checks that one pass over the table answers: value ranges and freshness.
+
+    Ranges have inclusive bounds and NULLs pass. Freshness is the age of the latest instant.
+    """
+    wanted = [F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias(f"r{i}") for i, (c, lo, hi) in enumerate(rules)]
     checks = [_check("value_range", table, c, F.col(f"r{i}"), f"[{lo}, {hi}]", "WARN", F.col(f"r{i}") == 0)
               for i, (c, lo, hi) in enumerate(rules)]
-    return counts.select(F.inline(F.array(*checks)))
+    if fresh_hours is not None:
+        wanted.append(F.max(ts).cast("timestamp").alias("last"))
+        age = F.coalesce(F.timestamp_diff("SECOND", "last", F.lit(as_of).cast("timestamp")) / F.lit(3600.0), F.lit(1e9))
+        latest = F.coalesce(F.date_format("last", "yyyy-MM-dd HH:mm:ss"), F.lit("None"))
+        checks.append(_check("freshness_hours", table, f"max({ts})", F.round(age, 1), f"<= {fresh_hours} h", "WARN",
+                             age <= fresh_hours, F.concat(F.lit(f"latest {ts} "), latest)))
+    return df.agg(*wanted).select(F.inline(F.array(*checks)))
+
+
+def value_ranges(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
+    return scan_checks(df, table, rules)
 
 
 def recent(df: DataFrame, ts: str, as_of: str, check_days: int, full_check: bool = False) -> DataFrame:
@@ -114,12 +130,7 @@ def completeness(df: DataFrame, table: str, scope: Sequence[str], as_of: str, ts
 
 
 def freshness(df: DataFrame, table: str, as_of: str, limit_hours: int, ts: str = "ts_utc") -> DataFrame:
-    last = df.agg(F.max(ts).cast("timestamp").alias("last"))
-    hours = F.coalesce(F.timestamp_diff("SECOND", "last", F.lit(as_of).cast("timestamp")) / F.lit(3600.0), F.lit(1e9))
-    detail = F.concat(F.lit("latest ts_utc "), F.coalesce(F.date_format("last", "yyyy-MM-dd HH:mm:ss"), F.lit("None")))
-    return last.withColumn("age", hours).select(F.inline(F.array(_check(
-        "freshness_hours", table, "max(ts_utc)", F.round("age", 1), f"<= {limit_hours} h", "WARN",
-        F.col("age") <= limit_hours, detail))))
+    return scan_checks(df, table, (), limit_hours, as_of, ts)
 
 
 def report(*checks: DataFrame) -> DataFrame:
@@ -160,6 +171,12 @@ def reconcile(left: DataFrame, left_value: str, right: DataFrame, right_value: s
         "status", F.when(F.col("difference") <= F.lit(tolerance), "OK").otherwise("FAILED"))
 
 
+def enforce(df: DataFrame, holds: Column, message: Column) -> DataFrame:
+    """The same rows; the job that reads them fails on the first row for which `holds` is not true."""
+    passes = F.when(F.coalesce(holds, F.lit(False)), True).otherwise(F.raise_error(message).cast("boolean"))
+    return df.where(passes)
+
+
 def require_subset(df: DataFrame, column: str, allowed: Sequence[str], what: str) -> None:
     """Raise when a value, NULL included, lies outside `allowed`; reads one row of evidence."""
     bad = df.where(~F.coalesce(F.col(column).isin(*allowed), F.lit(False))).select(column).limit(1).collect()

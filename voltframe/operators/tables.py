@@ -1,14 +1,14 @@
 """Parquet tables under one folder: append, upsert, snapshot merge, window replacement.
 
-Tables are partitioned by one column where they grow. A change rewrites only the partitions
-it touches: the new state is written to the shared folder first (so a lost executor never
-costs the table, and nothing reads and writes one path at once), then put in place by
-dynamic partition overwrite, which commits task output through Spark's own protocol.
+Tables that grow are partitioned by day. A change reads and rewrites only the days it touches:
+the new state is written to the shared folder first (so a lost executor never costs the table,
+and nothing reads and writes one path at once), then put in place by dynamic partition
+overwrite, which commits task output through Spark's own protocol.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltframe.functions.scalars import date_key
 from voltframe.operators import merge as change
 from voltframe.schemas import TABLES, align, required
 from voltframe.session import new_folder
@@ -27,102 +28,125 @@ class Counts(NamedTuple):
     deleted: int
 
 
+class Day(NamedTuple):
+    """Day partition (yyyymmdd): a column of the table, or one derived from its instant `ts`."""
+
+    column: str = "date_key"
+    ts: str | None = None
+
+
 class Lake:
-    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType] | None = None,
-                 partitions: dict[str, str] | None = None):
+    def __init__(self, spark: SparkSession, root: str, schemas: Mapping[str, T.StructType] | None = None,
+                 days: Mapping[str, Day] | None = None):
         self.spark, self.root = spark, root.rstrip("/")
         self.schemas = schemas or TABLES
-        self.partitions = partitions or {}
+        self.days = days or {}
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def read(self, table: str) -> DataFrame:
-        """The table, or no rows while nothing has been written."""
-        schema = self.schemas[table]
+    def _stored_schema(self, table: str) -> T.StructType:
+        """The table's columns, its day partition last."""
+        schema, day = self.schemas[table], self.days.get(table)
+        if not day:
+            return schema
+        rest = [f for f in schema if f.name != day.column]
+        return T.StructType([*rest, T.StructField(day.column, T.IntegerType(), True)])
+
+    def _stored(self, table: str) -> DataFrame:
+        schema = self._stored_schema(table)
         try:
-            return self.spark.read.schema(schema).parquet(self.path(table)).select(schema.fieldNames())
+            return self.spark.read.schema(schema).parquet(self.path(table))
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def read(self, table: str, from_day: int | None = None) -> DataFrame:
+        """The table, or no rows while nothing has been written; earlier days are not listed."""
+        stored = self._stored(table)
+        if from_day is not None:
+            stored = stored.where(F.col(self.days[table].column) >= from_day)
+        return stored.select(self.schemas[table].fieldNames())
+
     def _shaped(self, table: str, df: DataFrame) -> DataFrame:
-        """Aligned rows; a NULL in a required column stops the write."""
-        schema = self.schemas[table]
+        """Aligned rows with their day; a NULL in a required column stops the write."""
+        schema, day = self.schemas[table], self.days.get(table)
         out = align(df, schema, table)
         for name in required(schema):
             stop = F.raise_error(F.lit(f"{table}: {name} must not be NULL")).cast(schema[name].dataType)
             out = out.withColumn(name, F.coalesce(F.col(name), stop))
-        return out
-
-    def _write(self, table: str, df: DataFrame, mode: str) -> None:
-        writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        if table in self.partitions:
-            writer = writer.partitionBy(self.partitions[table])
+        if day and day.ts:
+            out = out.withColumn(day.column, date_key(day.ts))
+        return out.select(self._stored_schema(table).fieldNames())
+
+    def _write(self, table: str, df: DataFrame, mode: str, overwrite: str = "dynamic") -> None:
+        writer = df.write.mode(mode).option("partitionOverwriteMode", overwrite)
+        if table in self.days:
+            writer = writer.partitionBy(self.days[table].column)
         writer.parquet(self.path(table))
 
+    def staged(self, label: str, df: DataFrame) -> DataFrame:
+        """A written copy in the shared folder: lineage ends here and the size is known."""
+        folder = new_folder(self.spark, label)
+        df.write.parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
     def append(self, table: str, df: DataFrame) -> None:
         self._write(table, self._shaped(table, df), "append")
 
     def overwrite(self, table: str, df: DataFrame) -> None:
         """Truncate and reload, through a staged copy since `df` may read the table."""
-        staged = self._stage(table, self._shaped(table, df))
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            *([self.partitions[table]] if table in self.partitions else [])).parquet(self.path(table))
-
-    def _stage(self, table: str, df: DataFrame) -> DataFrame:
-        folder = new_folder(self.spark, table)
-        df.write.parquet(folder)
-        return self.spark.read.schema(df.schema).parquet(folder)
+        self._write(table, self.staged(table, self._shaped(table, df)), "overwrite", "static")
 
     def upsert(self, table: str, source: DataFrame, keys: Sequence[str], **options) -> Counts:
         """Conditional merge; when nothing changes nothing is written."""
-        src = self._shaped(table, source)
-        target = self.read(table)
-        part = self.partitions.get(table)
-        if part and part in keys and not options.get("delete_missing"):
-            target = target.join(src.select(part).distinct(), part, "left_semi")
-        staged = self._stage(table, change.merge(target, src, keys, **options))
+        src, target = self._shaped(table, source), self._stored(table)
+        day = self.days.get(table)
+        by_day = day is not None and (day.ts or day.column) in keys and not options.get("delete_missing")
+        if by_day:
+            # the days of the batch as literals prune the target scan; the driver's file
+            # listing holds at least as many
+            src = self.staged(table, src)
+            touched = [r[0] for r in src.select(day.column).distinct().collect()]
+            target = target.where(F.col(day.column).isin(touched))
+        staged = self.staged(table, change.merge(target, src, keys, **options))
         found = {r["_action"]: r["rows"] for r in change.action_counts(staged).collect()}
         counts = Counts(*[found.get(a, 0) for a in ("insert", "update", "delete")])
         if any(counts):
-            state = change.result(staged)
-            mode = "dynamic" if part and part in keys and not counts.deleted else "static"
-            writer = state.write.mode("overwrite").option("partitionOverwriteMode", mode)
-            (writer.partitionBy(part) if part else writer).parquet(self.path(table))
+            self._write(table, change.result(staged), "overwrite", "dynamic" if by_day else "static")
         return counts
 
-    def replace_window(self, table: str, new: DataFrame, from_key: int) -> None:
-        """Replace every partition at or after `from_key` (a yyyymmdd day).
+    def replace_window(self, table: str, new: DataFrame, from_day: int) -> None:
+        """Replace every day from `from_day` on.
 
         Days in the window that have no new rows are emptied; there are at most as many as
         the window has days.
         """
-        part = self.partitions[table]
-        staged = self._stage(table, self._shaped(table, new.where(F.col(part) >= from_key)))
-        old_days = self.read(table).where(F.col(part) >= from_key).select(part).distinct()
+        part = self.days[table].column
+        staged = self.staged(table, self._shaped(table, new).where(F.col(part) >= from_day))
+        old_days = self._stored(table).where(F.col(part) >= from_day).select(part).distinct()
         stale = old_days.join(staged.select(part).distinct(), part, "left_anti").collect()
         self._write(table, staged, "overwrite")
-        schema = T.StructType([f for f in self.schemas[table] if f.name != part])
-        empty = self.spark.createDataFrame([], schema)
+        rest = T.StructType([f for f in self._stored_schema(table) if f.name != part])
+        nothing = self.spark.createDataFrame([], rest)
         for row in stale:
-            empty.write.mode("overwrite").parquet(f"{self.path(table)}/{part}={row[0]}")
+            nothing.write.mode("overwrite").parquet(f"{self.path(table)}/{part}={row[0]}")
 
     def file_count(self, table: str) -> int:
-        return self.read(table).select("_metadata.file_path").distinct().count()
+        return self._stored(table).select("_metadata.file_path").distinct().count()
 
     def compact(self, table: str, above: int = 20, rows_per_file: int = 5_000_000) -> tuple[int, int]:
-        """Rewrite a table that consists of more than `above` files; (before, after)."""
+        """Rewrite a table that consists of more than `above` files; (files before, files after).
+
+        The rebalance hint splits a large day over several tasks and merges small ones.
+        """
         before = self.file_count(table)
         if before <= above:
             return before, before
-        df = self.read(table)
-        part = self.partitions.get(table)
-        # rebalance splits a large day over several tasks and merges small ones
-        packed = df.hint("rebalance", *([part] if part else []))
-        staged = self._stage(table, packed)
-        writer = staged.hint("rebalance", *([part] if part else [])).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static").option("maxRecordsPerFile", rows_per_file)
-        (writer.partitionBy(part) if part else writer).parquet(self.path(table))
+        by = [self.days[table].column] if table in self.days else []
+        packed = self.staged(table, self._stored(table)).hint("rebalance", *by)
+        writer = packed.write.mode("overwrite").option("partitionOverwriteMode", "static").option(
+            "maxRecordsPerFile", rows_per_file)
+        (writer.partitionBy(*by) if by else writer).parquet(self.path(table))
         return before, self.file_count(table)

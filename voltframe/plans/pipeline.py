@@ -6,11 +6,9 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from voltframe.functions.scalars import date_key
 from voltframe.operators import merge, quality
-from voltframe.operators.tables import Lake
+from voltframe.operators.tables import Day, Lake
 from voltframe.plans import gold, silver
 from voltframe.schemas import KEYS
 
@@ -26,12 +24,15 @@ FRESH_HOURS = {"silver_load": 48, "silver_generation": 48, "silver_price": 24, "
 AREA_COLUMNS = {"silver_load": ["area_code"], "silver_generation": ["area_code"], "silver_price": ["area_code"],
                 "silver_flow": ["from_area_code", "to_area_code"]}
 RECENT_DAYS, RECENT_WEATHER_DAYS = 7, 10
-PARTITIONS = {f: "date_key" for f in ("fact_load_hourly", "fact_generation_hourly", "fact_carbon_hourly",
-                                      "fact_price_hourly", "fact_flow_hourly", "fact_weather_hourly")}
+DAYS = {
+    **{f"fact_{f}_hourly": Day() for f in ("load", "generation", "carbon", "price", "flow", "weather")},
+    **{f"silver_{t}": Day("day_key", "ts_utc")
+       for t in ("load", "generation", "price", "flow", "weather_hourly", "weather_country_hourly")},
+}
 
 
 def lake(spark, root: str) -> Lake:
-    return Lake(spark, root, partitions=PARTITIONS)
+    return Lake(spark, root, days=DAYS)
 
 
 def full_scan_due(as_of: str) -> bool:
@@ -53,13 +54,11 @@ def check_silver(tables: Mapping[str, DataFrame], area: DataFrame, production_ty
             checks.append(quality.in_reference(df, name, column, area, "area_code"))
         if name == "silver_generation":
             checks.append(quality.in_reference(df, name, "psr_type_code", production_type, "psr_type_code", "psr_in_reference"))
-        if name in RANGES:
-            checks.append(quality.value_ranges(df, name, RANGES[name]))
+        if name in RANGES or name in FRESH_HOURS:
+            checks.append(quality.scan_checks(df, name, RANGES.get(name, ()), FRESH_HOURS.get(name), as_of))
         if name in AREA_COLUMNS:
             scoped = quality.recent(df, "ts_utc", as_of, check_days, full_check)
             checks.append(quality.completeness(scoped, name, AREA_COLUMNS[name], as_of))
-        if name in FRESH_HOURS:
-            checks.append(quality.freshness(df, name, as_of, FRESH_HOURS[name]))
     return quality.report(*checks)
 
 
@@ -73,8 +72,10 @@ def refresh_dimensions(store: Lake, country: DataFrame, area: DataFrame, product
     store.overwrite("dim_emission_factor", history.drop("_action"))
 
 
-def _days_before(as_of: str, days: int) -> str:
-    return str(dt.date.fromisoformat(as_of[:10]) - dt.timedelta(days=days))
+def _day(as_of: str, back: int = 0) -> tuple[str, int]:
+    """A date `back` days before, as text and as a day key."""
+    day = dt.date.fromisoformat(as_of[:10]) - dt.timedelta(days=back)
+    return str(day), int(day.strftime("%Y%m%d"))
 
 
 def load_gold(store: Lake, country: DataFrame, area: DataFrame, production_type: DataFrame, as_of: str,
@@ -83,42 +84,39 @@ def load_gold(store: Lake, country: DataFrame, area: DataFrame, production_type:
 
     The facts are in place before the check; a failed check is logged and then raised.
     """
-    recent = from_date or _days_before(as_of, RECENT_DAYS)
-    weather_from = from_date or _days_before(as_of, RECENT_WEATHER_DAYS)
+    start, day = _day(from_date) if from_date else _day(as_of, RECENT_DAYS)
+    weather_start, weather_day = _day(from_date) if from_date else _day(as_of, RECENT_WEATHER_DAYS)
     refresh_dimensions(store, country, area, production_type, as_of)
     areas = store.read("dim_area")
 
-    def put(table: str, rows: DataFrame, start: str) -> None:
-        store.replace_window(table, rows, int(start.replace("-", "")))
+    def put(table: str, rows: DataFrame, first_day: int = day) -> None:
+        store.replace_window(table, rows, first_day)
 
-    put("fact_load_hourly", gold.load_hourly(store.read("silver_load"), areas, as_of, recent), recent)
+    put("fact_load_hourly", gold.load_hourly(store.read("silver_load", day), areas, as_of, start))
     put("fact_generation_hourly", gold.generation_hourly(
-        store.read("silver_generation"), areas, store.read("dim_emission_factor"), as_of, recent), recent)
+        store.read("silver_generation", day), areas, store.read("dim_emission_factor"), as_of, start))
     put("fact_carbon_hourly", gold.carbon_hourly(
-        _partitions_from(store.read("fact_generation_hourly"), recent), store.read("dim_production_type"), as_of, recent), recent)
-    put("fact_price_hourly", gold.price_hourly(store.read("silver_price"), areas, as_of, recent), recent)
-    put("fact_flow_hourly", gold.flow_hourly(store.read("silver_flow"), areas, as_of, recent), recent)
+        store.read("fact_generation_hourly", day), store.read("dim_production_type"), as_of, start))
+    put("fact_price_hourly", gold.price_hourly(store.read("silver_price", day), areas, as_of, start))
+    put("fact_flow_hourly", gold.flow_hourly(store.read("silver_flow", day), areas, as_of, start))
     put("fact_weather_hourly", gold.weather_hourly(
-        store.read("silver_weather_country_hourly"), as_of, weather_from), weather_from)
+        store.read("silver_weather_country_hourly", weather_day), as_of, weather_start), weather_day)
 
-    check = gold.reconcile_load(_partitions_from(store.read("fact_load_hourly"), recent), store.read("silver_load"), recent)
-    store.append("gold_run_log", gold.run_log(check, as_of, as_of, recent))
+    check = gold.reconcile_load(store.read("fact_load_hourly", day), store.read("silver_load", day), start)
+    check = store.staged("reconciliation", check)
+    store.append("gold_run_log", gold.run_log(check, as_of, as_of, start))
     outcome = check.first()
     if outcome["status"] != "OK":
         raise RuntimeError(f"load differs between gold and silver by {outcome['difference']} MWh")
     return check
 
 
-def _partitions_from(fact: DataFrame, start: str) -> DataFrame:
-    return fact.where(F.col("date_key") >= date_key(F.lit(start).cast("date")))
-
-
 def run(store: Lake, raw_root: str, country: DataFrame, area: DataFrame, production_type: DataFrame,
         locations: DataFrame, as_of: str, datasets: Sequence[str] = tuple(silver.GRID_TABLES), mode: str = "incremental",
         from_date: str | None = None) -> dict:
     """Silver energy, weather, holidays, checks, then gold."""
-    summary: dict = {d: silver.load_grid(store, f"{raw_root}/grid", d, as_of, production_type, mode) for d in datasets}
-    summary["weather"] = silver.load_weather(store, f"{raw_root}/weather", locations, as_of, mode)
+    summary: dict = {d: silver.load_grid(store, raw_root, d, as_of, production_type, mode) for d in datasets}
+    summary["weather"] = silver.load_weather(store, raw_root, locations, as_of, mode)
     summary["holidays"] = silver.load_holidays(store, f"{raw_root}/holidays", as_of)
     checked = {t: store.read(t) for t in KEYS if t.startswith("silver_")}
     checks = check_silver(checked, area, production_type, as_of, full_check=full_scan_due(as_of))

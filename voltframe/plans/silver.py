@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.functions.scalars import energy_mwh, split_pair
+from voltframe.functions.scalars import date_key, energy_mwh, file_name, split_pair
 from voltframe.operators import dedupe, planning, series
 from voltframe.operators.tables import Lake
 from voltframe.schemas import KEYS, LINEAGE, SILVER, align
@@ -72,6 +72,11 @@ def _stamped(df: DataFrame, at: str) -> DataFrame:
     return df.withColumn("_silver_updated_at", F.lit(at).cast("timestamp"))
 
 
+def _fixed_list(lake: Lake, pending: DataFrame) -> DataFrame:
+    """The files of this run, written down so that parsing and the new state see the same list."""
+    return lake.staged("pending", pending.select("dataset", "area_key", "file_path", "ingested_at_utc"))
+
+
 def _advance_state(lake: Lake, pending: DataFrame, as_of: str, state_key: Column | None = None) -> None:
     state = planning.processed_until(pending, state_key).withColumn("updated_at_utc", F.lit(as_of).cast("timestamp"))
     lake.upsert("ctl_silver_state", state, KEYS["ctl_silver_state"], test_change=False)
@@ -84,12 +89,11 @@ def load_grid(lake: Lake, raw_root: str, dataset: str, as_of: str, production_ty
     Documents with a fault are quarantined whole and count as processed.
     """
     table = GRID_TABLES[dataset]
-    todo = planning.pending(lake.read("ctl_ingest_log"), lake.read("ctl_silver_state"), GRID_SOURCE,
-                            F.col("dataset") == dataset, mode)
+    todo = _fixed_list(lake, planning.pending(lake.read("ctl_ingest_log"), lake.read("ctl_silver_state"), GRID_SOURCE,
+                                              F.col("dataset") == dataset, mode))
     if todo.isEmpty():
         return {"inserted": 0, "updated": 0, "rejected": 0}
-    docs = raw_files.documents(lake.spark, raw_root, todo.select("dataset", "area_key", "file_path", "ingested_at_utc"),
-                               modified_after=modified_after)
+    docs = raw_files.documents(lake.spark, raw_root, todo, modified_after=modified_after)
     parsed = grid_xml.read_documents(docs).drop("text").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         bad = grid_xml.rejected(parsed, table, "file_path", as_of).persist()
@@ -110,16 +114,17 @@ def load_grid(lake: Lake, raw_root: str, dataset: str, as_of: str, production_ty
 def load_weather(lake: Lake, raw_root: str, locations: DataFrame, as_of: str, mode: str = "incremental") -> Mapping[str, int]:
     """New weather files into location hours, then the country hours of the touched days."""
     state_key = F.lit("weather")
-    todo = planning.pending(lake.read("ctl_ingest_log"), lake.read("ctl_silver_state"), WEATHER_SOURCE,
-                            F.col("dataset").startswith("weather_hourly_"), mode, state_key)
+    todo = _fixed_list(lake, planning.pending(lake.read("ctl_ingest_log"), lake.read("ctl_silver_state"), WEATHER_SOURCE,
+                                              F.col("dataset").startswith("weather_hourly_"), mode, state_key))
     if todo.isEmpty():
         return {"inserted": 0, "updated": 0}
-    names = todo.select(F.element_at(F.split("file_path", "/"), -1).alias("file_name"))
-    raw = weather_json.read(lake.spark, raw_root).join(names, "file_name", "left_semi")
+    names = todo.select(file_name("file_path").alias("file_name"))
+    raw = weather_json.read(lake.spark, raw_files.touched_folders(raw_root, todo)).join(names, "file_name", "left_semi")
     batch = _stamped(best_weather(weather_json.parse(raw, todo, locations)), as_of).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         counts = lake.upsert("silver_weather_hourly", batch, KEYS["silver_weather_hourly"], lineage=LINEAGE, guard=keep_observed)
-        touched = series.restrict_to_touched(lake.read("silver_weather_hourly"), batch, ["country_code"], "ts_utc")
+        first_day = batch.agg(F.min(date_key("ts_utc"))).first()[0]
+        touched = series.restrict_to_touched(lake.read("silver_weather_hourly", first_day), batch, ["country_code"], "ts_utc")
         lake.upsert("silver_weather_country_hourly", _stamped(country_weather(touched, locations), as_of),
                     KEYS["silver_weather_country_hourly"], lineage=LINEAGE)
     finally:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from voltframe.functions.scalars import date_key
 from voltframe.operators import merge
 from voltframe.operators.series import validity_join
-from voltframe.operators.tables import Lake
+from voltframe.operators.tables import Day, Lake
 from voltframe.plans import gold
 from voltframe.registry import views
 from voltframe.registry.base import plain, query, table
@@ -241,7 +241,7 @@ def table_replace_window(spark, sf):
     """Reload from 20 January with fewer rows; days left without rows are emptied."""
 
 
-    store = Lake(spark, new_folder(spark, "window"), {"daily": _DAILY}, {"daily": "date_key"})
+    store = Lake(spark, new_folder(spark, "window"), {"daily": _DAILY}, {"daily": Day()})
     daily = table(spark, sf, "events").groupBy(date_key("ts").alias("date_key"), "event_type").agg(F.count(F.lit(1)).alias("n"))
     store.append("daily", daily)
     store.replace_window("daily", daily.where("event_type <> 'click' AND date_key < 20240128"), 20240120)

@@ -9,7 +9,14 @@ from pyspark.sql import types as T
 from voltframe.functions.scalars import file_name
 
 
-def binary_files(spark: SparkSession, root: str, pattern: str = "*", modified_after: str | None = None) -> DataFrame:
+def touched_folders(base: str, files: DataFrame) -> list[str]:
+    """Folders of the listed files: one per dataset, area and month, so no more names than the
+    scan has directories to list. Scans of these folders never open the rest of the archive."""
+    folder = F.regexp_replace("file_path", "/?[^/]+$", "")
+    return sorted(f"{base.rstrip('/')}/{r[0]}".rstrip("/") for r in files.select(folder).distinct().collect())
+
+
+def binary_files(spark: SparkSession, root: str | list[str], pattern: str = "*", modified_after: str | None = None) -> DataFrame:
     """(path, file_name, content); the modification-time filter is applied before any file is opened."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
              .option("recursiveFileLookup", "true").load(root))
@@ -24,11 +31,15 @@ def whole_text(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
             .select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("text")))
 
 
-def documents(spark: SparkSession, root: str, pending: DataFrame, pattern: str = "*",
+def documents(spark: SparkSession, base: str, pending: DataFrame, pattern: str = "*",
               modified_after: str | None = None) -> DataFrame:
-    """Content of the pending files with their audit-log columns; the file list stays distributed."""
+    """Content of the pending files (paths relative to `base`) with their audit-log columns.
+
+    Pass `pending` as a written table: Spark then knows its size and joins it by broadcast while
+    it is small, leaving the contents unshuffled.
+    """
     todo = pending.withColumn("file_name", file_name("file_path"))
-    found = binary_files(spark, root, pattern, modified_after).select("file_name", F.col("content").cast("string").alias("text"))
+    found = binary_files(spark, touched_folders(base, pending), pattern, modified_after).select("file_name", F.col("content").cast("string").alias("text"))
     return found.join(todo, "file_name")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltframe.functions.scalars import any_present, file_name
-from voltframe.operators.quality import require_present, require_subset
+from voltframe.operators.quality import enforce
 
 VARIABLES = ["temperature_2m", "wind_speed_10m", "wind_speed_100m",
              "shortwave_radiation", "cloud_cover", "precipitation"]     # fixed values
@@ -16,7 +16,7 @@ SCHEMA = ("timezone string, hourly struct<time: array<string>, "
           + ", ".join(f"{v}: array<double>" for v in VARIABLES) + ">")
 
 
-def read(spark: SparkSession, root: str) -> DataFrame:
+def read(spark: SparkSession, root: str | list[str]) -> DataFrame:
     return (spark.read.schema(SCHEMA).option("multiLine", True).option("recursiveFileLookup", "true").json(root)
             .select(file_name("_metadata.file_path").alias("file_name"), "timezone", "hourly"))
 
@@ -31,16 +31,18 @@ def flatten(raw: DataFrame, *keep: str) -> DataFrame:
             .where(any_present(*VARIABLES)))
 
 
-def parse(raw: DataFrame, files: DataFrame, locations: DataFrame, check: bool = True) -> DataFrame:
-    """Flattened hours joined to the audit log and to the location's country."""
-    if check:
-        require_subset(raw, "timezone", UTC_NAMES, "weather time zone")
+def parse(raw: DataFrame, files: DataFrame, locations: DataFrame) -> DataFrame:
+    """Flattened hours joined to the audit log and to the location's country.
+
+    A time zone other than UTC or a location missing in the reference fails the job.
+    """
+    in_utc = enforce(raw, F.col("timezone").isin(*UTC_NAMES),
+                     F.concat(F.lit("weather times must be UTC, got "), F.coalesce("timezone", F.lit("none"))))
     source = F.when(F.col("dataset").contains("archive"), "archive").otherwise("forecast")
     meta = files.select(file_name("file_path").alias("file_name"), F.col("area_key").alias("location_code"),
                         source.alias("data_source"), F.col("file_path").alias("_source_file"),
                         F.col("ingested_at_utc").alias("_bronze_ingested_at"))
-    parsed = (flatten(raw, "file_name").join(meta, "file_name")
+    parsed = (flatten(in_utc, "file_name").join(meta, "file_name")
               .join(locations.select("location_code", "country_code"), "location_code", "left").drop("file_name"))
-    if check:
-        require_present(parsed, "country_code", "location_code", "location missing in the reference")
-    return parsed
+    return enforce(parsed, F.col("country_code").isNotNull(),
+                   F.concat(F.lit("location missing in the reference: "), F.col("location_code")))
