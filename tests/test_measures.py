@@ -87,9 +87,12 @@ def test_change_and_answers(star):
     january, february = ("month", F.col("month") == 1), ("month", F.col("month") == 2)
     change = questions.intensity_change(star, "NL", january, february)
     assert only(change)[0] == "Decreased"
-    assert only(questions.change_text(change)) == "Decreased from 82.0 to 80.0 gCO2e/kWh (-2.4%)"
-    assert only(questions.greenest_hour_text(questions.greenest_hours(star, "DE")))[1] == "Typically 00:00 UTC, about 400 gCO2e/kWh"
+    assert only(questions.answer(change, "intensity_change")) == "Decreased from 82.0 to 80.0 gCO2e/kWh (-2.4%)"
+    assert only(questions.answer(questions.greenest_hours(star, "DE"), "greenest_hour")) == "Typically 00:00 UTC, about 400 gCO2e/kWh"
     assert only(questions.trade_balance(star, "NL")) == ("Net importer", 3 / 1e6)
+    assert only(questions.answer(questions.trade_balance(star, "NL"), "trade_balance")) == "Net importer (0.0 TWh net over the period)"
+    assert only(questions.answer(questions.overall(star), "overall")) == "233.3 gCO2e/kWh, coverage 95.5%"
+    assert only(questions.answer(questions.most_renewable_country(star), "most_renewable_country")) == "Germany (80.0%)"
 
 
 def test_unknown_members_stay_in_totals(star, spark):

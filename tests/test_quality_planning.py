@@ -101,6 +101,20 @@ def test_windows_by_mode(frame):
         plan("other")
 
 
+def test_weather_windows_are_batched(spark, frame):
+    active = scope.active_rows(reference.country(spark)).select("country_code")
+    locations = reference.weather_location(spark).join(active, "country_code").select(F.col("location_code").alias("area_key"))
+    assert locations.count() == 11
+    marks = locations.select(F.lit("weather_hourly_archive").alias("dataset"), "area_key", F.lit("2024-02-20").cast("timestamp").alias("loaded_until_utc"))
+    plan = planning.weather_windows(locations, "incremental", "2024-03-01 05:00:00", watermarks=marks)
+    assert plan.count() == 22
+    calls = planning.batch_windows(plan, "area_key")
+    assert clock(calls, "dataset", "chunk_start", "chunk_end", "calls_saved") == [
+        ("weather_hourly_archive", "2024-02-13 00:00", "2024-02-24 00:00", 10), ("weather_hourly_forecast", "2024-02-23 00:00", "2024-03-03 00:00", 10)]
+    test_mode = planning.weather_windows(locations, "test", "2024-03-01 05:00:00").where("dataset LIKE '%archive'")
+    assert clock(test_mode.select("chunk_start", "chunk_end").distinct()) == [("2024-02-21 00:00", "2024-02-24 00:00")]
+
+
 LOG = "dataset string, area_key string, request_start_utc timestamp, request_end_utc timestamp, status string, ingested_at_utc timestamp"
 
 

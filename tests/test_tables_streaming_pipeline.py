@@ -201,6 +201,18 @@ def test_daily_job_end_to_end(spark, job):
     assert found(store.read("gold_run_log"), "status") == [("FAILED",), ("OK",), ("OK",)]
 
 
+def test_seeding_leaves_switches_alone(spark, tmp_path):
+    store = pipeline.lake(spark, str(tmp_path / "lake"))
+    assert sum(c.inserted for c in pipeline.seed_reference(store).values()) == 12 + 20 + 54 + 40 + 21 + 23
+    switched = store.read("country").withColumn("is_active", F.lit(True)).withColumn(
+        "country_name", F.when(F.col("country_code") == "NL", "Holland").otherwise(F.col("country_name")))
+    store.overwrite("country", switched)
+    again = pipeline.seed_reference(store)
+    assert tuple(again["country"]) == (0, 1, 0) and not any(any(c) for n, c in again.items() if n != "country")
+    assert store.read("country").where("is_active").count() == 12
+    assert store.read("country").where("country_name = 'Holland'").isEmpty()
+
+
 def test_calendar_rules():
     assert pipeline.full_scan_due("2025-01-05") and not pipeline.full_scan_due("2025-01-06")
     assert pipeline.monthly_branch_due("2025-02-01") and not pipeline.monthly_branch_due("2025-02-02")

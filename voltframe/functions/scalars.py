@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from string import Formatter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -128,15 +129,23 @@ def before(df: DataFrame, ts: str, instant: str) -> Column:
     return F.col(ts) < F.lit(instant).cast(df.schema[ts].dataType)
 
 
-def fixed(value: ColumnLike, decimals: int = 1) -> Column:
-    """Number as text with fixed decimals and no grouping, like a `{x:.1f}` template slot."""
-    return F.format_string(f"%.{decimals}f", _col(value).cast("double"))
-
-
-def percent(value: ColumnLike, decimals: int = 1, signed: bool = False) -> Column:
-    sign = "+" if signed else ""
-    return F.format_string(f"%{sign}.{decimals}f%%", _col(value).cast("double") * 100)
-
-
-def clock_hour(value: ColumnLike) -> Column:
-    return F.concat(F.lpad(_col(value).cast("int").cast("string"), 2, "0"), F.lit(":00"))
+def fill_template(template: str) -> Column:
+    """Text with `{column:spec}` slots filled from the row; specs are those of number formats:
+    `.1f`, `02.0f`, `.1%`, `+.1%`. A slot without a spec takes the column as text."""
+    pattern, values = "", []
+    for literal, name, spec, _ in Formatter().parse(template):
+        pattern += literal.replace("%", "%%")
+        if name is None:
+            continue
+        value = F.col(name)
+        if spec.endswith("%"):
+            pattern += f"%{spec[:-1]}f%%"
+            value = value.cast("double") * 100
+        elif spec:
+            pattern += f"%{spec}"
+            value = value.cast("double")
+        else:
+            pattern += "%s"
+            value = value.cast("string")
+        values.append(value)
+    return F.format_string(pattern, *values)

@@ -15,7 +15,7 @@ def _days(instant: Column, days: Column | int) -> Column:
     return instant + F.make_dt_interval(n)
 
 
-def windows(targets: DataFrame, mode: str, as_of: str, *, keys: Sequence[str] = ("dataset", "area_key"),
+def windows(targets: DataFrame, mode: str, as_of: str | Column, *, keys: Sequence[str] = ("dataset", "area_key"),
             watermarks: DataFrame | None = None, backfill_start: str = "2024-01-01", test_days: int = 3,
             repull_days: int = 3, ahead_days: Column | int = 1) -> DataFrame:
     """One download window per target.
@@ -23,7 +23,7 @@ def windows(targets: DataFrame, mode: str, as_of: str, *, keys: Sequence[str] =
     test: the last `test_days`. backfill: from `backfill_start`. incremental: from the
     target's watermark less `repull_days`, so that late corrections are fetched again.
     """
-    today = F.date_trunc("day", F.lit(as_of).cast("timestamp"))
+    today = F.date_trunc("day", F.lit(as_of).cast("timestamp"))     # a column passes through lit
     origin = F.lit(backfill_start).cast("timestamp")
     if mode == "test":
         planned = targets.withColumn("window_start", _days(today, -test_days)).withColumn("window_end", today)
@@ -39,6 +39,21 @@ def windows(targets: DataFrame, mode: str, as_of: str, *, keys: Sequence[str] =
     return planned
 
 
+def weather_windows(locations: DataFrame, mode: str, as_of: str, *, watermarks: DataFrame | None = None,
+                    backfill_start: str = "2024-01-01", test_days: int = 3, archive_delay_days: int = 6, repull_days: int = 7,
+                    past_days: int = 7, forecast_days: int = 2) -> DataFrame:
+    """Download chunks per location: the archive up to its delay in calendar years, and one
+    forecast window that bridges the delay. `locations` holds dataset-free area keys."""
+    archive = locations.select(F.lit("weather_hourly_archive").alias("dataset"), "area_key")
+    archive_as_of = _days(F.date_trunc("day", F.lit(as_of).cast("timestamp")), -archive_delay_days)
+    planned = windows(archive, mode, archive_as_of, watermarks=watermarks, backfill_start=backfill_start, test_days=test_days,
+                      repull_days=repull_days, ahead_days=0)
+    today = F.date_trunc("day", F.lit(as_of).cast("timestamp"))
+    forecast = locations.select(F.lit("weather_hourly_forecast").alias("dataset"), "area_key",
+                                _days(today, -past_days).alias("chunk_start"), _days(today, forecast_days).alias("chunk_end"))
+    return chunks(planned, "year").unionByName(forecast)
+
+
 def price_ahead(dataset: str = "dataset") -> Column:
     """Day-ahead prices exist for tomorrow, everything else only for today."""
     return F.when(F.col(dataset) == "day_ahead_price", 2).otherwise(1)

@@ -8,9 +8,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from voltframe.operators import merge, quality
-from voltframe.operators.tables import Day, Lake
+from voltframe.operators.tables import Counts, Day, Lake
 from voltframe.plans import gold, silver
 from voltframe.schemas import KEYS
+from voltframe.sources import reference
 
 RANGES = {      # fixed values: plausible bounds per measure
     "silver_load": [("load_mw", 0, 150000)],
@@ -35,6 +36,16 @@ def lake(spark, root: str) -> Lake:
     return Lake(spark, root, days=DAYS)
 
 
+def seed_reference(store: Lake) -> Mapping[str, Counts]:
+    """Merge the reference data. A re-run updates changed descriptions only; switches such as
+    `is_active` keep what was set since."""
+    done = {}
+    for name, (keys, insert_only) in reference.SEED_KEYS.items():
+        rows = getattr(reference, name)(store.spark)
+        done[name] = store.upsert(name, rows, keys, insert_only=insert_only)
+    return done
+
+
 def full_scan_due(as_of: str) -> bool:
     """Full completeness scans run on Sundays."""
     return dt.date.fromisoformat(as_of[:10]).isoweekday() == 7

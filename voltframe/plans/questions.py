@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltframe.functions.scalars import clock_hour, fixed, percent, ratio
+from voltframe.functions.scalars import fill_template, ratio
 from voltframe.operators.dedupe import top_with_ties
 from voltframe.plans.measures import Star, evaluate, with_dimensions
 
@@ -177,18 +177,25 @@ def slicer(star: Star, dim: str, column: str, fact: str) -> DataFrame:
 
 # ---- answer texts ----------------------------------------------------------------------
 
-
-def greenest_hour_text(answer: DataFrame) -> DataFrame:
-    return answer.select("hour_key", F.concat(
-        F.lit("Typically "), clock_hour("hour_key"), F.lit(" UTC, about "), fixed("carbon_intensity", 0),
-        F.lit(" gCO2e/kWh")).alias("answer"))
-
-
-def change_text(answer: DataFrame) -> DataFrame:
-    return answer.select(F.concat(
-        F.col("direction"), F.lit(" from "), fixed("before"), F.lit(" to "), fixed("after"), F.lit(" gCO2e/kWh ("),
-        percent("change", signed=True), F.lit(")")).alias("answer"))
-
-
-def share_text(answer: DataFrame, column: str, *labels: str) -> DataFrame:
-    return answer.select(*labels, percent(column).alias("answer"))
+# How each answer is worded.
+ANSWERS = {
+    "greenest_hour": "Typically {hour_key:02.0f}:00 UTC, about {carbon_intensity:.0f} gCO2e/kWh",
+    "intensity_on_date": "{carbon_intensity:.1f} gCO2e/kWh (daily value)",
+    "overall": "{carbon_intensity:.1f} gCO2e/kWh, coverage {factor_coverage:.1%}",
+    "cleanest_country": "{country_name} ({carbon_intensity:.1f} gCO2e/kWh)",
+    "best_hour": "Around {greenest_hour:02.0f}:00 UTC",
+    "dirtiest_month": "{month_name} ({carbon_intensity:.1f} gCO2e/kWh)",
+    "renewable_share": "{renewable_share:.1%}",
+    "intensity_change": "{direction} from {before:.1f} to {after:.1f} gCO2e/kWh ({change:+.1%})",
+    "average_price": "EUR {avg_price:.1f}/MWh",
+    "negative_hours": "{negative_price_hours:.0f} hours",
+    "trade_balance": "{label} ({twh:.1f} TWh net over the period)",
+    "category_share": "{share:.1%}",
+    "most_renewable_country": "{country_name} ({renewable_share:.1%})",
+    "cheapest_hour": "Around {hour_key:02.0f}:00 UTC (average across bidding zones, EUR {avg_price:.1f}/MWh)",
+    "seasonal_wind": "{avg_wind_100m:.1f} km/h at 100 m",
+}
+
+
+def answer(result: DataFrame, question: str) -> DataFrame:
+    return result.select(fill_template(ANSWERS[question]).alias("answer"))

@@ -135,10 +135,10 @@ def q_greenest_hour(spark, sf):
 
 
 @query("q_greenest_hour_text", _with("carbon") + f"""
-SELECT CAST(k AS BIGINT) AS hour_key, 'Typically ' || lpad(CAST(k AS VARCHAR), 2, '0') || ':00 UTC, about ' || printf('%.0f', ci) || ' gCO2e/kWh' AS answer FROM (
+SELECT 'Typically ' || lpad(CAST(k AS VARCHAR), 2, '0') || ':00 UTC, about ' || printf('%.0f', ci) || ' gCO2e/kWh' AS answer FROM (
   SELECT *, rank() OVER (ORDER BY ci) AS o FROM {_HOURS} WHERE country_code = 'C3') WHERE o = 1""")
 def q_greenest_hour_text(spark, sf):
-    return plain(questions.greenest_hour_text(questions.greenest_hours(views.star(spark, sf), "C3")))
+    return questions.answer(questions.greenest_hours(views.star(spark, sf), "C3"), "greenest_hour")
 
 
 @query("q_intensity_on_date", _with("carbon") + f"""
@@ -215,7 +215,7 @@ def q_intensity_change(spark, sf):
 SELECT CASE WHEN b < a THEN 'Decreased' ELSE 'Increased' END || ' from ' || printf('%.1f', a) || ' to ' || printf('%.1f', b) || ' gCO2e/kWh (' ||
   printf('%+.1f', 100 * (b - a) / a) || '%)' AS answer FROM p""")
 def q_intensity_change_text(spark, sf):
-    return questions.change_text(_change(spark, sf))
+    return questions.answer(_change(spark, sf), "intensity_change")
 
 
 @query("q_average_price", _with("pricef") + f"SELECT round({_div('sum(p2)', 'count(*)')} / 100, 6) AS avg_price FROM pricef WHERE country_code = 'C3' AND year(h) = 2024")
@@ -243,9 +243,9 @@ def q_fossil_share(spark, sf):
 
 
 @query("q_renewable_share_text", _with("carbon") + f"""
-SELECT country_name, printf('%.1f', 100 * {_div('sum(r)', 'sum(t)')}) || '%' AS answer FROM carbon GROUP BY 1""")
+SELECT printf('%.1f', 100 * {_div('sum(r)', 'sum(t)')}) || '%' AS answer FROM carbon GROUP BY country_name""")
 def q_renewable_share_text(spark, sf):
-    return questions.share_text(evaluate(views.star(spark, sf), ["renewable_share"], ["country_name"]), "renewable_share", "country_name")
+    return questions.answer(evaluate(views.star(spark, sf), ["renewable_share"], ["country_name"]), "renewable_share")
 
 
 @query("q_cheapest_hour", _extreme("pricef", "hour_key", _div("sum(p2)", "count(*)") + " / 100", "avg_price", "ASC", "country_code = 'C2'"))

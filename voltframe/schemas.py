@@ -319,7 +319,55 @@ GOLD = {
     """),
 }
 
-TABLES = {**CONTROL, **SILVER, **GOLD}
+REFERENCE = {
+    "country": describe("""
+        country_code string !
+        country_name string !
+        time_zone string !
+        is_active boolean !     # switch, owned by the business
+    """),
+    "area": describe("""
+        area_code string !
+        eic_code string !
+        area_name string !
+        country_code string !   # owning country, DE_LU belongs to DE
+        is_country_area boolean !   # load, generation, flows
+        is_bidding_zone boolean !   # prices
+    """),
+    "dataset_area": describe("""
+        dataset string !
+        area_code string !
+        is_enabled boolean !
+    """),
+    "interconnector": describe("""
+        from_area_code string !
+        to_area_code string !
+        is_enabled boolean !
+    """),
+    "production_type": describe("""
+        psr_type_code string !
+        grid_name string !
+        fuel_category string !
+        is_renewable boolean !
+        is_low_carbon boolean !     # renewable or nuclear
+        lifecycle_gco2e_per_kwh decimal(6,1)    # NULL: no factor, not zero
+        emission_factor_source string !
+    """),
+    "weather_location": describe("""
+        location_code string !
+        country_code string !
+        location_name string !
+        latitude decimal(8,5) !
+        longitude decimal(8,5) !
+        weight decimal(5,4) !   # weights of a country sum to 1
+    """),
+    "user_country": describe("""
+        user_name string !
+        country_code string !   # * means every country
+    """),
+}
+
+TABLES = {**CONTROL, **SILVER, **GOLD, **REFERENCE}
 
 
 def align(df: DataFrame, schema: T.StructType, name: str = "table") -> DataFrame:
