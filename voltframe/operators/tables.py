@@ -81,10 +81,12 @@ class Lake:
         return out.select(self._stored_schema(table).fieldNames())
 
     def _write(self, table: str, df: DataFrame, mode: str, overwrite: str = "dynamic") -> None:
-        writer = df.write.mode(mode).option("partitionOverwriteMode", overwrite)
-        if table in self.days:
-            writer = writer.partitionBy(self.days[table].column)
-        writer.parquet(self.path(table))
+        """Rows are gathered by day before they are written, or every task would add a file to
+        every day; the rebalance hint splits a large day over several tasks."""
+        by = [self.days[table].column] if table in self.days else []
+        gathered = df.hint("rebalance", *by) if by else df
+        writer = gathered.write.mode(mode).option("partitionOverwriteMode", overwrite)
+        (writer.partitionBy(*by) if by else writer).parquet(self.path(table))
 
     def staged(self, label: str, df: DataFrame) -> DataFrame:
         """A written copy in the shared folder: lineage ends here and the size is known."""

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,7 +85,8 @@ def load_grid(lake: Lake, raw_root: str, dataset: str, as_of: str, production_ty
               mode: str = "incremental", modified_after: str | None = None) -> Mapping[str, int]:
     """Parse the new documents of one dataset into its silver table.
 
-    Documents with a fault are quarantined whole and count as processed.
+    Documents with a fault are quarantined whole and count as processed. The documents are
+    parsed once; their rows and faults are written down together and then told apart.
     """
     table = GRID_TABLES[dataset]
     todo = _fixed_list(lake, planning.pending(lake.read("ctl_ingest_log"), lake.read("ctl_silver_state"), GRID_SOURCE,
@@ -94,19 +94,16 @@ def load_grid(lake: Lake, raw_root: str, dataset: str, as_of: str, production_ty
     if todo.isEmpty():
         return {"inserted": 0, "updated": 0, "rejected": 0}
     docs = raw_files.documents(lake.spark, raw_root, todo, modified_after=modified_after)
-    parsed = grid_xml.read_documents(docs).drop("text").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        bad = grid_xml.rejected(parsed, table, "file_path", as_of).persist()
-        rejected = bad.count()
-        if rejected:
-            lake.append("dq_quarantine", bad)
-        bad.unpersist()
-        found = (grid_xml.intervals(parsed, "area_key", "file_path", "ingested_at_utc")
-                 .withColumnsRenamed({"file_path": "_source_file", "ingested_at_utc": "_bronze_ingested_at"}))
-        rows = _stamped(shape(dataset, latest_intervals(found), production_type), as_of)
-        counts = lake.upsert(table, align(rows, SILVER[table], table), KEYS[table], lineage=LINEAGE)
-    finally:
-        parsed.unpersist()
+    carried = ("area_key", "file_path", "ingested_at_utc")
+    parsed = lake.staged("parsed", grid_xml.intervals(grid_xml.read_documents(docs), *carried, faults=True))
+    bad = grid_xml.rejected(parsed, table, "file_path", as_of)
+    rejected = bad.count()
+    if rejected:
+        lake.append("dq_quarantine", bad)
+    found = parsed.where(F.col("fault").isNull()).drop("fault").withColumnsRenamed(
+        {"file_path": "_source_file", "ingested_at_utc": "_bronze_ingested_at"})
+    rows = _stamped(shape(dataset, latest_intervals(found), production_type), as_of)
+    counts = lake.upsert(table, align(rows, SILVER[table], table), KEYS[table], lineage=LINEAGE)
     _advance_state(lake, todo, as_of)
     return {"inserted": counts.inserted, "updated": counts.updated, "rejected": rejected}
 
@@ -120,27 +117,22 @@ def load_weather(lake: Lake, raw_root: str, locations: DataFrame, as_of: str, mo
         return {"inserted": 0, "updated": 0}
     names = todo.select(file_name("file_path").alias("file_name"))
     raw = weather_json.read(lake.spark, raw_files.touched_folders(raw_root, todo)).join(names, "file_name", "left_semi")
-    batch = _stamped(best_weather(weather_json.parse(raw, todo, locations)), as_of).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        counts = lake.upsert("silver_weather_hourly", batch, KEYS["silver_weather_hourly"], lineage=LINEAGE, guard=keep_observed)
-        first_day = batch.agg(F.min(date_key("ts_utc"))).first()[0]
-        touched = series.restrict_to_touched(lake.read("silver_weather_hourly", first_day), batch, ["country_code"], "ts_utc")
-        lake.upsert("silver_weather_country_hourly", _stamped(country_weather(touched, locations), as_of),
-                    KEYS["silver_weather_country_hourly"], lineage=LINEAGE)
-    finally:
-        batch.unpersist()
+    batch = lake.staged("weather", _stamped(best_weather(weather_json.parse(raw, todo, locations)), as_of))
+    counts = lake.upsert("silver_weather_hourly", batch, KEYS["silver_weather_hourly"], lineage=LINEAGE, guard=keep_observed)
+    first_day = batch.agg(F.min(date_key("ts_utc"))).first()[0]
+    touched = series.restrict_to_touched(lake.read("silver_weather_hourly", first_day), batch, ["country_code"], "ts_utc")
+    lake.upsert("silver_weather_country_hourly", _stamped(country_weather(touched, locations), as_of),
+                KEYS["silver_weather_country_hourly"], lineage=LINEAGE)
     _advance_state(lake, todo, as_of, state_key)
     return {"inserted": counts.inserted, "updated": counts.updated}
 
 
 def load_holidays(lake: Lake, raw_root: str, as_of: str) -> Mapping[str, int]:
     """The holiday snapshot: vanished holidays are removed."""
-    typed = json_records.holiday_files(lake.spark, raw_root)
+    typed = lake.staged("holidays", json_records.holiday_files(lake.spark, raw_root))
     good, bad = json_records.clean_holidays(typed, as_of)
-    bad = bad.persist()
     rejected = bad.count()
     if rejected:
         lake.append("dq_quarantine", bad)
-    bad.unpersist()
     counts = lake.upsert("silver_holiday", _stamped(good, as_of), KEYS["silver_holiday"], lineage=LINEAGE, delete_missing=True)
     return {**counts._asdict(), "rejected": rejected}

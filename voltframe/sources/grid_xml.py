@@ -76,22 +76,24 @@ def _fault(doc: Column, dataset: Column) -> Column:
              .when(any_point(bad_position), "missing or unreadable position"))
 
 
-def intervals(read: DataFrame, *keep: str) -> DataFrame:
+def intervals(read: DataFrame, *keep: str, faults: bool = False) -> DataFrame:
     """One row per interval of the sound documents, `keep` naming document columns to carry.
 
     Curve A03 repeats a value until the next listed position; any other curve has listed
     positions only. The last of a repeated position wins. Work is bounded by one document.
+    With `faults` each faulty document passes through as a single row whose `fault` is set, so
+    that one pass over the documents yields both results.
     """
     dataset = F.col("dataset")
-    series = (read.where(F.col("fault").isNull())
-              .select("dataset", *keep, F.explode("doc.TimeSeries").alias("series")))
+    sound = F.when(F.col("fault").isNull(), F.col("doc.TimeSeries"))
+    series = read.select("dataset", *keep, "fault", F.explode_outer(sound).alias("series"))
     out_domain = F.col("series").getField(OUT_DOMAIN).isNotNull()
     periods = series.select(
-        "dataset", *keep,
+        "dataset", *keep, "fault",
         blank_to_null(F.col("series.MktPSRType.psrType")).alias("psr_type_code"),
         F.when(dataset == GENERATION_DATASET, F.when(out_domain, "consumption").otherwise("generation")).alias("direction"),
         F.coalesce(blank_to_null(F.col("series.curveType")), F.lit("A01")).alias("curve"),
-        F.explode("series.Period").alias("period"))
+        F.explode_outer("series.Period").alias("period"))
     timed = _computed(periods, start=iso_timestamp("period.timeInterval.start"), end=iso_timestamp("period.timeInterval.end"),
                       resolution_minutes=iso_minutes("period.resolution"))
     timed = _computed(timed, slots=slot_count("start", "end", "resolution_minutes"))
@@ -105,13 +107,14 @@ def intervals(read: DataFrame, *keep: str) -> DataFrame:
     pairs = F.zip_with("points", F.slice("points", F.lit(2), F.greatest(F.size("points"), F.lit(1))),
                        lambda p, q: F.struct(p.getField("position").alias("position"), p.getField("value").alias("value"),
                                              q.getField("position").alias("next")))
-    runs = (ordered.where(F.col("points").isNotNull()).select("*", F.inline(pairs))
+    runs = (ordered.select("*", F.inline_outer(pairs))
             .where(F.col("next").isNull() | (F.col("next") != F.col("position"))))
     last = F.when(F.col("curve") == "A03", F.coalesce(F.col("next") - 1, "slots")).otherwise(F.col("position"))
-    listed = runs.withColumn("slot", F.explode(F.sequence("position", last)))
-    return listed.select("dataset", *keep, "psr_type_code", "direction",
-                         slot_start("start", "slot", "resolution_minutes").alias("ts_utc"),
-                         "resolution_minutes", "value")
+    listed = runs.withColumn("slot", F.explode_outer(F.sequence("position", last)))
+    wanted = F.col("value").isNotNull() | F.col("fault").isNotNull() if faults else F.col("value").isNotNull()
+    return listed.where(wanted).select(
+        "dataset", *keep, "psr_type_code", "direction", slot_start("start", "slot", "resolution_minutes").alias("ts_utc"),
+        "resolution_minutes", "value", *(["fault"] if faults else []))
 
 
 def rejected(read: DataFrame, table: str, source_file: str, detected_at: str | None = None) -> DataFrame:

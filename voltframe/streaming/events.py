@@ -13,6 +13,8 @@ from voltframe.operators.dedupe import latest
 from voltframe.operators.tables import Lake
 from voltframe.session import new_folder
 
+SALTS = 16
+
 # The dock feed; it has no event time, so windows on it use arrival time.
 DOCK_SCHEMA = ("BikepointID string, Street string, Neighbourhood string, Latitude double, Longitude double, "
                "No_Bikes bigint, No_Empty_Docks bigint")
@@ -37,7 +39,12 @@ def tumbling(events: DataFrame, ts: str, delay: str, window: str, keys: Sequence
 
 def sessions(events: DataFrame, ts: str, delay: str, gap: str, keys: Sequence[str],
              aggregates: Mapping[str, Column]) -> DataFrame:
-    """Aggregates per activity session: events of a key no further apart than `gap`."""
+    """Aggregates per activity session: events of a key no further apart than `gap`.
+
+    Sessions are merged inside each map task first, so a very active key is shuffled as a few
+    partial sessions.
+    """
+    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     grouped = events.withWatermark(ts, delay).groupBy(F.session_window(ts, gap), *keys)
     return _bounds(grouped.agg(*[a.alias(n) for n, a in aggregates.items()]), "session_window", [*keys, *aggregates])
 
@@ -48,8 +55,14 @@ def _bounds(df: DataFrame, window: str, columns: Sequence[str]) -> DataFrame:
 
 
 def first_seen(events: DataFrame, ts: str, delay: str, keys: Sequence[str]) -> DataFrame:
-    """One event per key; keys are remembered for `delay` of event time."""
-    return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    """One event per key; keys are remembered for `delay` of event time.
+
+    Copies are first removed within a salt, so of a key with very many copies at most
+    `SALTS` reach the task that owns it.
+    """
+    salted = events.withWatermark(ts, delay).withColumn("_salt", F.monotonically_increasing_id() % SALTS)
+    once_per_salt = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+    return once_per_salt.dropDuplicatesWithinWatermark(list(keys))
 
 
 def failures(events: DataFrame, column: str, failed: str) -> DataFrame:
