@@ -127,6 +127,18 @@ def test_late_events_are_dropped(spark, tmp_path):
     assert clock(spark.read.parquet(out), "window_start", "n") == [("2025-01-01 00:00", 1), ("2025-01-01 03:00", 1)]
 
 
+def test_repeats_are_dropped_across_batches(spark, tmp_path):
+    feed, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+
+    def send(*events):
+        rows(spark, EVENT, events).repartition(2).write.mode("append").parquet(str(feed))
+        streams.to_table(streams.first_seen(stream_of(spark, feed), "ts", "1 day", ["id"]), out, check)
+
+    send(*[(1, at("2025-01-01 00:10"), "a", 1)] * 4, (2, at("2025-01-01 00:10"), "a", 1))
+    send((1, at("2025-01-01 00:10"), "a", 1), (3, at("2025-01-01 01:10"), "a", 1))
+    assert found(spark.read.parquet(out), "id") == [(1,), (2,), (3,)]
+
+
 # ---- the daily job ---------------------------------------------------------------------
 
 

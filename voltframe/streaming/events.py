@@ -13,8 +13,6 @@ from voltframe.operators.dedupe import latest
 from voltframe.operators.tables import Lake
 from voltframe.session import new_folder
 
-SALTS = 16
-
 # The dock feed; it has no event time, so windows on it use arrival time.
 DOCK_SCHEMA = ("BikepointID string, Street string, Neighbourhood string, Latitude double, Longitude double, "
                "No_Bikes bigint, No_Empty_Docks bigint")
@@ -57,12 +55,12 @@ def _bounds(df: DataFrame, window: str, columns: Sequence[str]) -> DataFrame:
 def first_seen(events: DataFrame, ts: str, delay: str, keys: Sequence[str]) -> DataFrame:
     """One event per key; keys are remembered for `delay` of event time.
 
-    Copies are first removed within a salt, so of a key with very many copies at most
-    `SALTS` reach the task that owns it.
+    Copies are first removed per input partition, so a key with very many copies is spread over
+    tasks, and the task that owns it sees one copy per partition.
     """
-    salted = events.withWatermark(ts, delay).withColumn("_salt", F.monotonically_increasing_id() % SALTS)
-    once_per_salt = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
-    return once_per_salt.dropDuplicatesWithinWatermark(list(keys))
+    spread = events.withWatermark(ts, delay).withColumn("_part", F.spark_partition_id())
+    once_per_part = spread.dropDuplicatesWithinWatermark([*keys, "_part"]).drop("_part")
+    return once_per_part.dropDuplicatesWithinWatermark(list(keys))
 
 
 def failures(events: DataFrame, column: str, failed: str) -> DataFrame:
