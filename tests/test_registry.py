@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 from oracle import database, differences
+from voltframe.registry import all_oracles, all_queries
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +22,7 @@ def test_query_matches_its_sql(spark, duck, name):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):
