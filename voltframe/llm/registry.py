@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltframe.llm import quality
+from voltframe.llm import quality, secrets, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_secrets": secrets.op2_secrets,
+        "op4_token_files": token_files.op4_token_files,
         "op10_quality": quality.op10_quality,
     }
 
