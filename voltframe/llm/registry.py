@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltframe.llm import bpe, packing, quality, secrets, token_files
+from voltframe.llm import bpe, language_model, packing, quality, secrets, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_secrets": secrets.op2_secrets,
         "op4_token_files": token_files.op4_token_files,
+        "op5_language_model": language_model.op5_language_model,
         "op6_bpe": bpe.op6_bpe,
         "op9_packing": packing.op9_packing,
         "op10_quality": quality.op10_quality,
