@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltframe.llm import bpe, language_model, minhash, packing, quality, secrets, token_files
+from voltframe.llm import bpe, language_id, language_model, minhash, packing, quality, secrets, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_id": language_id.op1_language_id,
         "op2_secrets": secrets.op2_secrets,
         "op4_token_files": token_files.op4_token_files,
         "op5_language_model": language_model.op5_language_model,
