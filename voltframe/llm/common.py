@@ -23,6 +23,7 @@ from voltframe.session import new_folder
 
 WORD_SPLIT = r"[ \t-\r]+"
 SLICE_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 _shipped: set[str] = set()
 
 
@@ -31,7 +32,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give executors this package once per application, as `--py-files` would."""
+    """Give executors this package once per application, as `--py-files` would, and bound the bytes of a batch that a
+    Python worker receives at once, whatever the length of its texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

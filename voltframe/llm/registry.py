@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltframe.llm import bpe, language_id, language_model, minhash, packing, quality, secrets, token_files
+from voltframe.llm import bpe, language_id, language_model, minhash, multi_index, packing, quality, secrets, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_language_model": language_model.op5_language_model,
         "op6_bpe": bpe.op6_bpe,
         "op7_minhash": minhash.op7_minhash,
+        "op8_multi_index": multi_index.op8_multi_index,
         "op9_packing": packing.op9_packing,
         "op10_quality": quality.op10_quality,
     }

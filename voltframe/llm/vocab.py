@@ -19,7 +19,7 @@ import numpy as np
 from voltframe.llm.common import numbered, ragged, words_of
 
 WORD_VOCAB = "word_bpe_49k.json"
-STORE_PIECES = 250_000
+STORE_PIECES = 200_000
 TOGETHER = 256
 # The vocabulary's split pattern over lower-cased words of the characters U+0021-U+007E and U+00A1-U+00FF,
 # whose letters and numbers are spelt out; a line feed stands between words.
