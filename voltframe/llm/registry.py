@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltframe.llm import bpe, language_id, language_model, minhash, multi_index, packing, quality, secrets, token_files
+from voltframe.llm import bpe, language_id, language_model, licenses, minhash, multi_index, packing, quality, secrets, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": language_id.op1_language_id,
         "op2_secrets": secrets.op2_secrets,
+        "op3_licenses": licenses.op3_licenses,
         "op4_token_files": token_files.op4_token_files,
         "op5_language_model": language_model.op5_language_model,
         "op6_bpe": bpe.op6_bpe,
@@ -25,5 +26,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_licenses": licenses.ORACLE_SQL,
         "op10_quality": quality.ORACLE_SQL,
     }
