@@ -78,8 +78,8 @@ def units(docs: DataFrame, text: str = "text") -> DataFrame:
     # A unit of u bigrams has more words than bigrams and every word a character: short units go first.
     words = rows.filter(F.length("line") > 2 * low).select("doc_id", "unit", F.array_remove(F.split("line", "[^a-z0-9]+"), "").alias("words"))
     n = F.size("words")
-    found = words.filter(n > low).select("doc_id", "unit", F.array_distinct(F.transform(
-        F.slice("words", 2, F.greatest(n - 1, F.lit(1))), lambda w, i: F.concat_ws(" ", F.get("words", i), w))).alias("bigrams"))
+    pairs = F.zip_with(F.slice("words", 1, F.greatest(n - 1, F.lit(0))), F.slice("words", 2, F.greatest(n - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
+    found = words.filter(n > F.greatest(F.lit(1), F.lit(low))).select("doc_id", "unit", F.array_distinct(pairs).alias("bigrams"))
     return found.filter(F.size("bigrams").between(low, high))
 
 
