@@ -62,7 +62,8 @@ def kmeans(points: np.ndarray, k: int, seed: int, rounds: int = 12) -> np.ndarra
     for _ in range(rounds):
         near = distances(points, centres).argmin(1)
         n = np.bincount(near, minlength=k)
-        total = np.stack([np.bincount(near, points[:, j], k) for j in range(points.shape[1])], 1)
+        total = np.zeros_like(centres)
+        np.add.at(total, near, points)
         centres[n > 0] = total[n > 0] / n[n > 0, None]
     return centres
 
