@@ -185,15 +185,18 @@ def prefix_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
     order = Window.partitionBy("cid").orderBy("df", "shingle")
     length = F.col("n") - F.ceil(F.col("n") * PERCENT / 100 - 1e-9) + 1
     prefix = (rows.join(df, "shingle").withColumn("r", F.row_number().over(order)).filter((F.col("r") <= length) & (F.col("df") > 1))
-              .select("shingle", "cid", "n", "comp"))
+              .select("shingle", "cid", "n", "comp", "r"))
     prefix = staged(prefix, "prefixes")
     # Within a shingle the largest component stays on one side: its members are not held against each other.
     per = prefix.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("k"))
     main = per.groupBy("shingle").agg(F.max(F.struct("k", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
     main = staged(main.select("shingle", F.col("top.comp").alias("main")), "main")
     live = prefix.join(main, "shingle")
-    minor = staged(live.filter("comp <> main").select("shingle", F.col("cid").alias("c2"), F.col("n").alias("m"), F.col("comp").alias("comp2")), "minor")
-    return (prefix.join(minor, "shingle").filter((F.col("comp") != F.col("comp2")) & alike("n", "m"))
+    minor = staged(live.filter("comp <> main").select("shingle", F.col("cid").alias("c2"), F.col("n").alias("m"), F.col("comp").alias("comp2"), F.col("r").alias("q")),
+                   "minor")
+    # Of the first shingle that two sets have in common, at places r and q: they share no more than what follows it.
+    enough = (100 + PERCENT) * (1 + F.least(F.col("n") - F.col("r"), F.col("m") - F.col("q"))) >= PERCENT * (F.col("n") + F.col("m"))
+    return (prefix.join(minor, "shingle").filter((F.col("comp") != F.col("comp2")) & alike("n", "m") & enough)
             .select(F.least("cid", "c2").alias("a"), F.greatest("cid", "c2").alias("b")).distinct())
 
 
