@@ -65,3 +65,19 @@ def test_raw_path(frame):
     p = files.raw_path(F.lit("crossborder_flow"), F.lit("NL>DE"), F.col("s"), F.col("e"), F.lit("r1"), "xml")
     assert df.select(p).first()[0] == ("crossborder_flow/NL_to_DE/2024/01/"
                                       "crossborder_flow__NL_to_DE__20240115T0000_20240201T0000__r1.xml")
+
+
+def test_exact_sum_bears_large_totals_and_odd_values(spark):
+    big = spark.createDataFrame([(4e12,)] * 4 + [(1e13,), (None,)], "v double")
+    assert float(big.agg(f.exact_sum("v")).first()[0]) == 2.6e13
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (1.25,)], "v double")
+    assert float(odd.agg(f.exact_sum("v")).first()[0]) == 1.25
+    assert odd.where("v > 2").agg(f.exact_sum("v")).first()[0] is None
+
+
+def test_iso_timestamp_forms(spark):
+    forms = {"2024-01-01T00:00Z": "00:00", "2024-01-01T00:00:00.000Z": "00:00", "2024-01-01 00:00Z": "00:00", "2024-01-01": "00:00",
+             "2024-01-01T10:00+0200": "08:00", "2024-01-01T10:00+02": "08:00", "2024-01-01T10:00:05.5-01:30": "11:30", "2024": None, "x": None, "2024-13-01": None}
+    df = spark.createDataFrame(list(forms.items()), "t string, want string")
+    got = df.select("t", F.date_format(f.iso_timestamp("t"), "HH:mm").alias("v")).collect()
+    assert {r["t"]: r["v"] for r in got} == forms

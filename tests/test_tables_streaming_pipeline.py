@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -228,3 +230,56 @@ def test_seeding_leaves_switches_alone(spark, tmp_path):
 def test_calendar_rules():
     assert pipeline.full_scan_due("2025-01-05") and not pipeline.full_scan_due("2025-01-06")
     assert pipeline.monthly_branch_due("2025-02-01") and not pipeline.monthly_branch_due("2025-02-02")
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    store = Lake(spark, str(tmp_path / "lake"), {"flat": describe("a int !\nb string")})
+    store.overwrite("flat", spark.createDataFrame([(1, "x")], "a int, b string"))
+    bad = spark.createDataFrame([(2, "y"), (None, "z")], "a int, b string")
+    with pytest.raises(Exception, match="must not be NULL"):
+        store.overwrite("flat", bad)
+    assert found(store.read("flat")) == [(1, "x")]
+    # a crash between the two renames: the next read puts the table back
+    (tmp_path / "lake" / "flat").rename(tmp_path / "lake" / "flat.old")
+    assert found(store.read("flat")) == [(1, "x")]
+    store.overwrite("flat", store.read("flat").unionByName(spark.createDataFrame([(3, "w")], "a int, b string")))
+    assert found(store.read("flat")) == [(1, "x"), (3, "w")]
+    assert sorted(p.name for p in (tmp_path / "lake").iterdir()) == ["flat"]
+
+
+def test_no_staged_folder_is_left(spark, tmp_path, monkeypatch):
+    from voltframe.operators import tables
+
+    made = []
+    monkeypatch.setattr(tables, "new_folder", lambda s, label: made.append(str(tmp_path / f"{label}-{len(made)}")) or made[-1])
+    store = Lake(spark, str(tmp_path / "lake"), {"daily": describe("date_key int !\nk string\nn bigint")}, {"daily": Day()})
+    rows_of = lambda *r: spark.createDataFrame(list(r), "date_key int, k string, n bigint")
+    store.append("daily", rows_of((20240101, "a", 1), (20240102, "a", 1), (20240103, "a", 1)))
+    store.upsert("daily", rows_of((20240102, "a", 5)), ["date_key", "k"])
+    store.replace_window("daily", rows_of((20240103, "b", 2)), 20240102)
+    assert found(store.read("daily")) == [("a", 1, 20240101), ("b", 2, 20240103)] or found(store.read("daily"), "date_key", "k", "n") == [
+        (20240101, "a", 1), (20240103, "b", 2)]
+    assert made and not any(Path(m).exists() for m in made)
+
+
+def test_buckets_without_new_rows_keep_their_files(spark, tmp_path):
+    store = Lake(spark, str(tmp_path / "lake"), {"state": describe("k bigint\nv bigint")}, {"state": Day("bucket", of=("k",), buckets=16)})
+    store.upsert("state", spark.range(200).select(F.col("id").alias("k"), F.lit(0).cast("bigint").alias("v")), ["k"])
+    files = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "lake" / "state").rglob("*.parquet")}
+    before = files()
+    store.upsert("state", spark.createDataFrame([(7, 1)], "k bigint, v bigint"), ["k"])
+    after = files()
+    assert store.read("state").where("v = 1").count() == 1 and store.read("state").count() == 200
+    assert len({p.parent for p in before} - {p.parent for p in before if after.get(p) == before[p]}) == 1
+
+
+def test_thresholds_calendar_and_star_of_the_daily_job(spark, job, tmp_path):
+    from voltframe.plans.measures import evaluate
+
+    raw, store = job
+    put(raw, "kpi.csv", "country_code,carbon_intensity_alert_gco2e_per_kwh,price_spike_alert_eur_per_mwh,renewable_share_target_pct,valid_from,owner,note\nnl,300,200,70,2025-01-01,me,n\n")
+    pipeline.run(store, str(raw), reference.country(spark), reference.area(spark), reference.production_type(spark),
+                 reference.weather_location(spark), "2025-01-05 06:00:00", thresholds_path=str(raw / "kpi.csv"), run_optimize=True)
+    got = evaluate(pipeline.star(store), ["renewable_target", "renewable_gap", "carbon_alert_level", "renewable_gap_pp"], ["country_code"]).where("country_code = 'NL'").first()
+    assert all(got[c] is not None for c in ("renewable_target", "renewable_gap", "carbon_alert_level", "renewable_gap_pp"))
+    assert store.read("dim_hour").count() == 24 and store.read("dim_date").where("date_key = 20250101").count() == 1

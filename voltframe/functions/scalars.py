@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 ColumnLike = Column | str
 
-# The only duration form the grid documents use, and their timestamp forms.
+# The only duration form the grid documents use, and the forms of ISO timestamps.
 ISO_DURATION = r"^PT(?=\d)(?:(\d+)H)?(?:(\d+)M)?$"
-ISO_TIMESTAMP = "yyyy-MM-dd'T'HH:mm[:ss][XXX]"
+ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 
 
 def _col(c: ColumnLike) -> Column:
@@ -48,14 +48,14 @@ def ratio(numerator: ColumnLike, denominator: ColumnLike) -> Column:
 
 
 def exact_sum(value: ColumnLike, scale: int = 6) -> Column:
-    """Sum of a double held as a fixed-point long.
+    """Sum of a double as a fixed-point decimal.
 
-    The result does not depend on the order in which partitions are merged, and the
-    aggregation buffer is a plain long rather than a wide decimal object.
+    The result does not depend on the order in which partitions are merged. NaN and infinite values have no place
+    in a sum and are left out, as NULL is; a sum of such values only is NULL.
     """
-    units = F.sum(F.round(_col(value) * F.lit(float(10**scale))).cast("bigint"))
-    unit = F.lit(f"1e-{scale}").cast(f"decimal({scale},{scale})")
-    return (units.cast("decimal(19,0)") * unit).cast(f"decimal(20,{scale})")
+    v = _col(value).cast("double")
+    finite = F.when(F.abs(v) < F.lit(float("inf")), v)
+    return F.sum(finite.cast(f"decimal(28,{scale})")).cast(f"decimal(28,{scale})")
 
 
 def to_decimal(value: ColumnLike, precision: int, scale: int) -> Column:
@@ -102,7 +102,12 @@ def iso_minutes(text: ColumnLike) -> Column:
 
 
 def iso_timestamp(text: ColumnLike) -> Column:
-    return F.try_to_timestamp(F.btrim(_col(text), F.lit(" \t\r\n")), F.lit(ISO_TIMESTAMP))
+    """ISO dates and times: `T` or a space between them, seconds and fractions optional, a zone with or without a colon."""
+    t = F.btrim(_col(text), F.lit(" \t\r\n"))
+    full = F.regexp_replace(t, r"^(.{10}[T ]\d{2}:\d{2})(?=$|Z|[+-])", "$1:00")
+    full = F.regexp_replace(full, r"(?<=:\d{2}|[.]\d{1,9})([+-]\d{2}):?(\d{2})?$", "$1:$2")
+    full = F.regexp_replace(full, r"([+-]\d{2}):$", "$1:00")
+    return F.when(t.rlike(ISO_TIMESTAMP), full.try_cast("timestamp"))
 
 
 def slot_count(start: ColumnLike, end: ColumnLike, step_minutes: ColumnLike) -> Column:

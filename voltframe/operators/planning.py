@@ -99,6 +99,19 @@ def advance_incremental(run_log: DataFrame, as_of: str | None, keys: Sequence[st
     return _advance(run_log, keys, as_of)
 
 
+def audit_rows(done: DataFrame, run_id: str, source: str, ingested_at: str) -> DataFrame:
+    """Audit-log rows of planned chunks: `done` holds the chunks with status, file_path, bytes, points and error_message."""
+    return done.select(
+        F.lit(run_id).alias("run_id"), F.lit(source).alias("source"), "dataset", "area_key", F.col("chunk_start").alias("request_start_utc"),
+        F.col("chunk_end").alias("request_end_utc"), "status", "file_path", "bytes", "points", "error_message",
+        F.lit(ingested_at).cast("timestamp").alias("ingested_at_utc"))
+
+
+def later_mark(old, new) -> Column:
+    """Merge guard: a watermark never moves back."""
+    return new("loaded_until_utc") > old("loaded_until_utc")
+
+
 def batch_windows(planned: DataFrame, member: str, keys: Sequence[str] = ("dataset", "chunk_start", "chunk_end")) -> DataFrame:
     """One row per window with the reference locations that need it.
 

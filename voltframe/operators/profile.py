@@ -49,3 +49,8 @@ def match_counts(left: DataFrame, right: DataFrame, key: str, counted: str) -> D
     """
     counts = right.where(F.col(counted).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("matches"))
     return left.join(counts, key, "left").withColumn("matches", F.coalesce("matches", F.lit(0)))
+
+
+def loaded_range(marks: DataFrame, by: str, until: str) -> DataFrame:
+    """Per group the number of watermarks and the first and last instant they reach."""
+    return marks.groupBy(by).agg(F.count(F.lit(1)).alias("keys"), F.min(until).alias("min_loaded_until"), F.max(until).alias("max_loaded_until"))

@@ -1,7 +1,7 @@
 """Data-quality checks. Each returns rows shaped like the check-result table.
 
-All rules on one table share one aggregate, so a table is read once however many rules
-it has; the offending rows themselves stay available as DataFrames.
+Range rules and freshness of a table share one aggregate; uniqueness, references and completeness each group the
+table their own way. The offending rows themselves stay available as DataFrames.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from voltframe.functions.scalars import all_present
 
 CHECK_COLUMNS = ["check_name", "table_name", "scope", "metric", "threshold", "status", "details"]
-DETAIL_CODES = 100      # codes spelled out in a details text; `unknown_values` has them all
 WORST_DAYS = 5
 
 
@@ -47,17 +46,17 @@ def unknown_values(df: DataFrame, column: str, reference: DataFrame, reference_c
     return df.where(F.col(column).isNotNull()).select(column).distinct().join(known, column, "left_anti")
 
 
+def unknown_codes(df: DataFrame, table: str, column: str, reference: DataFrame, reference_column: str) -> DataFrame:
+    """Every unknown value as a row of its own: table_name, column_name, code."""
+    found = unknown_values(df, column, reference, reference_column)
+    return found.select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), F.col(column).cast("string").alias("code"))
+
+
 def in_reference(df: DataFrame, table: str, column: str, reference: DataFrame, reference_column: str,
                  name: str = "area_in_reference") -> DataFrame:
-    unknown = unknown_values(df, column, reference, reference_column).select(F.col(column).cast("string").alias("code"))
-    counted = unknown.agg(F.count("code").alias("n")).select("n", F.lit(None).cast("array<string>").alias("codes"))
-    listed = (unknown.orderBy("code").limit(DETAIL_CODES).agg(F.array_sort(F.collect_list("code")).alias("codes"))
-                     .select(F.lit(None).cast("bigint").alias("n"), "codes"))
-    both = counted.unionByName(listed).agg(F.max("n").alias("n"), F.first("codes", ignorenulls=True).alias("codes"))
-    more = F.col("n") - F.size("codes")
-    details = F.concat(F.array_join("codes", ","),
-                       F.when(more > 0, F.concat(F.lit(",... "), more.cast("string"), F.lit(" more"))).otherwise(""))
-    return both.select(F.inline(F.array(_check(name, table, column, F.col("n"), "= 0", "FAIL", F.col("n") == 0, details))))
+    """How many distinct values are unknown; `unknown_codes` names them."""
+    found = unknown_values(df, column, reference, reference_column).agg(F.count(column).alias("n"))
+    return found.select(F.inline(F.array(_check(name, table, column, F.col("n"), "= 0", "FAIL", F.col("n") == 0))))
 
 
 Rule = tuple[str, float, float]

@@ -42,5 +42,11 @@ def active_borders(interconnector: DataFrame, area: DataFrame, country: DataFram
             .where("_from_active OR _to_active").select("from_area_code", "to_area_code"))
 
 
+def active_locations(location: DataFrame, country: DataFrame) -> DataFrame:
+    """Weather locations of active countries."""
+    return (location.join(country.where("is_active").select("country_code"), "country_code")
+            .select("location_code", "country_code", "latitude", "longitude"))
+
+
 def active_rows(df: DataFrame, flag: str = "is_active") -> DataFrame:
     return df.where(F.col(flag))

@@ -1,14 +1,16 @@
 """Parquet tables under one folder: append, upsert, snapshot merge, window replacement.
 
-Tables that grow are partitioned by day. A change reads and rewrites only the days it touches:
-the new state is written to the shared folder first (so a lost executor never costs the table,
-and nothing reads and writes one path at once), then put in place by dynamic partition
-overwrite, which commits task output through Spark's own protocol.
+Tables that grow are partitioned by day, or by a hash bucket of their key. A change reads and rewrites only the
+parts it touches: the new state is written to the shared folder first (so a lost executor never costs the table,
+and nothing reads and writes one path at once), then put in place by dynamic partition overwrite, which commits
+task output through Spark's own protocol. A table without parts is written beside itself once and put in place by
+renaming; a table that a crash has left set aside is put back by the next read. Staged copies go after the commit.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -29,10 +31,17 @@ class Counts(NamedTuple):
 
 
 class Day(NamedTuple):
-    """Day partition (yyyymmdd): a column of the table, or one derived from its instant `ts`."""
+    """Partition of a table: a day (yyyymmdd) that is a column or derived from the instant `ts`, or one of `buckets`
+    hash buckets of the key columns `of`."""
 
     column: str = "date_key"
     ts: str | None = None
+    of: tuple[str, ...] = ()
+    buckets: int = 64
+
+    def fixed_by(self, keys: Sequence[str]) -> bool:
+        """Whether rows of one key never lie in two parts."""
+        return set(self.of) <= set(keys) if self.of else (self.ts or self.column) in keys
 
 
 class Lake:
@@ -41,6 +50,7 @@ class Lake:
         self.spark, self.root = spark, root.rstrip("/")
         self.schemas = schemas or TABLES
         self.days = days or {}
+        self._scratch: list[str] | None = None
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -53,6 +63,45 @@ class Lake:
         rest = [f for f in schema if f.name != day.column]
         return T.StructType([*rest, T.StructField(day.column, T.IntegerType(), True)])
 
+    def _at(self, path: str):
+        """The file system of a path, and the path as it takes it."""
+        there = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return there.getFileSystem(self.spark._jsc.hadoopConfiguration()), there
+
+    def _exists(self, path: str) -> bool:
+        fs, there = self._at(path)
+        return fs.exists(there)
+
+    def _remove(self, path: str) -> None:
+        fs, there = self._at(path)
+        fs.delete(there, True)
+
+    def _rename(self, path: str, to: str) -> None:
+        fs, there = self._at(path)
+        if not fs.rename(there, self._at(to)[1]):
+            raise OSError(f"{path} could not be renamed to {to}")
+
+    def _recover(self, table: str) -> bool:
+        """Put back a table that a crash has left set aside."""
+        path = self.path(table)
+        lost = not self._exists(path) and self._exists(f"{path}.old")
+        if lost:
+            self._rename(f"{path}.old", path)
+        return lost
+
+    def _put(self, table: str, df: DataFrame, rows_per_file: int = 0) -> None:
+        """Replace a whole table: one write beside it, then two renames. `df` may read the table."""
+        path = self.path(table)
+        by = [self.days[table].column] if table in self.days else []
+        writer = (df.hint("rebalance", *by) if by else df).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+        (writer.partitionBy(*by) if by else writer).parquet(f"{path}.new")
+        self._recover(table)
+        self._remove(f"{path}.old")
+        if self._exists(path):
+            self._rename(path, f"{path}.old")
+        self._rename(f"{path}.new", path)
+        self._remove(f"{path}.old")
+
     def _stored(self, table: str) -> DataFrame:
         schema = self._stored_schema(table)
         try:
@@ -60,6 +109,8 @@ class Lake:
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
+            if self._recover(table):
+                return self.spark.read.schema(schema).parquet(self.path(table))
             return self.spark.createDataFrame([], schema)
 
     def read(self, table: str, from_day: int | None = None) -> DataFrame:
@@ -78,77 +129,108 @@ class Lake:
             out = out.withColumn(name, F.coalesce(F.col(name), stop))
         if day and day.ts:
             out = out.withColumn(day.column, date_key(day.ts))
+        elif day and day.of:
+            out = out.withColumn(day.column, F.pmod(F.xxhash64(*day.of), F.lit(day.buckets)).cast("int"))
         return out.select(self._stored_schema(table).fieldNames())
 
-    def _write(self, table: str, df: DataFrame, mode: str, overwrite: str = "dynamic") -> None:
-        """Rows are gathered by day before they are written, or every task would add a file to
-        every day; the rebalance hint splits a large day over several tasks."""
+    def _write(self, table: str, df: DataFrame, mode: str, rows_per_file: int = 0) -> None:
+        """Add rows, or replace the parts that have rows. Rows are gathered by part before they are written, or every task
+        would add a file to every part; the rebalance hint splits a large part over several tasks."""
         by = [self.days[table].column] if table in self.days else []
         gathered = df.hint("rebalance", *by) if by else df
-        writer = gathered.write.mode(mode).option("partitionOverwriteMode", overwrite)
+        writer = gathered.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file)
         (writer.partitionBy(*by) if by else writer).parquet(self.path(table))
 
     def staged(self, label: str, df: DataFrame) -> DataFrame:
         """A written copy in the shared folder: lineage ends here and the size is known."""
         folder = new_folder(self.spark, label)
         df.write.parquet(folder)
+        if self._scratch is not None:
+            self._scratch.append(folder)
         return self.spark.read.schema(df.schema).parquet(folder)
 
+    @contextmanager
+    def scratch(self) -> Iterator[None]:
+        """Staged copies made inside are removed at the end, unless an outer scratch does that."""
+        if self._scratch is not None:
+            yield
+            return
+        self._scratch = []
+        try:
+            yield
+        finally:
+            for folder in self._scratch:
+                self._remove(folder)
+            self._scratch = None
+
     def append(self, table: str, df: DataFrame) -> None:
         self._write(table, self._shaped(table, df), "append")
 
     def overwrite(self, table: str, df: DataFrame) -> None:
-        """Truncate and reload, through a staged copy since `df` may read the table."""
-        self._write(table, self.staged(table, self._shaped(table, df)), "overwrite", "static")
+        """Truncate and reload; `df` may read the table."""
+        self._put(table, self._shaped(table, df))
 
     def upsert(self, table: str, source: DataFrame, keys: Sequence[str], **options) -> Counts:
         """Conditional merge; when nothing changes nothing is written."""
-        src, target = self._shaped(table, source), self._stored(table)
-        day = self.days.get(table)
-        by_day = day is not None and (day.ts or day.column) in keys and not options.get("delete_missing")
-        if by_day:
-            # the days of the batch as literals prune the target scan; the driver's file
-            # listing holds at least as many
-            src = self.staged(table, src)
-            touched = [r[0] for r in src.select(day.column).distinct().collect()]
-            target = target.where(F.col(day.column).isin(touched))
-        staged = self.staged(table, change.merge(target, src, keys, **options))
-        found = {r["_action"]: r["rows"] for r in change.action_counts(staged).collect()}
-        counts = Counts(*[found.get(a, 0) for a in ("insert", "update", "delete")])
-        if any(counts):
-            self._write(table, change.result(staged), "overwrite", "dynamic" if by_day else "static")
-        return counts
+        with self.scratch():
+            src, target = self._shaped(table, source), self._stored(table)
+            day = self.days.get(table)
+            by_part = day is not None and day.fixed_by(keys) and not options.get("delete_missing")
+            if by_part:
+                # the parts of the batch as literals prune the target scan; the driver's file
+                # listing holds at least as many
+                src = self.staged(table, src)
+                touched = [r[0] for r in src.select(day.column).distinct().collect()]
+                target = target.where(F.col(day.column).isin(touched))
+            staged = self.staged(table, change.merge(target, src, keys, **options))
+            found = {r["_action"]: r["rows"] for r in change.action_counts(staged).collect()}
+            counts = Counts(*[found.get(a, 0) for a in ("insert", "update", "delete")])
+            if any(counts) and by_part:
+                self._write(table, change.result(staged), "overwrite")
+            elif any(counts):
+                self._put(table, change.result(staged))
+            return counts
 
     def replace_window(self, table: str, new: DataFrame, from_day: int) -> None:
-        """Replace every day from `from_day` on.
-
-        Days in the window that have no new rows are emptied; there are at most as many as
-        the window has days.
-        """
+        """Replace every day from `from_day` on; days of the window without new rows go first, folder by folder."""
+        part = self.days[table].column
+        with self.scratch():
+            staged = self.staged(table, self._shaped(table, new).where(F.col(part) >= from_day))
+            fresh = {r[0] for r in staged.select(part).distinct().collect()}
+            for day in self.parts(table):
+                if day >= from_day and day not in fresh:
+                    self._remove(f"{self.path(table)}/{part}={day}")
+            self._write(table, staged, "overwrite")
+
+    def _listed(self, path: str) -> list:
+        fs, there = self._at(path)
+        return list(fs.listStatus(there)) if fs.exists(there) else []
+
+    def _files(self, path: str) -> int:
+        return sum(f.isFile() and f.getPath().getName().endswith(".parquet") for f in self._listed(path))
+
+    def parts(self, table: str) -> list[int]:
+        """The parts that a table has on storage."""
+        self._recover(table)
+        prefix = f"{self.days[table].column}="
+        names = [f.getPath().getName() for f in self._listed(self.path(table))]
+        return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix) and n.removeprefix(prefix).isdigit())
+
+    def file_counts(self, table: str) -> dict[int | None, int]:
+        """Files per part, by listing; None stands for a table without parts."""
+        if table not in self.days:
+            return {None: self._files(self.path(table))}
         part = self.days[table].column
-        staged = self.staged(table, self._shaped(table, new).where(F.col(part) >= from_day))
-        old_days = self._stored(table).where(F.col(part) >= from_day).select(part).distinct()
-        stale = old_days.join(staged.select(part).distinct(), part, "left_anti").collect()
-        self._write(table, staged, "overwrite")
-        rest = T.StructType([f for f in self._stored_schema(table) if f.name != part])
-        nothing = self.spark.createDataFrame([], rest)
-        for row in stale:
-            nothing.write.mode("overwrite").parquet(f"{self.path(table)}/{part}={row[0]}")
-
-    def file_count(self, table: str) -> int:
-        return self._stored(table).select("_metadata.file_path").distinct().count()
+        return {p: self._files(f"{self.path(table)}/{part}={p}") for p in self.parts(table)}
 
     def compact(self, table: str, above: int = 20, rows_per_file: int = 5_000_000) -> tuple[int, int]:
-        """Rewrite a table that consists of more than `above` files; (files before, files after).
-
-        The rebalance hint splits a large day over several tasks and merges small ones.
-        """
-        before = self.file_count(table)
-        if before <= above:
-            return before, before
-        by = [self.days[table].column] if table in self.days else []
-        packed = self.staged(table, self._stored(table)).hint("rebalance", *by)
-        writer = packed.write.mode("overwrite").option("partitionOverwriteMode", "static").option(
-            "maxRecordsPerFile", rows_per_file)
-        (writer.partitionBy(*by) if by else writer).parquet(self.path(table))
-        return before, self.file_count(table)
+        """Rewrite the parts that consist of more than `above` files, and only those; (files before, files after)."""
+        counts = self.file_counts(table)
+        before, crowded = sum(counts.values()), [p for p, n in counts.items() if n > above]
+        if crowded and table not in self.days:
+            self._put(table, self._stored(table).hint("rebalance"), rows_per_file)
+        elif crowded:
+            with self.scratch():
+                rows = self._stored(table).where(F.col(self.days[table].column).isin(crowded))
+                self._write(table, self.staged(table, rows), "overwrite", rows_per_file)
+        return before, sum(self.file_counts(table).values()) if crowded else before

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,6 +139,13 @@ def date_bounds(spark: SparkSession, first: str, last: str) -> DataFrame:
     return spark.sql(f"SELECT DATE'{first}' AS first_day, DATE'{last}' AS last_day")
 
 
+def fact_bounds(*facts: DataFrame) -> DataFrame:
+    """First and last day of all facts, as one row without days if there are none."""
+    keys = reduce(DataFrame.unionByName, [f.agg(F.min("date_key").alias("a"), F.max("date_key").alias("b")) for f in facts])
+    day = [F.to_date(f(c).cast("string"), "yyyyMMdd").alias(n) for f, c, n in ((F.min, "a", "first_day"), (F.max, "b", "last_day"))]
+    return keys.agg(*day)
+
+
 def dim_hour(spark: SparkSession) -> DataFrame:
     h = F.col("id").cast("int")
     part = F.element_at(F.array(*[F.lit(p) for p in DAY_PARTS]), (F.floor(h / 6) + 1).cast("int"))

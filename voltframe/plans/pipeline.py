@@ -6,12 +6,14 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from voltframe.operators import merge, quality
+from voltframe.operators import merge, planning, quality
 from voltframe.operators.tables import Counts, Day, Lake
 from voltframe.plans import gold, silver
+from voltframe.plans.measures import Star
 from voltframe.schemas import KEYS
-from voltframe.sources import reference
+from voltframe.sources import reference, thresholds
 
 RANGES = {      # fixed values: plausible bounds per measure
     "silver_load": [("load_mw", 0, 150000)],
@@ -122,15 +124,56 @@ def load_gold(store: Lake, country: DataFrame, area: DataFrame, production_type:
     return check
 
 
+def record_watermarks(store: Lake, run_log: DataFrame, as_of: str) -> Counts:
+    """Move the stored watermarks of both sources on to what a run has loaded; none moves back."""
+    keys = KEYS["ctl_watermark"]
+    marks = planning.advance_incremental(run_log, as_of, keys).withColumn("updated_at_utc", F.lit(as_of).cast("timestamp"))
+    return store.upsert("ctl_watermark", marks, keys, guard=planning.later_mark)
+
+
+def record_run(store: Lake, done: DataFrame, run_id: str, source: str, as_of: str) -> Counts:
+    """Append what became of the planned chunks to the audit log, and move the watermarks on."""
+    rows = planning.audit_rows(done, run_id, source, as_of)
+    store.append("ctl_ingest_log", rows)
+    return record_watermarks(store, rows, as_of)
+
+
+def load_thresholds(store: Lake, path: str) -> None:
+    store.overwrite("silver_kpi_threshold", thresholds.read(store.spark, path))
+
+
+def refresh_calendar(store: Lake) -> None:
+    """The day and hour dimensions; days run over all stored facts, whose bounds are read from their folders."""
+    days = [d for t in DAYS if t.startswith("fact_") for d in store.parts(t)]
+    if days:
+        first, last = (str(dt.datetime.strptime(str(f(days)), "%Y%m%d").date()) for f in (min, max))
+        store.overwrite("dim_date", gold.dim_date(gold.date_bounds(store.spark, first, last)))
+    store.overwrite("dim_hour", gold.dim_hour(store.spark))
+
+
+def star(store: Lake) -> Star:
+    """All stored facts and dimensions, ready for measures and questions."""
+    facts = {f: store.read(f"fact_{f}_hourly") for f in ("load", "generation", "carbon", "price", "flow", "weather")}
+    dims = {d: store.read(f"dim_{d}") for d in ("date", "hour", "country", "production_type")}
+    return Star({**facts, "threshold": store.read("dim_kpi_threshold")}, {**dims, "area": store.read("dim_area").drop("country_code", "country_name")})
+
+
 def run(store: Lake, raw_root: str, country: DataFrame, area: DataFrame, production_type: DataFrame,
         locations: DataFrame, as_of: str, datasets: Sequence[str] = tuple(silver.GRID_TABLES), mode: str = "incremental",
-        from_date: str | None = None) -> dict:
-    """Silver energy, weather, holidays, checks, then gold."""
-    summary: dict = {d: silver.load_grid(store, raw_root, d, as_of, production_type, mode) for d in datasets}
-    summary["weather"] = silver.load_weather(store, raw_root, locations, as_of, mode)
-    summary["holidays"] = silver.load_holidays(store, f"{raw_root}/holidays", as_of)
-    checked = {t: store.read(t) for t in KEYS if t.startswith("silver_")}
-    checks = check_silver(checked, area, production_type, as_of, full_check=full_scan_due(as_of))
-    store.append("dq_check_result", quality.stamp(checks, as_of, as_of))
-    summary["gold"] = load_gold(store, country, area, production_type, as_of, from_date).first().asDict()
+        from_date: str | None = None, check_days: int = RECENT_DAYS, full_check: bool | None = None,
+        thresholds_path: str | None = None, run_optimize: bool = False) -> dict:
+    """Silver energy, weather, holidays, thresholds on the first of a month or if there are none yet, checks, gold, compaction."""
+    with store.scratch():
+        summary: dict = {d: silver.load_grid(store, raw_root, d, as_of, production_type, mode) for d in datasets}
+        summary["weather"] = silver.load_weather(store, raw_root, locations, as_of, mode)
+        summary["holidays"] = silver.load_holidays(store, f"{raw_root}/holidays", as_of)
+        if thresholds_path and (monthly_branch_due(as_of) or store.read("silver_kpi_threshold").isEmpty()):
+            load_thresholds(store, thresholds_path)
+        checked = {t: store.read(t) for t in KEYS if t.startswith("silver_")}
+        checks = check_silver(checked, area, production_type, as_of, check_days, full_scan_due(as_of) if full_check is None else full_check)
+        store.append("dq_check_result", quality.stamp(checks, as_of, as_of))
+        summary["gold"] = load_gold(store, country, area, production_type, as_of, from_date).first().asDict()
+        refresh_calendar(store)
+        if run_optimize:
+            summary["compacted"] = {t: store.compact(t) for t in DAYS}
     return summary

@@ -61,6 +61,12 @@ def target_gap(star: Star, country: str) -> DataFrame:
     return evaluate(star, ["renewable_share", "renewable_gap_pp"], (), [is_country(country)])
 
 
+def target_gap_text(star: Star, country: str) -> DataFrame:
+    """The gap as the answer words it: points below the target."""
+    found = evaluate(star, ["renewable_share", "renewable_target", "renewable_gap_pp"], (), [is_country(country)])
+    return answer(found.withColumn("gap", -F.col("renewable_gap_pp")), "target_gap")
+
+
 def best_hour(star: Star, country: str) -> DataFrame:
     return evaluate(star, ["greenest_hour"], (), [is_country(country)])
 
@@ -183,6 +189,7 @@ ANSWERS = {
     "intensity_on_date": "{carbon_intensity:.1f} gCO2e/kWh (daily value)",
     "overall": "{carbon_intensity:.1f} gCO2e/kWh, coverage {factor_coverage:.1%}",
     "cleanest_country": "{country_name} ({carbon_intensity:.1f} gCO2e/kWh)",
+    "target_gap": "Renewable share {renewable_share:.1%} vs {renewable_target:.0%} 2030 target, about {gap:.0f} percentage points below",
     "best_hour": "Around {greenest_hour:02.0f}:00 UTC",
     "dirtiest_month": "{month_name} ({carbon_intensity:.1f} gCO2e/kWh)",
     "renewable_share": "{renewable_share:.1%}",

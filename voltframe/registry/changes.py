@@ -248,13 +248,23 @@ def table_replace_window(spark, sf):
     return plain(store.read("daily"))
 
 
-@query("table_compact", "SELECT event_type, count(*) AS n, CAST(max(event_id) AS BIGINT) AS last_id, true AS fewer_files FROM events GROUP BY 1")
+@query("table_compact", """
+SELECT event_type, count(*) AS n, CAST(max(event_id) AS BIGINT) AS last_id, true AS only_crowded, true AS settled FROM events GROUP BY 1""")
 def table_compact(spark, sf):
-    store = Lake(spark, new_folder(spark, "compact"), {"events": describe("event_id bigint\nevent_type string")})
-    store.append("events", table(spark, sf, "events").select("event_id", "event_type").repartition(30))
-    before, after = store.compact("events")
+    """One day written in four rounds is packed, the other days keep their files; a second call has nothing to do."""
+    store = Lake(spark, new_folder(spark, "compact"), {"events": describe("event_id bigint\nevent_type string\nts timestamp")}, {"events": Day(ts="ts")})
+    rows = table(spark, sf, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    crowded = date_key("ts") == 20240110
+    store.append("events", rows.where(~crowded | (F.col("event_id") % 4 == 0)))
+    for i in (1, 2, 3):
+        store.append("events", rows.where(crowded & (F.col("event_id") % 4 == i)))
+    before = store.file_counts("events")
+    store.compact("events", above=2)
+    after = store.file_counts("events")
+    only = all(after[d] == n for d, n in before.items() if n <= 2) and all(after[d] < n for d, n in before.items() if n > 2)
+    settled = store.compact("events", above=2) == (sum(after.values()),) * 2
     return plain(store.read("events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_id"),
-                                                                F.lit(after < before).alias("fewer_files")))
+                                                                F.lit(only).alias("only_crowded"), F.lit(settled).alias("settled")))
 
 
 @query("dims_refresh", """

@@ -33,11 +33,9 @@ def dq_duplicate_keys(spark, sf):
     return plain(quality.duplicate_keys(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"]))
 
 
-REFERENCE_SQL = _row("area_in_reference", "lineitem", "l_suppkey", "n", "= 0", "FAIL", "n = 0",
-                     """codes || CASE WHEN n > 100 THEN ',... ' || (n - 100) || ' more' ELSE '' END""") + """
-FROM (WITH bad AS (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS code FROM lineitem
-        WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0))
-      SELECT (SELECT count(*) FROM bad) AS n, (SELECT coalesce(string_agg(code, ',' ORDER BY code), '') FROM (SELECT code FROM bad ORDER BY code LIMIT 100)) AS codes)"""
+REFERENCE_SQL = _row("area_in_reference", "lineitem", "l_suppkey", "n", "= 0", "FAIL", "n = 0") + """
+FROM (SELECT count(DISTINCT l_suppkey) AS n FROM lineitem
+        WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0))"""
 
 
 @query("dq_reference", REFERENCE_SQL)
@@ -46,6 +44,14 @@ def dq_reference(spark, sf):
     return quality.in_reference(table(spark, sf, "lineitem"), "lineitem", "l_suppkey", known, "s_suppkey")
 
 
+@query("dq_unknown_codes", """
+SELECT DISTINCT 'lineitem' AS table_name, 'l_suppkey' AS column_name, CAST(l_suppkey AS VARCHAR) AS code
+FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0)""")
+def dq_unknown_codes(spark, sf):
+    known = table(spark, sf, "supplier").where("s_acctbal >= 0")
+    return quality.unknown_codes(table(spark, sf, "lineitem"), "lineitem", "l_suppkey", known, "s_suppkey")
+
+
 @query("dq_unknown_values", """
 SELECT DISTINCT l_suppkey FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 5000)""")
 def dq_unknown_values(spark, sf):
@@ -165,10 +171,11 @@ def profile_by_resolution(spark, sf):
     return plain(profile.profile(views.intervals(spark, sf), ["area_code", "resolution_minutes"], "ts_utc"))
 
 
-@query("first_loaded", "SELECT o_orderstatus AS dataset, count(*) AS keys, min(o_orderdate) AS min_loaded_until FROM orders GROUP BY 1")
+@query("first_loaded", """
+SELECT o_orderstatus AS dataset, count(*) AS keys, min(o_orderdate) AS min_loaded_until, max(o_orderdate) AS max_loaded_until FROM orders GROUP BY 1""")
 def first_loaded(spark, sf):
-    return plain(table(spark, sf, "orders").groupBy(F.col("o_orderstatus").alias("dataset")).agg(
-        F.count(F.lit(1)).alias("keys"), F.min("o_orderdate").alias("min_loaded_until")))
+    marks = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("dataset"), "o_orderdate")
+    return plain(profile.loaded_range(marks, "dataset", "o_orderdate"))
 
 
 @query("row_counts", """

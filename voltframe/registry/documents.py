@@ -248,14 +248,14 @@ def pair_codes(spark, sf):
 
 @query("fill_by_curve", """
 WITH p AS (SELECT user_id, event_type, date_trunc('day', ts) AS day, hour(ts) + 1 AS position, arg_max(value, event_id) AS value
-           FROM events WHERE event_type IN ('click', 'view') GROUP BY ALL),
-g AS (SELECT d.user_id, d.event_type, d.day, s.position FROM (SELECT DISTINCT user_id, event_type, day FROM p) d, range(1, 21) s(position)),
+           FROM events GROUP BY ALL),
+g AS (SELECT d.user_id, d.event_type, d.day, s.position FROM (SELECT DISTINCT user_id, event_type, day FROM p) d, range(1, 25) s(position)),
 f AS (SELECT g.*, p.position IS NOT NULL AS listed, last_value(p.value IGNORE NULLS) OVER (PARTITION BY g.user_id, g.event_type, g.day ORDER BY g.position) AS value
       FROM g LEFT JOIN p USING (user_id, event_type, day, position))
 SELECT user_id, event_type, day, CAST(position AS BIGINT) AS position, value FROM f WHERE value IS NOT NULL AND (listed OR event_type = 'click')""")
 def fill_by_curve(spark, sf):
-    """Clicks stand until the next position, views only where listed; twenty slots a day."""
-    points = table(spark, sf, "events").where(F.col("event_type").isin("click", "view")).select(
+    """Clicks stand until the next position, all other types only where listed; a slot per hour of the day."""
+    points = table(spark, sf, "events").select(
         "user_id", "event_type", F.date_trunc("day", "ts").alias("day"), (F.hour("ts") + 1).alias("position"), "value", "event_id")
-    filled = series.fill_slots(points, ["user_id", "event_type", "day"], "position", 20, "value", carry=F.col("event_type") == "click", tie="event_id")
+    filled = series.fill_slots(points, ["user_id", "event_type", "day"], "position", 24, "value", carry=F.col("event_type") == "click", tie="event_id")
     return plain(filled.drop("event_id"))

@@ -177,6 +177,15 @@ def q_target_gap(spark, sf):
     return _clean(questions.target_gap(views.star(spark, sf), "C2"), "renewable_share", "renewable_gap_pp")
 
 
+@query("q_target_gap_text", _with("carbon", _THRESHOLD) + f"""
+SELECT 'Renewable share ' || printf('%.1f', 100 * share) || '% vs ' || printf('%.0f', 100 * target) || '% 2030 target, about '
+  || printf('%.0f', (target - share) * 100) || ' percentage points below' AS answer FROM (
+  SELECT {_div('sum(r)', 'sum(t)')} AS share FROM carbon WHERE country_code = 'C2'),
+  (SELECT CAST(r_regionkey * 10 + 20 AS DOUBLE) / 100 AS target FROM region WHERE r_regionkey = 2)""")
+def q_target_gap_text(spark, sf):
+    return questions.target_gap_text(views.star(spark, sf), "C2")
+
+
 @query("q_best_hour", _with("carbon") + f"""
 SELECT CAST(k AS BIGINT) AS greenest_hour FROM (SELECT *, row_number() OVER (ORDER BY ci, k) AS o FROM {_HOURS} WHERE country_code = 'C4') WHERE o = 1""")
 def q_best_hour(spark, sf):

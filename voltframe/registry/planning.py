@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voltframe.operators import planning, scope
+from voltframe.operators.tables import Lake
+from voltframe.plans import pipeline
 from voltframe.registry import views
 from voltframe.registry.base import plain, query, table
+from voltframe.schemas import describe
+from voltframe.session import new_folder
 
 # ---- scope -----------------------------------------------------------------------------
 
@@ -31,12 +35,13 @@ def scope_join(spark, sf):
 
 
 def _borders(spark, sf):
-    return views.flows(spark, sf).where("from_area_code < to_area_code").select("from_area_code", "to_area_code").distinct()
+    ends = [f("from_area_code", "to_area_code").alias(n) for f, n in ((F.least, "from_area_code"), (F.greatest, "to_area_code"))]
+    return views.flows(spark, sf).where("from_area_code <> to_area_code").select(*ends).distinct()
 
 
 _BORDER = """
-WITH b AS (SELECT DISTINCT 'A' || s_nationkey AS f, 'A' || c_nationkey AS t FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  JOIN customer ON c_custkey = o_custkey JOIN supplier ON s_suppkey = l_suppkey WHERE 'A' || s_nationkey < 'A' || c_nationkey),
+WITH b AS (SELECT DISTINCT least('A' || s_nationkey, 'A' || c_nationkey) AS f, greatest('A' || s_nationkey, 'A' || c_nationkey) AS t FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  JOIN customer ON c_custkey = o_custkey JOIN supplier ON s_suppkey = l_suppkey WHERE s_nationkey <> c_nationkey),
 d AS (SELECT f, t FROM b UNION ALL SELECT t, f FROM b)
 """
 
@@ -54,6 +59,33 @@ def border_scope(spark, sf):
     return scope.active_borders(borders, views.areas(spark, sf), views.countries(spark, sf))
 
 
+@query("location_scope", """
+SELECT 'L' || s_suppkey AS location_code, 'C' || n_regionkey AS country_code, s_acctbal AS latitude FROM supplier
+JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey WHERE r_name <> 'ASIA'""")
+def location_scope(spark, sf):
+    owner = table(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.concat(F.lit("C"), F.col("n_regionkey")).alias("country_code"))
+    places = table(spark, sf, "supplier").join(owner, "s_nationkey").select(
+        F.concat(F.lit("L"), F.col("s_suppkey")).alias("location_code"), "country_code", F.col("s_acctbal").alias("latitude"), F.lit(0.0).alias("longitude"))
+    return scope.active_locations(places, views.countries(spark, sf)).drop("longitude")
+
+
+_MARK_TABLE = describe("source string\ndataset string\narea_key string\nloaded_until_utc timestamp\nupdated_at_utc timestamp")
+
+
+@query("watermark_upsert", """
+SELECT o_orderpriority AS dataset, 'K' || (o_custkey % 50) AS area_key, max(o_orderdate) AS loaded_until_utc FROM orders GROUP BY ALL""")
+def watermark_upsert(spark, sf):
+    """The log of two runs moves the marks on; the first run again, arriving late, moves none back."""
+    log = table(spark, sf, "orders").select(
+        F.lit("grid").alias("source"), F.col("o_orderpriority").alias("dataset"), F.concat(F.lit("K"), (F.col("o_custkey") % 50).cast("string")).alias("area_key"),
+        F.col("o_orderdate").cast("timestamp").alias("request_end_utc"), F.lit("ok").alias("status"))
+    store = Lake(spark, new_folder(spark, "marks"), {"ctl_watermark": _MARK_TABLE})
+    early, late = log.where("request_end_utc < '1998-01-01'"), log.where("request_end_utc >= '1998-01-01'")
+    for run in (early, late, early):
+        pipeline.record_watermarks(store, run, "2030-01-01 00:00:00")
+    return plain(store.read("ctl_watermark").select("dataset", "area_key", "loaded_until_utc"))
+
+
 @query("active_rows", "SELECT 'C' || r_regionkey AS country_code, r_name AS country_name FROM region WHERE r_name <> 'ASIA'")
 def active_rows(spark, sf):
     return scope.active_rows(views.countries(spark, sf)).select("country_code", "country_name")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voltframe.functions.scalars import exact_sum
-from voltframe.operators.tables import Lake
+from voltframe.operators.tables import Day, Lake
 from voltframe.registry.base import plain, query, table
 from voltframe.schemas import describe
 from voltframe.session import new_folder, use_utc
@@ -84,7 +84,7 @@ SELECT user_id, ts, event_id, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1""")
 def stream_latest(spark, sf):
     folder = new_folder(spark, "latest")
-    store = Lake(spark, folder, {"state": _STATE})
+    store = Lake(spark, folder, {"state": _STATE}, {"state": Day("bucket", of=("user_id",), buckets=8)})
     feed = _stream(spark, sf).select("user_id", "ts", "event_id", "event_type", "value")
     streams.keep_latest(feed, store, "state", ["user_id"], ["ts", "event_id"], f"{folder}/checkpoint")
     return plain(store.read("state"))

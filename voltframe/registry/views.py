@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltframe.functions.scalars import energy_mwh
+from voltframe.functions.scalars import date_key, energy_mwh
 from voltframe.plans import gold, silver
 from voltframe.plans.measures import Star
 from voltframe.registry.base import half_up, table
@@ -154,6 +154,13 @@ def country_weather(spark: SparkSession, sf: str) -> DataFrame:
     return silver.country_weather(silver.best_weather(weather(spark, sf)), locations(spark, sf))
 
 
+def _days(spark: SparkSession, sf: str) -> DataFrame:
+    """The date dimension over all days that any fact of the star can have."""
+    instants = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
+    spans = [table(spark, sf, t).select(date_key(c).alias("date_key")) for t, c in instants.items()]
+    return gold.dim_date(gold.fact_bounds(*spans))
+
+
 def star(spark: SparkSession, sf: str) -> Star:
     return Star(
         _Lazy({
@@ -166,7 +173,7 @@ def star(spark: SparkSession, sf: str) -> Star:
             "threshold": lambda: thresholds(spark, sf),
         }),
         _Lazy({
-            "date": lambda: gold.dim_date(gold.date_bounds(spark, "1995-01-01", "2030-12-31")),
+            "date": lambda: _days(spark, sf),
             "hour": lambda: gold.dim_hour(spark),
             "country": lambda: countries(spark, sf),
             "area": lambda: areas(spark, sf).drop("country_code"),

@@ -49,7 +49,8 @@ def _point_value(point: Column, dataset: Column) -> Column:
 def _fault(doc: Column, dataset: Column) -> Column:
     def bad_number(point: Column) -> Column:
         value = _point_value(point, dataset)
-        return value.isNotNull() & value.try_cast("double").isNull()
+        number = value.try_cast("double")
+        return value.isNotNull() & ~F.coalesce(F.abs(number) < F.lit(float("inf")), F.lit(False))
 
     def bad_position(point: Column) -> Column:
         return (_point_value(point, dataset).isNotNull()

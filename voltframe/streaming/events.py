@@ -23,9 +23,11 @@ def json_stream(spark: SparkSession, path: str, schema: str = DOCK_SCHEMA) -> Da
 
 
 def parquet_stream(spark: SparkSession, path: str, ts: str = "ts") -> DataFrame:
-    """File stream with `ts` as an instant; the pattern matches a single file or a folder."""
+    """File stream with `ts` as an instant. The source wants a folder or a pattern; this pattern matches `path` alone,
+    a single file or a folder."""
+    path = path.rstrip("/")
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(f"{path}*").withColumn(ts, F.col(ts).cast("timestamp"))
+    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]").withColumn(ts, F.col(ts).cast("timestamp"))
 
 
 def tumbling(events: DataFrame, ts: str, delay: str, window: str, keys: Sequence[str], aggregates: Mapping[str, Column],
