@@ -283,3 +283,11 @@ def test_thresholds_calendar_and_star_of_the_daily_job(spark, job, tmp_path):
     got = evaluate(pipeline.star(store), ["renewable_target", "renewable_gap", "carbon_alert_level", "renewable_gap_pp"], ["country_code"]).where("country_code = 'NL'").first()
     assert all(got[c] is not None for c in ("renewable_target", "renewable_gap", "carbon_alert_level", "renewable_gap_pp"))
     assert store.read("dim_hour").count() == 24 and store.read("dim_date").where("date_key = 20250101").count() == 1
+
+
+def test_completeness_opens_recent_days_only(spark, tmp_path):
+    store = pipeline.lake(spark, str(tmp_path / "lake"))
+    store.append("silver_load", rows(spark, store.schemas["silver_load"], [("NL", at(f"2025-01-{d:02d}"), 60, 9.0, 9.0, None, None, None) for d in (1, 20)]))
+    plan = store.read("silver_load", pipeline._day("2025-01-22", 7)[1])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day_key" in plan and ">= 20250115" in plan
+    assert store.read("silver_load", days=[20250101]).count() == 1

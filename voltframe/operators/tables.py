@@ -113,9 +113,11 @@ class Lake:
                 return self.spark.read.schema(schema).parquet(self.path(table))
             return self.spark.createDataFrame([], schema)
 
-    def read(self, table: str, from_day: int | None = None) -> DataFrame:
-        """The table, or no rows while nothing has been written; earlier days are not listed."""
+    def read(self, table: str, from_day: int | None = None, days: Sequence[int] | None = None) -> DataFrame:
+        """The table, or no rows while nothing has been written; earlier or other days are not listed."""
         stored = self._stored(table)
+        if days is not None:
+            stored = stored.where(F.col(self.days[table].column).isin(list(days)))
         if from_day is not None:
             stored = stored.where(F.col(self.days[table].column) >= from_day)
         return stored.select(self.schemas[table].fieldNames())

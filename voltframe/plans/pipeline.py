@@ -58,8 +58,9 @@ def monthly_branch_due(as_of: str) -> bool:
 
 
 def check_silver(tables: Mapping[str, DataFrame], area: DataFrame, production_type: DataFrame, as_of: str,
-                 check_days: int = RECENT_DAYS, full_check: bool = False) -> DataFrame:
-    """Every quality check on the silver tables that are given."""
+                 check_days: int = RECENT_DAYS, full_check: bool = False, recent: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Every quality check on the silver tables that are given. `recent` holds tables that were read from the look-back
+    of completeness on, so that it opens no older days."""
     checks = []
     for name, df in tables.items():
         checks.append(quality.unique_key(df, name, KEYS[name]))
@@ -70,7 +71,7 @@ def check_silver(tables: Mapping[str, DataFrame], area: DataFrame, production_ty
         if name in RANGES or name in FRESH_HOURS:
             checks.append(quality.scan_checks(df, name, RANGES.get(name, ()), FRESH_HOURS.get(name), as_of))
         if name in AREA_COLUMNS:
-            scoped = quality.recent(df, "ts_utc", as_of, check_days, full_check)
+            scoped = quality.recent((recent or {}).get(name, df), "ts_utc", as_of, check_days, full_check)
             checks.append(quality.completeness(scoped, name, AREA_COLUMNS[name], as_of))
     return quality.report(*checks)
 
@@ -170,7 +171,9 @@ def run(store: Lake, raw_root: str, country: DataFrame, area: DataFrame, product
         if thresholds_path and (monthly_branch_due(as_of) or store.read("silver_kpi_threshold").isEmpty()):
             load_thresholds(store, thresholds_path)
         checked = {t: store.read(t) for t in KEYS if t.startswith("silver_")}
-        checks = check_silver(checked, area, production_type, as_of, check_days, full_scan_due(as_of) if full_check is None else full_check)
+        full = full_scan_due(as_of) if full_check is None else full_check
+        lately = {} if full else {t: store.read(t, _day(as_of, check_days)[1]) for t in AREA_COLUMNS}
+        checks = check_silver(checked, area, production_type, as_of, check_days, full, lately)
         store.append("dq_check_result", quality.stamp(checks, as_of, as_of))
         summary["gold"] = load_gold(store, country, area, production_type, as_of, from_date).first().asDict()
         refresh_calendar(store)

@@ -119,8 +119,8 @@ def load_weather(lake: Lake, raw_root: str, locations: DataFrame, as_of: str, mo
     raw = weather_json.read(lake.spark, raw_files.touched_folders(raw_root, todo)).join(names, "file_name", "left_semi")
     batch = lake.staged("weather", _stamped(best_weather(weather_json.parse(raw, todo, locations)), as_of))
     counts = lake.upsert("silver_weather_hourly", batch, KEYS["silver_weather_hourly"], lineage=LINEAGE, guard=keep_observed)
-    first_day = batch.agg(F.min(date_key("ts_utc"))).first()[0]
-    touched = series.restrict_to_touched(lake.read("silver_weather_hourly", first_day), batch, ["country_code"], "ts_utc")
+    days = [r[0] for r in batch.select(date_key("ts_utc")).distinct().collect()]    # as many as the batch has days
+    touched = series.restrict_to_touched(lake.read("silver_weather_hourly", days=days), batch, ["country_code"], "ts_utc")
     lake.upsert("silver_weather_country_hourly", _stamped(country_weather(touched, locations), as_of),
                 KEYS["silver_weather_country_hourly"], lineage=LINEAGE)
     _advance_state(lake, todo, as_of, state_key)
