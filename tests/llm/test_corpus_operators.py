@@ -151,6 +151,15 @@ def test_near_duplicates(spark, folder, which):
     check_near(spark, texts(spark, sf), QUERIES["op7_minhash"](spark, sf).collect())
 
 
+def test_only_what_the_result_reads_is_left(spark, monkeypatch, tmp_path):
+    from voltframe.llm import common
+
+    monkeypatch.setattr(common, "new_folder", lambda s, label: f"{tmp_path}/{label}-{len(list(tmp_path.iterdir()))}")
+    got = minhash.near_duplicates(spark.read.parquet(f"{SF}/documents.parquet"))
+    assert sorted(p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()) == ["members", "sketches"]
+    assert got.count() == 200
+
+
 def test_large_groups_of_near_copies(spark):
     """Chains, stars and copies whose edits drift apart: more classes in a key than hubs."""
     rng = random.Random(4)

@@ -10,6 +10,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import count
 from pathlib import Path
 
@@ -25,6 +26,7 @@ WORD_SPLIT = r"[ \t-\r]+"
 SLICE_BYTES = 4 << 20
 BATCH_BYTES = 8 << 20
 _shipped: set[str] = set()
+_open: list[list[str]] = []
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -48,15 +50,29 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def staged(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
-    """`df` written to the shared folder and read back: cuts the lineage and survives lost executors."""
+def staged(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """`df` written to the shared folder and read back: cuts the lineage and survives lost executors. Inside `scratch` the
+    table goes at its end unless it is kept."""
     spark = df.sparkSession
     path = new_folder(spark, label)
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(by) if by else writer).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    if _open and not keep:
+        _open[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are removed at the end; whatever outlives the block must be staged with `keep`."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            there = spark._jvm.org.apache.hadoop.fs.Path(path)
+            there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def crc32_of(column: str) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltframe.llm import hyperminhash as hmh
-from voltframe.llm.common import read, ship, slices, staged, text_bytes
+from voltframe.llm.common import read, scratch, ship, slices, staged, text_bytes
 from voltframe.llm.components import components
 
 PERCENT = 85
@@ -215,13 +215,14 @@ def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
-    sketched = staged(sketches(docs), "sketches")
-    classes = classes_of(sketched)
-    labels = linked_classes(docs, classes)
-    named = classes.join(labels, classes["cid"] == labels["node"], "left").select("print", "rep", F.coalesce("comp", "cid").alias("comp"))
-    named = staged(named, "named")
-    least = staged(named.groupBy("comp").agg(F.min("rep").alias("component_id")), "least")
-    member = staged(named.join(least, "comp").select("print", "component_id"), "members")
+    sketched = staged(sketches(docs), "sketches", keep=True)
+    with scratch(docs.sparkSession):
+        classes = classes_of(sketched)
+        labels = linked_classes(docs, classes)
+        named = classes.join(labels, classes["cid"] == labels["node"], "left").select("print", "rep", F.coalesce("comp", "cid").alias("comp"))
+        named = staged(named, "named")
+        least = staged(named.groupBy("comp").agg(F.min("rep").alias("component_id")), "least")
+        member = staged(named.join(least, "comp").select("print", "component_id"), "members", keep=True)
     out = sketched.select("doc_id", "n_shingles", "print").join(member, "print", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")) \
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import read, ship, staged
+from voltframe.llm.common import read, scratch, ship, staged
 from voltframe.llm.components import components
 
 COSINE = 0.9
@@ -231,16 +231,17 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, recall: float = REC
     """vec_id, n_links, component_id and kept of every vector."""
     ship(vectors.sparkSession)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
-    classes = staged(rows.filter(usable()).groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"))
-                     .withColumn("cid", F.monotonically_increasing_id()), "classes")
-    index = staged(placed(classes, fitted(classes, cosine, recall)), "index")
-    found = staged(links_of(index, cosine), "links")
-    counts = found.groupBy("cid").agg(F.sum("links").alias("links"))
-    labels = components(found.select(F.col("cid").alias("a"), F.col("part").alias("b"))).withColumnRenamed("node", "cid")
-    named = staged(classes.join(counts, "cid", "left").join(labels, "cid", "left")
-                   .select("embedding", "rep", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("comp", "cid").alias("comp")), "named")
-    least = staged(named.groupBy("comp").agg(F.min("rep").alias("component_id")), "least")
-    members = staged(named.join(least, "comp").select("embedding", "n_links", "component_id"), "members")
+    with scratch(vectors.sparkSession):
+        classes = staged(rows.filter(usable()).groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"))
+                         .withColumn("cid", F.monotonically_increasing_id()), "classes")
+        index = staged(placed(classes, fitted(classes, cosine, recall)), "index")
+        found = staged(links_of(index, cosine), "links")
+        counts = found.groupBy("cid").agg(F.sum("links").alias("links"))
+        labels = components(found.select(F.col("cid").alias("a"), F.col("part").alias("b"))).withColumnRenamed("node", "cid")
+        named = staged(classes.join(counts, "cid", "left").join(labels, "cid", "left")
+                       .select("embedding", "rep", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("comp", "cid").alias("comp")), "named")
+        least = staged(named.groupBy("comp").agg(F.min("rep").alias("component_id")), "least")
+        members = staged(named.join(least, "comp").select("embedding", "n_links", "component_id"), "members", keep=True)
     good = rows.filter(usable()).join(members, "embedding", "left").select("vec_id", "n_links", "component_id")
     bad = rows.filter(~usable())
     alone = bad.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
