@@ -27,6 +27,7 @@ from voltframe.llm.common import crc32_of, numbered, ragged, read, ship, slices,
 
 TRAIN_DOCS = 200
 TRAIN_CHARS = 20_000
+SHARES = 64
 PIECE, PIECES = 12, 6
 LEXICON = 300
 BITS = 16
@@ -136,8 +137,12 @@ def sample(docs: DataFrame) -> list[tuple[str, str]]:
     rows = (docs.filter("lang IS NOT NULL AND text IS NOT NULL")
             .withColumn("__key", F.xxhash64("doc_id", "text")).withColumn("__long", F.length("text") > TRAIN_CHARS))
     keys = rows.select("lang", "__long", "__key").distinct()
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("__long", "__key"))
-    chosen = keys.withColumn("__r", rank).filter(F.col("__r") <= TRAIN_DOCS).select("lang", "__key")
+    # First within shares of a language, so that no task meets more than its share of the candidates of all tasks.
+    chosen = keys.withColumn("__share", F.pmod("__key", F.lit(SHARES)))
+    for by in (("lang", "__share"), ("lang",)):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy("__long", "__key"))
+        chosen = chosen.withColumn("__r", rank).filter(F.col("__r") <= TRAIN_DOCS).drop("__r")
+    chosen = chosen.select("lang", "__key")
     found = rows.join(chosen, ["lang", "__key"]).groupBy("lang", "__key").agg(F.min("text").alias("text"))
     return sorted((r["lang"], r["text"]) for r in found.select("lang", "text").collect())
 
