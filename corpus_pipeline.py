@@ -8,7 +8,7 @@ stage joins or carries under names of its own.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltframe.llm import language_id, minhash, packing, quality, secrets
@@ -18,22 +18,29 @@ from voltframe.llm.common import read, staged
 LEAST_SCORE = 0.5
 
 
+def _apart(docs: DataFrame) -> DataFrame:
+    """The documents as `__body`, their text, and `__row`, all other columns: no operator's column can clash with these."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("__row"), F.col("text").alias("__body"))
+
+
+def _columns(docs: DataFrame, **instead: Column) -> list[Column]:
+    """The columns of `docs` from `__row` and `__body`, in their order."""
+    from_row = {c: F.col("__row").getField(c) for c in docs.columns if c != "text"}
+    return [({"text": F.col("__body")} | from_row | instead)[c].alias(c) for c in docs.columns]
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose language is known. The field is fitted to the labelled documents of the same table."""
-    columns = docs.columns
     field = language_id.trained(docs)
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row"), F.col("text").alias("__body"))
-    found = language_id.identified(row, field, text="__body", carry=("__row",))
+    found = language_id.identified(_apart(docs), field, text="__body", carry=("__row", "__body"), slice_bytes=2 << 20)
     kept = found.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.select(*[F.col("__row").getField(c).alias(c) for c in columns])
+    return kept.select(*_columns(docs))
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that pass the quality rules."""
-    columns = docs.columns
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row"), F.col("text").alias("__body"))
-    kept = quality.judged(row, text="__body", carry=("__row",)).filter("kept")
-    return kept.select(*[F.col("__row").getField(c).alias(c) for c in columns])
+    kept = quality.judged(_apart(docs), text="__body", carry=("__row", "__body")).filter("kept")
+    return kept.select(*_columns(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,13 +57,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every secret in the texts by a mask and updates their lengths; no document is dropped."""
-    columns = docs.columns
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row"), F.col("text").alias("__body"))
-    found = secrets.spans(row, text="__body", carry=("__row", "__body"))
+    found = secrets.spans(_apart(docs), text="__body", carry=("__row", "__body"))
     clean = found.withColumn("__clean", secrets.redacted(F.col("__body"), F.col("__spans")))
-    changed = {"text": F.col("__clean"), "n_chars": F.when(F.size("__spans") > 0, F.length("__clean").cast(dict(docs.dtypes).get("n_chars", "long")))
-               .otherwise(F.col("__row").getField("n_chars")) if "n_chars" in columns else None}
-    return clean.select(*[(changed[c] if c in changed else F.col("__row").getField(c)).alias(c) for c in columns])
+    instead = {"text": F.col("__clean")}
+    if "n_chars" in docs.columns:
+        length = F.length("__clean").cast(docs.schema["n_chars"].dataType)
+        instead["n_chars"] = F.when(F.size("__spans") > 0, length).otherwise(F.col("__row").getField("n_chars"))
+    return clean.select(*_columns(docs, **instead))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

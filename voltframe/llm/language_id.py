@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltframe.llm.common import crc32_of, numbered, ragged, read, ship, slices, text_bytes, words_of
+from voltframe.llm.common import SLICE_BYTES, crc32_of, numbered, ragged, read, ship, slices, text_bytes, words_of
 
 TRAIN_DOCS = 200
 TRAIN_CHARS = 20_000
@@ -197,17 +197,19 @@ def fitted(rows: list[tuple[str, str]]) -> Field | None:
     return field
 
 
-def identified(docs: DataFrame, field: Field | None, text: str = "text", carry: tuple[str, ...] = ("doc_id",), runs: bool = False) -> DataFrame:
+def identified(docs: DataFrame, field: Field | None, text: str = "text", carry: tuple[str, ...] = ("doc_id",), runs: bool = False,
+               slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """`carry`, `lang_pred` and `score`; with `runs` also the labelled word runs (lang, words) of every text."""
     ship(docs.sparkSession)
-    picked = docs.select(*carry, F.col(text).alias("__text"))
+    picked = docs.select(*carry) if text in carry else docs.select(*carry, F.col(text).alias("__text"))
+    name = text if text in carry else "__text"
     kind = T.ArrayType(T.StructType([T.StructField("lang", T.StringType()), T.StructField("words", T.LongType())]))
     schema = T.StructType([picked.schema[c] for c in carry] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
                           + [T.StructField("runs", kind)] * runs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text"):
-            lang, score, spans = labelled(field, *text_bytes(batch, "__text"), runs)
+        for batch in slices(batches, name, slice_bytes):
+            lang, score, spans = labelled(field, *text_bytes(batch, name), runs)
             columns = [*(batch.column(c) for c in carry), pa.array(lang, pa.string()), pa.array(score, pa.float64())]
             if runs:
                 columns.append(pa.array([[{"lang": a, "words": b} for a, b in s] for s in spans], pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64())]))))

@@ -128,13 +128,14 @@ def scan(data: bytes, ends: np.ndarray) -> list[list[tuple[str, int, int]]]:
 def spans(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """`carry` and `__spans`, the array of (kind, start, end) of each text."""
     ship(docs.sparkSession)
-    picked = docs.select(*carry, F.col(text).alias("__text"))
+    picked = docs.select(*carry) if text in carry else docs.select(*carry, F.col(text).alias("__text"))
+    name = text if text in carry else "__text"
     schema = T.StructType([picked.schema[c] for c in carry] + [T.StructField("__spans", SPANS)])
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text"):
-            data, ends = text_bytes(batch, "__text")
+        for batch in slices(batches, name):
+            data, ends = text_bytes(batch, name)
             found = [[{"kind": k, "start": a, "end": b} for k, a, b in row] for row in scan(bytes(data), ends)]
             columns = [batch.column(c) for c in carry] + [pa.array(found, kind)]
             yield pa.RecordBatch.from_arrays(columns, names=[*carry, "__spans"])
