@@ -38,6 +38,7 @@ _bronze_ingested_at timestamp
 _silver_updated_at timestamp
 """
 
+# Column names, types and keys of all tables.
 CONTROL = {
     "ctl_ingest_log": describe("""
         run_id string           # one id per run
@@ -57,7 +58,7 @@ CONTROL = {
         source string
         dataset string
         area_key string
-        loaded_until_utc timestamp   # loaded up to, not including
+        loaded_until_utc timestamp   # end of the loaded span, exclusive
         updated_at_utc timestamp
     """),
     "ctl_silver_state": describe("""
@@ -100,14 +101,14 @@ SILVER = {
         ts_utc timestamp !      # start of the interval
         resolution_minutes int !
         load_mw double
-        energy_mwh double       # load_mw * resolution_minutes / 60
+        energy_mwh double       # energy of the interval
     """ + _LINEAGE_COLUMNS),
     "silver_generation": describe("""
         area_code string !
         ts_utc timestamp !
         resolution_minutes int !
         psr_type_code string !
-        direction string !      # generation or consumption
+        direction string !      # which way a unit runs
         power_mw double
         energy_mwh double
         co2e_kg double          # NULL when there is no factor
