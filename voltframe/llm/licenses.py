@@ -90,9 +90,12 @@ def matches(docs: DataFrame, threshold: int = THRESHOLD, text: str = "text") ->
     """
     spark: SparkSession = docs.sparkSession
     table = spark.createDataFrame(template_rows(), "template int, license string, t long, bigram string")
-    opened = units(docs, text).select("doc_id", "unit", F.size("bigrams").cast("long").alias("u"), F.xxhash64("bigrams").alias("__own"), F.explode("bigrams").alias("bigram"))
+    # Only bigrams that some template has leave their unit; the templates are fixed and small, so they go to every task.
+    listed = sorted({x for _, _, _, x in template_rows()})
+    opened = units(docs, text).select("doc_id", "unit", F.size("bigrams").cast("long").alias("u"), F.xxhash64("bigrams").alias("__own"),
+                                      F.explode(F.filter("bigrams", lambda b: b.isin(listed))).alias("bigram"))
     bound = ((200 - threshold) * F.col("u") >= threshold * F.col("t")) & ((200 - threshold) * F.col("t") >= threshold * F.col("u"))
-    both = (opened.join(table, "bigram").filter(bound).groupBy("doc_id", "unit", "__own", "u", "template", "license", "t")
+    both = (opened.join(F.broadcast(table), "bigram").filter(bound).groupBy("doc_id", "unit", "__own", "u", "template", "license", "t")
             .agg(F.count_distinct("bigram").alias("both")))
     good = both.filter(200 * F.col("both") >= threshold * (F.col("u") + F.col("t"))).withColumn("dice", 2 * F.col("both") / (F.col("u") + F.col("t")))
     best = Window.partitionBy("doc_id", "unit", "__own").orderBy(F.desc("dice"), "license", "template")
