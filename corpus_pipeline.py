@@ -44,15 +44,18 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate group: that of the least id, and one row if that id repeats.
+    """Keeps one row of each near-duplicate group: a row of the least id, of no id only where the group has none.
 
-    Documents with a NULL id are kept only where no other of their group is; texts without words are no one's copies.
+    Decided by text and not by id: rows without an id or with a repeated one stay if their texts are no copies. Texts
+    without words are no one's copies.
     """
-    found = minhash.near_duplicates(docs.select("doc_id", "text"))
-    keep = staged(found.filter("kept").select(F.col("doc_id").alias("__id")).distinct(), "kept-ids")
-    rows = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))).drop("__id")
-    repeated = Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"])
-    return rows.withColumn("__r", F.row_number().over(repeated)).filter("__r = 1").drop("__r")
+    first = minhash.originals(docs.select("doc_id", "text")).toDF("__comp", "__id", "__print")
+    worded = F.coalesce(F.col("text").rlike(r"[^ \t-\r]"), F.lit(False))
+    rows = docs.filter(worded).withColumn("__own", minhash.body_of("text"))
+    rows = rows.join(first, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__print")))
+    repeated = Window.partitionBy("__comp").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    one = rows.withColumn("__r", F.row_number().over(repeated)).filter("__r = 1")
+    return one.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.filter(~worded))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

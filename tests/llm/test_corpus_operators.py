@@ -324,5 +324,18 @@ def test_pipeline_keeps_clean_documents(spark, tmp_path):
     assert got == set(range(60))
 
 
+def test_copies_are_dropped_by_text_and_not_by_id(spark):
+    rng = random.Random(5)
+    a, b, c, d, e, f = (" ".join(rng.choice(EN.split()) + str(rng.randrange(90)) for _ in range(80)) for _ in range(6))
+    rows = [row(1, a), row(None, a + " more"), row(None, b), row(None, c), row(None, c), row(None, c + " more"), row(4, d), row(4, e),
+            row(9, a, "aa"), row(9, f, "zz"), row(7, f), row(7, f, "en", "r"), row(None, None), row(None, ""), row(5, " "), row(5, "")]
+    got = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, DOCUMENTS), None)
+    found = [(r["doc_id"], r["text"], r["source"]) for r in got.collect()]
+    kept_c = [x for x in found if x[1] in (c, c + " more")]
+    assert len(kept_c) == 1 and kept_c[0][0] is None
+    want = [(1, a, "s"), (None, b, "s"), (4, d, "s"), (4, e, "s"), (7, f, "r"), (None, None, "s"), (None, "", "s"), (5, " ", "s"), (5, "", "s")]
+    assert Counter(x for x in found if x not in kept_c) == Counter(want)
+
+
 def test_empty_pipeline(spark, tmp_path):
     assert corpus_pipeline.run(spark, stored(spark.createDataFrame([], DOCUMENTS), tmp_path)).count() == 0

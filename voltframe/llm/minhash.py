@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltframe.llm import hyperminhash as hmh
@@ -29,7 +29,12 @@ from voltframe.llm.components import components
 PERCENT = 85
 HUBS = 4
 MARGIN = 5.0
-SKETCH = "doc_id long, n_shingles long, print binary, regs binary"
+SKETCH = "doc_id long, body binary, n_shingles long, print binary, regs binary"
+
+
+def body_of(text: str) -> Column:
+    """128 bits that stand for a text: with the id they tell a document from others that bear the same id, or none."""
+    return F.unhex(F.md5(F.col(text).cast("binary")))
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -43,16 +48,22 @@ def sketches(docs: DataFrame) -> DataFrame:
             stops = np.cumsum(n).tolist()
             prints = [hmh.fingerprint(values[b - k:b]) if k else None for b, k in zip(stops, n.tolist())]
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "n_shingles": n, "print": pa.array(prints, pa.binary()),
+                "doc_id": batch.column("doc_id"), "body": batch.column("body"), "n_shingles": n, "print": pa.array(prints, pa.binary()),
                 "regs": pa.array([r.tobytes() if k else None for r, k in zip(regs, n.tolist())], pa.binary())})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(run, SKETCH)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), body_of("text").alias("body"), F.col("text").alias("text")).mapInArrow(run, SKETCH)
+
+
+def first_of(doc_id: str) -> Column:
+    """The document of the least id, one without an id only where no other is, and the least body among equal ids."""
+    return F.min(F.struct(F.col(doc_id).isNull().alias("unnamed"), F.col(doc_id).alias("doc_id"), F.col("body").alias("body")))
 
 
 def classes_of(sketched: DataFrame) -> DataFrame:
-    """One row per distinct shingle set; the number is fixed by the written table."""
+    """One row per distinct shingle set, with the document that represents it; the number is fixed by the written table."""
     return staged(sketched.filter("n_shingles > 0").groupBy("print")
-                  .agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.min("regs").alias("regs"))
+                  .agg(first_of("doc_id").alias("f"), F.min("n_shingles").alias("n"), F.min("regs").alias("regs"))
+                  .select("print", F.col("f.doc_id").alias("rep"), F.col("f.body").alias("body"), "n", "regs")
                   .withColumn("cid", F.monotonically_increasing_id()), "classes")
 
 
@@ -213,14 +224,19 @@ def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return components(first.unionByName(more))
 
 
+def named_classes(docs: DataFrame, sketched: DataFrame) -> DataFrame:
+    """(print, rep, body, comp) of every class: the document that represents it and its component's number."""
+    classes = classes_of(sketched)
+    labels = linked_classes(docs, classes)
+    named = classes.join(labels, classes["cid"] == labels["node"], "left").select("print", "rep", "body", F.coalesce("comp", "cid").alias("comp"))
+    return staged(named, "named")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
     sketched = staged(sketches(docs), "sketches", keep=True)
     with scratch(docs.sparkSession):
-        classes = classes_of(sketched)
-        labels = linked_classes(docs, classes)
-        named = classes.join(labels, classes["cid"] == labels["node"], "left").select("print", "rep", F.coalesce("comp", "cid").alias("comp"))
-        named = staged(named, "named")
+        named = named_classes(docs, sketched)
         least = staged(named.groupBy("comp").agg(F.min("rep").alias("component_id")), "least")
         member = staged(named.join(least, "comp").select("print", "component_id"), "members", keep=True)
     out = sketched.select("doc_id", "n_shingles", "print").join(member, "print", "left")
@@ -228,6 +244,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def originals(docs: DataFrame) -> DataFrame:
+    """(comp, doc_id, body) of the one document that stands for each component: `first_of` its documents."""
+    with scratch(docs.sparkSession):
+        named = named_classes(docs, staged(sketches(docs), "sketches"))
+        return staged(named.groupBy("comp").agg(first_of("rep").alias("f")).select("comp", "f.doc_id", "f.body"), "originals", keep=True)
+
+
 def op7_minhash(spark, sf_dir):
     """Near-duplicate components of all documents."""
     return near_duplicates(read(spark, sf_dir, "documents"))
