@@ -160,6 +160,28 @@ def test_only_what_the_result_reads_is_left(spark, monkeypatch, tmp_path):
     assert got.count() == 200
 
 
+def test_texts_of_rows_without_ids_meet_their_class_only(spark, monkeypatch):
+    rows = [row(None, f"{EN} {i} {DE}") for i in range(60)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    classes = minhash.classes_of(minhash.staged(minhash.sketches(docs), "sketches"))
+    joined = []
+
+    def nodes(plan):
+        kind = plan.getClass().getSimpleName()
+        inner = [plan.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [plan.plan()] if "QueryStage" in kind else []
+        return [(kind, plan)] + [x for p in inner + [plan.children().apply(i) for i in range(plan.children().size())] for x in nodes(p)]
+
+    def collected(df, label, keep=False):
+        df.collect()
+        joined.extend(p.metrics().apply("numOutputRows").value() for k, p in nodes(df._jdf.queryExecution().executedPlan()) if k.endswith("JoinExec"))
+        return df
+
+    monkeypatch.setattr(minhash, "staged", collected)
+    got = minhash.texts_of(docs, classes, classes).collect()
+    assert sorted(r["text"] for r in got) == sorted(r[1] for r in rows)
+    assert joined and max(joined) == 60
+
+
 def test_large_groups_of_near_copies(spark):
     """Chains, stars and copies whose edits drift apart: more classes in a key than hubs."""
     rng = random.Random(4)

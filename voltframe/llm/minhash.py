@@ -125,20 +125,12 @@ def promising(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One text of each wanted class: of the document that gives the class its id, if its set is that class."""
-    need = classes.join(wanted.select("cid").distinct(), "cid").select("cid", "rep", "print")
-    named = docs.select(F.col("doc_id").cast("long").alias("own"), F.col("text").alias("text"))
-    found = named.join(need, F.col("own").eqNullSafe(F.col("rep")))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            values, n = hmh.shingles(*text_bytes(batch, "text"))
-            stops = np.cumsum(n).tolist()
-            keep = [k > 0 and hmh.fingerprint(values[b - k:b]) == p for b, k, p in zip(stops, n.tolist(), batch.column("print").to_pylist())]
-            yield batch.select(["cid", "text"]).filter(pa.array(keep))
-
-    checked = found.select("cid", "text", "print").mapInArrow(run, "cid long, text string")
-    return staged(checked.groupBy("cid").agg(F.min("text").alias("text")), "texts")
+    """One text of each wanted class: that of the document that represents it. Met by id and body, so rows without an id
+    are spread and a class meets only copies of one text."""
+    need = classes.join(wanted.select("cid").distinct(), "cid").select("cid", "rep", F.col("body").alias("print"))
+    named = docs.select(F.col("doc_id").cast("long").alias("own"), body_of("text").alias("body"), F.col("text").alias("text"))
+    found = named.join(need, F.col("own").eqNullSafe(F.col("rep")) & (F.col("body") == F.col("print")))
+    return staged(found.groupBy("cid").agg(F.min("text").alias("text")), "texts")
 
 
 def _sets(texts: list[str]) -> list[np.ndarray]:
