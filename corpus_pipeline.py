@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from voltframe.llm import language_id, minhash, packing, quality, secrets
 from voltframe.llm.common import read, staged
 
-# A text whose words do not agree on any one language to this share of the posterior is rejected.
+# A text whose words' labels are less sure than this on average, whichever languages they are of, is rejected.
 LEAST_SCORE = 0.5
 
 
@@ -30,10 +30,10 @@ def _columns(docs: DataFrame, **instead: Column) -> list[Column]:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose language is known. The field is fitted to the labelled documents of the same table."""
+    """Keeps the documents whose words are of known languages, one or several. The field is fitted to the labelled documents of the same table."""
     field = language_id.trained(docs)
-    found = language_id.identified(_apart(docs), field, text="__body", carry=("__row", "__body"), slice_bytes=2 << 20)
-    kept = found.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    found = language_id.identified(_apart(docs), field, text="__body", carry=("__row", "__body"), slice_bytes=2 << 20, sure=True)
+    kept = found.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("sure") >= LEAST_SCORE))
     return kept.select(*_columns(docs))
 
 

@@ -337,6 +337,16 @@ def test_pipeline_stages(spark, folder):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).filter("doc_id = 6").count() > 1
 
 
+def test_language_stage_keeps_texts_of_several_languages(spark):
+    fr = "le chat et le chien sont dans la maison avec les gens de la ville mais il y a aussi une femme qui ne mange pas son pain"
+    rng = random.Random(6)
+    rows = [row(i, " ".join(rng.sample(t.split(), 20)), lang) for i in range(90) for lang, t in [(("en", EN), ("de", DE), ("fr", fr))[i % 3]]]
+    some = lambda t, n: " ".join((t.split() * 2)[:n])
+    rows += [row(200, f"{some(EN, 24)} {some(DE, 21)} {some(fr, 15)}", None), row(201, f"{some(EN, 25)} {some(DE, 25)} tok pru", None), row(202, "123 !!!", None)]
+    got = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, spark.createDataFrame(rows, DOCUMENTS), None).collect()}
+    assert got == set(range(90)) | {200, 201}
+
+
 def test_pipeline_keeps_clean_documents(spark, tmp_path):
     rng = random.Random(3)
     words = {"en": EN.split(), "de": DE.split()}

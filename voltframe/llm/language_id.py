@@ -198,35 +198,39 @@ def fitted(rows: list[tuple[str, str]]) -> Field | None:
 
 
 def identified(docs: DataFrame, field: Field | None, text: str = "text", carry: tuple[str, ...] = ("doc_id",), runs: bool = False,
-               slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """`carry`, `lang_pred` and `score`; with `runs` also the labelled word runs (lang, words) of every text."""
+               slice_bytes: int = SLICE_BYTES, sure: bool = False) -> DataFrame:
+    """`carry`, `lang_pred` and `score`; with `runs` also the labelled word runs (lang, words) of every text, with `sure` the
+    mean of its words' largest posteriors, whichever languages these are of."""
     ship(docs.sparkSession)
     picked = docs.select(*carry) if text in carry else docs.select(*carry, F.col(text).alias("__text"))
     name = text if text in carry else "__text"
     kind = T.ArrayType(T.StructType([T.StructField("lang", T.StringType()), T.StructField("words", T.LongType())]))
     schema = T.StructType([picked.schema[c] for c in carry] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-                          + [T.StructField("runs", kind)] * runs)
+                          + [T.StructField("runs", kind)] * runs + [T.StructField("sure", T.DoubleType())] * sure)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, name, slice_bytes):
-            lang, score, spans = labelled(field, *text_bytes(batch, name), runs)
+            lang, score, spans, certain = labelled(field, *text_bytes(batch, name), runs)
             columns = [*(batch.column(c) for c in carry), pa.array(lang, pa.string()), pa.array(score, pa.float64())]
             if runs:
                 columns.append(pa.array([[{"lang": a, "words": b} for a, b in s] for s in spans], pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64())]))))
+            if sure:
+                columns.append(pa.array(certain, pa.float64()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return picked.mapInArrow(run, schema)
 
 
-def labelled(field: Field | None, data: memoryview, ends: np.ndarray, runs: bool = False) -> tuple[list[str], np.ndarray, list[list[tuple[str, int]]]]:
-    """Language, score and, if asked, word runs of each row."""
+def labelled(field: Field | None, data: memoryview, ends: np.ndarray,
+             runs: bool = False) -> tuple[list[str], np.ndarray, list[list[tuple[str, int]]], np.ndarray]:
+    """Language, score, if asked word runs, and how sure the words' labels are, of each row."""
     n = len(ends) - 1
     raw = bytes(data)
     lettered = [bool(_LETTER.search(raw, a, b)) or any(c.isalpha() for c in raw[a:b].decode("utf-8", "replace"))
                 for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
     spans: list[list[tuple[str, int]]] = [[] for _ in range(n)]
     if field is None or not any(lettered):
-        return [UNKNOWN] * n, np.zeros(n), spans
+        return [UNKNOWN] * n, np.zeros(n), spans, np.zeros(n)
     words, counts = words_of(data, ends)
     distinct, at = numbered(words)
     del words
@@ -241,13 +245,14 @@ def labelled(field: Field | None, data: memoryview, ends: np.ndarray, runs: bool
     mass = np.stack([np.bincount(row, own[:, j], n) for j in range(own.shape[1])], 1)
     best = mass.argmax(1)
     score = np.clip(mass[np.arange(n), best] / np.maximum(sizes, 1), 0, 1)
+    certain = np.clip(np.bincount(row, own.max(1), n) / np.maximum(sizes, 1), 0, 1)
     known = (sizes > 0) & np.array(lettered)
     if runs and len(token):
         label = own.argmax(1)
         cut = np.flatnonzero(np.concatenate(([True], (label[1:] != label[:-1]) | (row[1:] != row[:-1]))))
         for a, b in zip(cut.tolist(), np.append(cut[1:], len(label)).tolist()):
             spans[row[a]].append((field.langs[label[a]], b - a))
-    return [field.langs[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist())], np.where(known, score, 0.0), spans
+    return [field.langs[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist())], np.where(known, score, 0.0), spans, np.where(known, certain, 0.0)
 
 
 def held_out():
