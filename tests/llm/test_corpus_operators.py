@@ -288,6 +288,39 @@ def test_crowded_cells_are_cut(spark, tmp_path, monkeypatch):
     assert {(r["n_links"], r["component_id"]) for r in got} == {(399, 0)}
 
 
+def test_visits_where_few_vectors_have_a_partner(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(10)
+    points = rng.normal(size=(20_000, 32))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    away = rng.normal(size=(60, 32))
+    away -= (away * points[:60]).sum(1, keepdims=True) * points[:60]
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    near = 0.91 * points[:60] + math.sqrt(1 - 0.91**2) * away
+    monkeypatch.setattr(multi_index, "SAMPLE", 2048)
+    rows = [(i, v, 0) for i, v in enumerate(np.concatenate((points, near)).astype(np.float32).tolist())]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = multi_index.near_vectors(spark.createDataFrame(rows, VECTORS)).filter("vec_id >= 20000").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sum(r["n_links"] > 0 for r in got) >= 57
+
+
+def test_calibration_asks_on_until_queries_have_partners(spark):
+    rng = np.random.default_rng(11)
+    points = rng.normal(size=(3000, 32))
+    points[1000:1004] = points[:4] + 0.3 * rng.normal(size=(4, 32))
+    rows = [(i, i, 1, v) for i, v in enumerate(points.astype(np.float32).tolist())]
+    classes = spark.createDataFrame(rows, "cid long, rep long, n long, embedding array<float>")
+    grid = multi_index.fitted(classes)[32]
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    first, second = np.nonzero(np.triu(unit @ unit.T >= 0.9, 1))
+    assert len(first) >= 4
+    for x, y in [*zip(first, second), *zip(second, first)]:
+        assert grid.cells(unit[y:y + 1])[0] in grid.visited(unit[x:x + 1])[0]
+
+
 # packing
 
 def test_patterns_hold_the_histogram():

@@ -10,7 +10,9 @@ Equal vectors are one class with a count, so copies never meet. A cell's members
 size; a block pair returns per vector its number of links and one label of its connected part, never the pairs themselves.
 
 Vectors that are NULL, empty, zero or hold NULL or non-finite parts link with nothing; so do vectors of different length.
-Codebooks are fitted on at most `SAMPLE` classes per length and the calibration uses `QUERIES` of them, chosen by hash.
+Codebooks are fitted on at most `SAMPLE` classes per length, chosen by hash. The calibration asks `QUERIES` of them against all
+rows and goes on, four times as many a round, until `PARTNERED` had a partner or the sample is used up. If rows are left that
+were not asked and fewer had one, vectors at exactly the cosine, planted around sample vectors, give a least number of visits.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltframe.llm.common import read, scratch, ship, staged
@@ -29,6 +31,8 @@ COSINE = 0.9
 RECALL = 0.999
 SAMPLE = 16_384
 QUERIES = 256
+PARTNERED = 100
+PLANTED = 2048
 CELL_VECTORS = 16
 MOST_CENTROIDS = 1024
 BLOCK = 2048
@@ -116,32 +120,83 @@ class Grid:
 def fitted(classes: DataFrame, cosine: float = COSINE, recall: float = RECALL) -> dict[int, Grid]:
     """A grid per vector length, with its visits calibrated against brute force for the sample queries."""
     sizes = {r["length"]: r["n"] for r in classes.groupBy(F.size("embedding").alias("length")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    grids, queries = {}, {}
+    grids, samples = {}, {}
     for length, total in sizes.items():
         rows = (classes.filter(F.size("embedding") == length).orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE).select("cid", "embedding").toArrow()
                 .combine_chunks())
         points = matrix(rows.column("embedding").combine_chunks())
         grids[length] = Grid(points, total)
-        queries[length] = (rows.column("cid").to_numpy()[:QUERIES], points[:QUERIES])
+        samples[length] = (rows.column("cid").to_numpy(), points)
+
+    found = dict.fromkeys(grids, ({}, 0))
+    low, high, wanting = 0, QUERIES, set(grids)
+    while wanting:
+        asked = {n: (samples[n][0][low:high], samples[n][1][low:high]) for n in wanting}
+        for n, (ranks, partnered) in asked_ranks(classes, grids, asked, cosine).items():
+            before, count = found[n]
+            found[n] = ({r: before.get(r, 0) + ranks.get(r, 0) for r in before | ranks}, count + partnered)
+        wanting = {n for n in wanting if found[n][1] < PARTNERED and high < len(samples[n][0])}
+        low, high = high, 4 * high
+    for n, grid in grids.items():
+        ranks, partnered = found[n]
+        if ranks:
+            own = sorted(ranks.items())
+            reached = np.cumsum([w for _, w in own])
+            grid.visits = max(LEAST_VISITS, own[int(np.searchsorted(reached, recall * reached[-1] - 1e-9))][0] + 1)
+        if partnered < PARTNERED and sizes[n] > len(samples[n][0]):
+            grid.visits = max(grid.visits, planted_visits(grid, samples[n][1][:PLANTED], cosine, recall))
+    return grids
+
 
+def asked_ranks(classes: DataFrame, grids: dict[int, Grid], asked: dict[int, tuple[np.ndarray, np.ndarray]], cosine: float) -> dict[int, tuple[dict[int, float], int]]:
+    """Per length, at which rank the asked queries meet their partners among all classes, every query with weight one in
+    all, and how many queries have a partner."""
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in by_length(batch):
-                x = matrix(part.column("embedding"))
-                grid, (ids, q) = grids[x.shape[1]], queries[x.shape[1]]
-                qi, xi = np.nonzero((q @ x.T >= cosine) & (ids[:, None] != part.column("cid").to_numpy()[None]))
-                cells, n = np.unique(np.stack([qi, grid.cells(x)[xi]], 1), axis=0, return_counts=True)
-                a, b = grid.near(q)
-                rank = [grid.rank(a[i], b[i], c) for i, c in cells.tolist()]
-                yield pa.RecordBatch.from_pydict({"length": pa.array([x.shape[1]] * len(rank), pa.int32()), "rank": pa.array(rank, pa.int64()), "n": pa.array(n, pa.int64())})
-
-    found = classes.select("cid", "embedding").mapInArrow(hits, "length int, rank long, n long").groupBy("length", "rank").agg(F.sum("n").alias("n")).collect()
-    for length, grid in grids.items():
-        own = sorted((r["rank"], r["n"]) for r in found if r["length"] == length)
-        if own:
-            reached = np.cumsum([n for _, n in own])
-            grid.visits = max(LEAST_VISITS, own[int(np.searchsorted(reached, recall * reached[-1]))][0] + 1)
-    return grids
+            for whole in by_length(batch):
+                length = len(whole.column("embedding")[0])
+                if length not in asked:
+                    continue
+                for at in range(0, whole.num_rows, 2048):
+                    part = whole.slice(at, 2048)
+                    x, cid, grid = matrix(part.column("embedding")), part.column("cid").to_numpy(), grids[length]
+                    cell = grid.cells(x)
+                    for start in range(0, len(asked[length][0]), 1024):
+                        ids, q = (v[start:start + 1024] for v in asked[length])
+                        qi, xi = np.nonzero((q @ x.T >= cosine) & (ids[:, None] != cid[None]))
+                        if not len(qi):
+                            continue
+                        pairs, n = np.unique(np.stack([qi, cell[xi]], 1), axis=0, return_counts=True)
+                        a, b = grid.near(q)
+                        rank = [grid.rank(a[i], b[i], c) for i, c in pairs.tolist()]
+                        yield pa.RecordBatch.from_pydict({"length": pa.array([length] * len(rank), pa.int32()), "query": ids[pairs[:, 0]],
+                                                          "rank": pa.array(rank, pa.int64()), "n": pa.array(n, pa.int64())})
+
+    met = (classes.select("cid", "embedding").mapInArrow(hits, "length int, query long, rank long, n long")
+           .groupBy("length", "query", "rank").agg(F.sum("n").alias("n")))
+    share = F.col("n") / F.sum("n").over(Window.partitionBy("length", "query"))
+    rows = met.withColumn("share", share).groupBy("length", "rank").agg(F.sum("share").alias("w")).collect()
+    ranks: dict[int, dict[int, float]] = {}
+    for r in rows:
+        ranks.setdefault(r["length"], {})[r["rank"]] = r["w"]
+    return {n: (own, round(sum(own.values()))) for n, own in ranks.items()}
+
+
+def planted_visits(grid: Grid, points: np.ndarray, cosine: float, recall: float) -> int:
+    """Visits after which this share of pairs at exactly the cosine is found from either side: points and their
+    perturbations in random directions."""
+    if points.shape[1] < 2:
+        return LEAST_VISITS
+    away = np.random.default_rng(17).normal(size=points.shape)
+    away -= (away * points).sum(1, keepdims=True) * points
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    moved = cosine * points + np.sqrt(1 - cosine * cosine) * away
+    ranks = []
+    for x, y in ((points, moved), (moved, points)):
+        (a, b), cell = grid.near(x), grid.cells(y).tolist()
+        ranks.append([grid.rank(a[i], b[i], c) for i, c in enumerate(cell)])
+    least = np.sort(np.minimum(*ranks))
+    return int(least[min(len(least), int(np.ceil(recall * len(least)))) - 1]) + 1
 
 
 def placed(classes: DataFrame, grids: dict[int, Grid]) -> DataFrame:
