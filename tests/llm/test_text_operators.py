@@ -129,6 +129,27 @@ def test_license_units(spark):
     assert got == [(1, 1, "MIT", 1.0), (2, -1, "MIT", 1.0), (2, 0, "MIT", 1.0), (5, -1, "Apache-2.0", 1.0), (5, 0, "Apache-2.0", 1.0)]
 
 
+def test_wrapped_and_embedded_licenses(spark):
+    def wrapped(text, n=12, mark=""):
+        w = text.split()
+        return "\n".join(mark + " ".join(w[i:i + n]) for i in range(0, len(w), n))
+
+    code = "\n".join(f"value{i} = compute(value{i + 1}, {i})" for i in range(60))
+    full = {name: text for name, text in licenses.TEMPLATES[-4:]}
+    gpl = "This work is licensed under the GNU General Public License, version 3."
+    rows = [row(1, wrapped(licenses.TEMPLATES[1][1], mark="# ") + "\n" + code), row(2, f"{EN}. {gpl} {EN}\n{code}"), row(5, EN), row(6, None)]
+    rows += [row(10 + k, f"{name} License\n\nCopyright (c) 2020 Jane Doe\n\n{wrapped(full[name])}") for k, name in enumerate(sorted(full))]
+    rows += [row(20 + k, f"{code}\n{wrapped(full[name])}\n{code}") for k, name in enumerate(sorted(full))]
+    found = {}
+    for r in licenses.matches(spark.createDataFrame(rows, DOCUMENTS)).collect():
+        found.setdefault(r["doc_id"], []).append((r["unit"], r["license"], r["dice"]))
+    assert (-2, "Apache-2.0", 1.0) in found[1] and found[2] == [(-2 - len(EN.split()), "GPL-3.0", 1.0)]
+    assert not {5, 6} & set(found)
+    for k, name in enumerate(sorted(full)):
+        assert any(u == -1 and x == name for u, x, _ in found[10 + k])
+        assert any(u <= -2 and x == name and d == 1.0 for u, x, d in found[20 + k])
+
+
 # byte-pair encoding
 
 ODD = ["", " ", "  a  b \n\n c\t\t", "a<|endoftext|>b <|endoftext|>", "日本語テキスト 🙂🙂 ﬁ ́x", "x\x1cy\x1fz\x85w\xa0v　u", "a" * 300, "I'll don't 'S it's 12 345 ½²Ⅷ", "\x00\x7f"]
