@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltframe.llm import bpe, language_id, language_model, licenses, minhash, multi_index, packing, quality, secrets, token_files
+from voltframe.llm import (
+    bpe,
+    fill_in_middle,
+    fingerprints,
+    language_id,
+    language_model,
+    licenses,
+    minhash,
+    multi_index,
+    packing,
+    periodic_runs,
+    quality,
+    secrets,
+    token_files,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +35,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_multi_index": multi_index.op8_multi_index,
         "op9_packing": packing.op9_packing,
         "op10_quality": quality.op10_quality,
+        "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+        "op12_fingerprints": fingerprints.op12_fingerprints,
+        "op13_fill_in_middle": fill_in_middle.op13_fill_in_middle,
     }
 
 
@@ -28,4 +45,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_licenses": licenses.ORACLE_SQL,
         "op10_quality": quality.ORACLE_SQL,
+        "op13_fill_in_middle": fill_in_middle.ORACLE_SQL,
     }
