@@ -76,33 +76,111 @@ def test_blocks_decode_alone(spark):
 
 # language model
 
-@pytest.mark.parametrize("which", ["small", "awkward"])
-def test_language_model(spark, folder, which, monkeypatch):
-    sf = SF if which == "small" else folder
-    rows = texts(spark, sf)
+def trigram_scores(rows):
+    """(id, held out, tokens, known, base score, score) of every text, and the training tokens, by plain counting."""
     held = {i: (zlib.crc32(str(i).encode()) if i is not None else 0) % 10 == 0 for i, _ in rows}
-    tokens = [(i, (t or "").encode().lower().split() + [None]) for i, t in rows]
-    c = Counter(w for i, ws in tokens if not held[i] for w in ws)
-    pair = Counter(p for i, ws in tokens if not held[i] for p in zip(["<s>"] + ws[:-1], ws))
+    tokens = [(i, ["<s>"] + (t or "").encode().lower().split() + [None]) for i, t in rows]
+    c, pair, triple = Counter(), Counter(), Counter()
+    for i, ws in tokens:
+        if not held[i]:
+            c.update(ws[1:])
+            pair.update(zip(ws, ws[1:]))
+            triple.update(zip(ws, ws[1:], ws[2:]))
     n, v, k = sum(c.values()), len(c), language_model.PRIOR
-    p1 = lambda w: (c[w] + 0.1) / (n + 0.1 * (v + 1))
-
-    def model(ws):
-        total, h = 0.0, "<s>"
-        for w in ws:
-            ch = c[None] if h == "<s>" else c[h]
-            total += math.log10((pair[h, w] + k * p1(w)) / (ch + k)) if ch else math.log10(p1(w))
-            h = w
-        return total
-
-    want = sorted((str(i), held[i], len(ws), sum(c[w] > 0 for w in ws), round(sum(math.log10(p1(w)) for w in ws), 3), round(model(ws), 3)) for i, ws in tokens)
-    monkeypatch.setattr(language_model.scored, "__defaults__", (100_000,))  # several blocks
-    got = QUERIES["op5_language_model"](spark, sf).collect()
-    assert all(r["train_tokens"] == n for r in got)
-    key = lambda x: (x[0], x[2], x[4])
+
+    def p1(w):
+        return (c[w] + 0.1) / (n + 0.1 * (v + 1))
+
+    def p2(a, w):
+        return (pair[a, w] + k * p1(w)) / (c[None if a == "<s>" else a] + k)
+
+    def p3(a, b, w):
+        return (triple[a, b, w] + k * p2(b, w)) / (pair[a, b] + k)
+
+    def score(ws):
+        return math.log10(p2(ws[0], ws[1])) + sum(math.log10(p3(*x)) for x in zip(ws, ws[1:], ws[2:]))
+
+    return [(str(i), held[i], len(ws) - 1, sum(c[w] > 0 for w in ws[1:]), sum(math.log10(p1(w)) for w in ws[1:]), score(ws)) for i, ws in tokens], n
+
+
+def same_scores(got, want):
+    key = lambda x: (x[0], x[2], round(x[4], 2), x[5])
     got = sorted(((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in got), key=key)
+    assert len(got) == len(want)
     for g, w in zip(got, sorted(want, key=key)):
-        assert g[:4] == w[:4] and math.isclose(g[4], w[4], abs_tol=0.01) and math.isclose(g[5], w[5], abs_tol=0.01)
+        assert g[:4] == w[:4] and math.isclose(g[4], w[4], abs_tol=1e-4) and math.isclose(g[5], w[5], abs_tol=1e-4)
+
+
+@pytest.mark.parametrize("which", ["small", "awkward"])
+def test_language_model(spark, folder, which):
+    sf = SF if which == "small" else folder
+    want, n = trigram_scores(texts(spark, sf))
+    got = QUERIES["op5_language_model"](spark, sf).collect()
+    assert all(r["train_tokens"] == n for r in got)
+    same_scores(got, want)
+
+
+def held_out_rows(spark, rows):
+    marked = [(i, t, (zlib.crc32(str(i).encode()) if i is not None else 0) % 10 == 0) for i, t in rows]
+    return spark.createDataFrame(marked, "doc_id long, text string, held_out boolean")
+
+
+def test_language_model_through_bundles(spark):
+    """Many blocks and few ranges a block: counts go through three levels of bundles and come back to every block."""
+    rng = random.Random(1)
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.choice([0, 1, 2, 30])))) for i in range(400)] + [(None, "a b c")] * 5
+    want, n = trigram_scores(rows)
+    got = language_model.scored(held_out_rows(spark, rows), block_bytes=400, bits=2).collect()
+    assert all(r["train_tokens"] == n for r in got)
+    same_scores(got, want)
+
+
+def shuffled_rows(spark, monkeypatch, copies, distinct):
+    """Rows of keys that go to ranges, and the most documents in a block."""
+    made = []
+    stage = language_model.staged
+    monkeypatch.setattr(language_model, "staged", lambda df, label: made.append((label, stage(df, label))) or made[-1][1])
+    rows = [(None, "one two three four five")] * copies + [(i, f"w{i} w{i + 1} w{i * 7 % 100} the end of it") for i in range(distinct)]
+    got = language_model.scored(held_out_rows(spark, rows), block_bytes=500, bits=4)
+    assert got.count() == len(rows)
+    answers = sum(df.count() for label, df in made if label in ("lm-asks", "lm-answers"))
+    documents = next(df for label, df in made if label == "lm-documents")
+    blocks = max(1, math.ceil(sum(len(t) + 16 for _, t in rows) / 500))
+    return answers, documents.selectExpr(f"pmod(xxhash64(__place), {blocks}) AS b").groupBy("b").count().agg({"count": "max"}).first()[0], blocks
+
+
+def test_rows_of_the_language_model_grow_as_its_blocks(spark, monkeypatch):
+    few, _, blocks = shuffled_rows(spark, monkeypatch, 0, 500)
+    many, _, more = shuffled_rows(spark, monkeypatch, 0, 2000)
+    assert more >= 3.9 * blocks and many <= 5 * few
+
+
+def test_equal_rows_are_spread_over_blocks(spark, monkeypatch):
+    _, most, blocks = shuffled_rows(spark, monkeypatch, 1500, 0)
+    assert blocks > 100 and most < 45
+
+
+def test_automaton_carries_its_state_and_sums_to_one():
+    import pyarrow as pa
+
+    rng = random.Random(7)
+    rows = [" ".join(rng.choice("abcdef") for _ in range(rng.choice([0, 1, 2, 5, 80]))) for _ in range(80)]
+    g = language_model.Grams(pa.table({"text": rows}))
+    totals = [g.counts(k, np.arange(len(rows)) % 3 > 0) for k in range(3)]
+    n, v = int(totals[0].sum()), int((totals[0] > 0).sum())
+    model = language_model.Automaton(g, *totals, n, v)
+    whole = model.traverse(g.token, g.first, g.sizes, 10**6)
+    for steps in (2, 3, 50):
+        assert np.allclose(model.traverse(g.token, g.first, g.sizes, steps), whole)
+    unknown = language_model.ADD / (n + language_model.ADD * (v + 1))
+    every = np.arange(len(totals[0]))
+    for state in range(len(model.fail)):
+        to, weight = model.step(np.full(len(every), state), every)
+        fall, at = 0.0, state
+        while at > 0:
+            fall, at = fall + model.fail[at], int(model.fail_to[at])
+        assert math.isclose((10 ** weight).sum() + 10 ** fall * unknown, 1.0, abs_tol=1e-9)
+        assert to.min() >= 0 and to.max() < len(model.fail)
 
 
 # near-duplicate documents

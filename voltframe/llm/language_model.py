@@ -1,15 +1,20 @@
 """Language-model scoring by a weighted backoff automaton that is cut to what each block of documents can reach.
 
-The model is a word bigram with Bayesian smoothing. With counts c, P1(w) = (c(w) + a) / (N + a (V + 1)) and
-P(w | h) = (c(h, w) + k P1(w)) / (c(h) + k), which sums to one over the vocabulary and one unknown word. As an automaton: the
-root has an arc of weight P1(w) for every word; each known word h is a state with an arc for every seen pair (h, w) and a
-failure arc of weight k / (c(h) + k) to the root; every arc leads to the state of its word, unknown words to the root.
-
-The whole automaton grows with the corpus and fits no worker. Documents are dealt into blocks of bounded size by a hash. Each
-block sends the keys of the words and pairs in its texts, with its training counts, to the key ranges they belong to; a
-range adds up the counts of all blocks and answers every block in the order of its keys. A block then builds the part of the
-automaton that its texts can visit and traverses each text once from left to right. Every key meets at most one row per
-block, so a frequent word is no hot spot.
+The model is a word trigram with Bayesian smoothing. With counts c, P(w) = (c(w) + a) / (N + a (V + 1)) and, for a history h of
+one or two words with h' the history less its first word, P(w | h) = (c(h, w) + k P(w | h')) / (c(h) + k), which sums to one over
+the vocabulary and one unknown word. As an automaton: every history that training texts hold is a state, and so are the start
+of a text and the root, which stands for no history. A state has an arc for every word seen behind it, of weight P(w | h), to
+the longest history known that then ends the text so far. Its failure arc, of weight k / (c(h) + k), leads to h' and is
+taken, without reading, where there is no arc for the next word; the root has an arc for every word. A traversal reads a
+text from left to right, carries the state from word to word, and adds the logarithms of the weights of all arcs taken.
+
+The whole automaton grows with the corpus and fits no worker. Documents are dealt into blocks of bounded size by a hash of
+where they stand, so equal rows spread. Each block sends the keys of the words, pairs and triples in its texts, with its training
+counts, to the ranges of keys they belong to; a range adds up the counts of all blocks and answers every block in the order of its
+keys. A block then builds the part of the automaton that its texts can visit. A block has a fixed number of ranges. Where more
+blocks than that share a range, as many of them are first made one bundle, whose keys go on to finer ranges, and so on
+until a range meets few enough: a row is never a small piece, their number grows as that of the blocks, and no group holds more than
+a block. Every key meets one row per block or bundle, so a frequent word is no hot spot.
 
 Keys are 64-bit hashes: two of n distinct n-grams collide with probability n² / 2⁶⁵. NULL and empty texts are one end token.
 A NULL id counts as the empty text, whose checksum is 0: it is held out.
@@ -18,27 +23,36 @@ A NULL id counts as the empty text, whose checksum is 0: it is held out.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltframe.llm.common import crc32_of, mix64, numbered, read, ship, staged, text_bytes, words_of
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+RANGE_BITS = 8
+STEPS = 512
 ADD = 0.1
 PRIOR = 16.0
+WORDS, PAIRS, TRIPLES = range(3)
+PASSES = ((WORDS, PAIRS), (TRIPLES,))  # one after the other, so that their keys do not lie on disk together
 _END, _START = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9E3779B97F4A7C15)
-ASK = "rng int, block int, kind int, keys binary, counts binary"
-ANSWER = "block int, rng int, kind int, totals binary, n long, v long"
+ASK = "prefix long, unit long, kind int, keys binary, counts binary"
+ANSWER = "unit long, prefix long, kind int, totals binary, n long, v long"
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 class Grams:
-    """Tokens of a block of documents and the distinct words and pairs in them, ordered by key."""
+    """Tokens of a block of documents and the distinct words, pairs and triples in them, each ordered by key.
+
+    `token`, `pair` and `triple` number, for every token, the word and the pairs and triples that end with it. A text's first
+    pair begins with the start (`left` is -1); it has no first triple (-1).
+    """
 
     def __init__(self, texts: pa.RecordBatch | pa.Table):
         data, ends = text_bytes(_one(texts), "text")
@@ -49,28 +63,39 @@ class Grams:
         hashes = np.concatenate((hashes, [_END]))
         self.sizes = counts + 1
         self.ends = np.cumsum(self.sizes)
+        self.first = self.ends - self.sizes
         token = np.full(int(self.ends[-1]), len(distinct), np.int64)
         inner = np.ones(len(token), bool)
         inner[self.ends - 1] = False
         token[inner] = at
         order = np.argsort(hashes)
-        self.word_keys = hashes[order]
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         self.token = rank[token]
-        self.end_at = int(rank[len(distinct)])
+        self.end_word = int(rank[len(distinct)])
+        word_keys = hashes[order]
         before = np.concatenate(([0], self.token[:-1]))
-        first = self.ends - self.sizes
-        pair = mix64(self.word_keys[before] * np.uint64(3) + np.uint64(1)) + self.word_keys[self.token]
-        pair[first] = mix64(np.full(len(first), _START)) + self.word_keys[self.token[first]]
-        self.before = before
-        self.before[first] = -1
-        self.pair_keys, self.pair_at = np.unique(mix64(pair), return_inverse=True)
-
-    def counts(self, training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Occurrences of each word and each pair in the training documents."""
-        seen = np.repeat(training, self.sizes)
-        return (np.bincount(self.token[seen], minlength=len(self.word_keys)), np.bincount(self.pair_at[seen], minlength=len(self.pair_keys)))
+        key = mix64(word_keys[before] * np.uint64(3) + np.uint64(1)) + word_keys[self.token]
+        key[self.first] = mix64(np.full(len(self.first), _START)) + word_keys[self.token[self.first]]
+        key = mix64(key)
+        pair_keys, self.pair = np.unique(key, return_inverse=True)
+        self.left, self.right = np.empty(len(pair_keys), np.int64), np.empty(len(pair_keys), np.int64)
+        before[self.first] = -1
+        self.left[self.pair], self.right[self.pair] = before, self.token
+        later = np.ones(len(token), bool)
+        later[self.first] = False
+        later = np.flatnonzero(later)
+        triple_keys, place = np.unique(mix64(mix64(key[later - 1] * np.uint64(5) + np.uint64(3)) + word_keys[self.token[later]]), return_inverse=True)
+        self.triple = np.full(len(token), -1)
+        self.triple[later] = place
+        self.history, self.suffix = np.empty(len(triple_keys), np.int64), np.empty(len(triple_keys), np.int64)
+        self.history[place], self.suffix[place] = self.pair[later - 1], self.pair[later]
+        self.keys = (word_keys, pair_keys, triple_keys)
+
+    def counts(self, kind: int, training: np.ndarray) -> np.ndarray:
+        """Occurrences of each n-gram of a kind in the training documents."""
+        place = (self.token, self.pair, self.triple)[kind][np.repeat(training, self.sizes)]
+        return np.bincount(place[place >= 0], minlength=len(self.keys[kind]))
 
 
 def _one(table: pa.Table | pa.RecordBatch) -> pa.RecordBatch:
@@ -87,71 +112,150 @@ def unplanes(raw: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
-def asks(group: pa.Table, ranges: int) -> pa.Table:
-    """The block's keys and training counts, one row per key range and kind."""
-    g = Grams(group)
-    training = ~group.column("held_out").to_numpy()
-    rows = []
-    edges = np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
-    for kind, (keys, counts) in enumerate(zip((g.word_keys, g.pair_keys), g.counts(training))):
-        cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
-        for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-            if b > a:
-                delta = np.diff(keys[a:b], prepend=keys[a:a + 1])
-                delta[0] = keys[a]
-                rows.append((r, group.column("block")[0].as_py(), kind, planes(delta, "<u8"), planes(counts[a:b], "<u4")))
-    columns = list(zip(*rows))
-    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["rng", "block", "kind", "keys", "counts"])
-
-
-def answers(group: pa.Table) -> pa.Table:
-    """Adds up the counts of a key range over all blocks and answers each block in the order of its keys.
-
-    The range's own sums of training tokens and known words stand in the first answer about words only.
-    """
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return pa.Table.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(columns, fields)], names=[n for n, _ in fields])
+
+
+def asked(unit: int, kind: int, keys: np.ndarray, counts: np.ndarray, shift: int, start: int, ranges: int) -> Iterator[tuple]:
+    """Rows of sorted keys and their counts, one per range; range `start` + i holds the keys that are so many when shifted."""
+    edges = np.array([(start + i) << shift for i in range(1, ranges)], np.uint64)
+    cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+    for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+        if b > a:
+            delta = np.diff(keys[a:b], prepend=keys[a:a + 1])
+            delta[0] = keys[a]
+            yield start + i, unit, kind, planes(delta, "<u8"), planes(counts[a:b], "<u8")
+
+
+def _added(part: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct keys of all rows, their summed counts, and each row's places in them."""
+    keys = [np.cumsum(unplanes(x.as_py(), "<u8"), dtype=np.uint64) for x in part.column("keys")]
+    counts = np.concatenate([unplanes(x.as_py(), "<u8") for x in part.column("counts")])
+    distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+    # Counts stay exact as sums of doubles up to 2⁵³.
+    return distinct, np.bincount(at, counts, len(distinct)).astype(np.int64), np.split(at, np.cumsum([len(k) for k in keys])[:-1])
+
+
+def _kinds(group: pa.Table) -> Iterator[tuple[int, pa.Table]]:
+    for kind in sorted(set(group.column("kind").to_pylist())):
+        yield kind, group.filter(pc.equal(group.column("kind"), kind))
+
+
+def answered(group: pa.Table) -> pa.Table:
+    """Adds up the counts of a range and answers each unit in the order of its keys. The range's own sums of training tokens
+    and known words stand in the first answer about words only."""
     out = []
-    rng = group.column("rng")[0].as_py()
-    for kind in (0, 1):
-        part = group.filter(pc.equal(group.column("kind"), kind)) if group.num_rows else group
-        if not part.num_rows:
-            continue
-        keys = [np.cumsum(unplanes(x.as_py(), "<u8"), dtype=np.uint64) for x in part.column("keys")]
-        counts = np.concatenate([unplanes(x.as_py(), "<u4") for x in part.column("counts")])
-        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-        totals = np.bincount(at, counts, len(distinct)).astype(np.int64)
-        ends = np.cumsum([len(k) for k in keys])
-        stats = (int(totals.sum()), int((totals > 0).sum())) if kind == 0 else (0, 0)
-        for i, (block, k, end) in enumerate(zip(part.column("block").to_pylist(), keys, ends.tolist())):
-            own = totals[at[end - len(k):end]]
-            out.append((block, rng, kind, planes(own, "<u8"), *(stats if i == 0 else (0, 0))))
-    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["block", "rng", "kind", "totals", "n", "v"])
+    for kind, part in _kinds(group):
+        _, totals, places = _added(part)
+        stats = (int(totals.sum()), int((totals > 0).sum())) if kind == WORDS else (0, 0)
+        for i, (unit, prefix, at) in enumerate(zip(part.column("unit").to_pylist(), part.column("prefix").to_pylist(), places)):
+            out.append((unit, prefix, kind, planes(totals[at], "<u8"), *(stats if i == 0 else (0, 0))))
+    return _table(out, ANSWER)
+
+
+def resolved(asks: DataFrame, units: int, bits: int, depth: int = 1) -> DataFrame:
+    """Answers to all asks. Ranges of `depth` are told apart by the first `bits` times `depth` bits of their keys."""
+    if units <= 1 << bits:
+        return asks.groupBy("prefix").applyInArrow(answered, ANSWER)
+    asks = staged(asks, "lm-asks").withColumn("bundle", F.shiftright("unit", bits))
+    shift = 64 - bits * (depth + 1)
+
+    def bundled(group: pa.Table) -> pa.Table:
+        bundle, start = group.column("bundle")[0].as_py(), group.column("prefix")[0].as_py() << bits
+        return _table([row for kind, part in _kinds(group) for row in asked(bundle, kind, *_added(part)[:2], shift, start, 1 << bits)], ASK)
+
+    def spread(group: pa.Table, replies: pa.Table) -> pa.Table:
+        out, stats = [], [sum(replies.column(c).to_pylist()) for c in ("n", "v")]
+        replies = replies.sort_by([("kind", "ascending"), ("prefix", "ascending")])
+        given = {kind: np.concatenate([unplanes(x.as_py(), "<u8") for x in part.column("totals")]) for kind, part in _kinds(replies)}
+        for kind, part in _kinds(group):
+            for unit, prefix, at in zip(part.column("unit").to_pylist(), part.column("prefix").to_pylist(), _added(part)[2]):
+                out.append((unit, prefix, kind, planes(given[kind][at], "<u8"), *(stats if not out else (0, 0))))
+        return _table(out, ANSWER)
+
+    finer = asks.groupBy("prefix", "bundle").applyInArrow(bundled, ASK)
+    replies = staged(resolved(finer, -(-units >> bits) if units else 0, bits, depth + 1), "lm-answers")
+    mine = replies.withColumns({"above": F.shiftright("prefix", bits), "bundle": F.col("unit")})
+    return asks.groupBy("prefix", "bundle").cogroup(mine.groupBy("above", "bundle")).applyInArrow(spread, ANSWER)
 
 
 class Automaton:
-    """The states and arcs that a block can reach. State 0 is the root, state 1 the start, state 2 + w follows word w."""
+    """The states and arcs that a block can reach, from the block's n-grams and their counts in all training texts.
 
-    def __init__(self, g: Grams, words: np.ndarray, pairs: np.ndarray, n: int, v: int):
-        self.base = np.log10((words + ADD) / (n + ADD * (v + 1)))
-        self.root_arcs = self.base
-        begun = np.concatenate(([0, words[g.end_at]], words))
+    State 0 is the root, 1 the start, then come the known words and the known pairs. Arcs are sorted by (state, word).
+    """
+
+    def __init__(self, g: Grams, words: np.ndarray, pairs: np.ndarray, triples: np.ndarray, n: int, v: int):
+        end = g.end_word
+        self.n_words = len(words)
+        one = (words + ADD) / (n + ADD * (v + 1))
+        self.base = np.log10(one)
+        after_word = np.zeros(len(words), np.int64)
+        known = np.flatnonzero((words > 0) & (np.arange(len(words)) != end))
+        after_word[known] = 2 + np.arange(len(known))
+        after_pair = after_word[g.right]
+        held = np.flatnonzero((pairs > 0) & (g.right != end))
+        self.fail_to = np.concatenate(([0, 0], np.zeros(len(known), np.int64), after_word[g.right[held]]))
+        begun = np.concatenate(([0, words[end]], words[known], pairs[held]))
         self.fail = np.log10(PRIOR / (begun + PRIOR))
-        self.fail[0] = 0.0
-        self.after = np.where(words > 0, np.arange(len(words)) + 2, 0)
-        first = np.zeros(len(pairs), np.int64)
-        first[g.pair_at[::-1]] = np.arange(len(g.token))[::-1]
-        state = np.where(g.before[first] < 0, 1, self.after[g.before[first]])
-        self.has_arc = (pairs > 0) & (begun[state] > 0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            self.arcs = np.log10((pairs + PRIOR * 10 ** self.base[g.token[first]]) / (begun[state] + PRIOR))
-
-    def traverse(self, g: Grams) -> np.ndarray:
-        """log10 probability of each text. An arc leads to its word's state and a failure to the root, so the state before
-        each token is known and all texts take all their steps together: the arc if there is one, else failure and root arc."""
-        state = np.where(g.before < 0, 1, self.after[g.before])
-        weight = np.where(self.has_arc[g.pair_at], self.arcs[g.pair_at], self.fail[state] + self.root_arcs[g.token])
-        return np.add.reduceat(weight, g.ends - g.sizes)
+        after_pair[held] = 2 + len(known) + np.arange(len(held))
+        of_left = np.where(g.left < 0, 1, after_word[g.left])
+        two = (pairs + PRIOR * one[g.right]) / (begun[of_left] + PRIOR)
+        seen2, seen3 = np.flatnonzero(pairs > 0), np.flatnonzero(triples > 0)
+        history, suffix = g.history[seen3], g.suffix[seen3]
+        three = (triples[seen3] + PRIOR * two[suffix]) / (pairs[history] + PRIOR)
+        key = np.concatenate((of_left[seen2] * self.n_words + g.right[seen2], after_pair[history] * self.n_words + g.right[suffix]))
+        order = np.argsort(key)
+        self.arcs = key[order]
+        self.weight = np.log10(np.concatenate((two[seen2], three)))[order]
+        self.to = np.concatenate((after_pair[seen2], after_pair[suffix]))[order]
+        self.root_to = after_word
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after reading a word each, and the weights of the failures and arcs taken."""
+        weight, state, left = np.zeros(len(state)), state.copy(), np.flatnonzero(state > 0)
+        while len(left):
+            key = state[left] * self.n_words + word[left]
+            at = np.minimum(np.searchsorted(self.arcs, key), max(len(self.arcs) - 1, 0))
+            has = self.arcs[at] == key if len(self.arcs) else np.zeros(len(left), bool)
+            go, stay = left[has], left[~has]
+            weight[go] += self.weight[at[has]]
+            state[go] = ~self.to[at[has]]  # read: marked by its complement until all have
+            weight[stay] += self.fail[state[stay]]
+            state[stay] = self.fail_to[state[stay]]
+            left = stay[state[stay] > 0]
+        rest = state == 0
+        weight[rest] += self.base[word[rest]]
+        return np.where(rest, self.root_to[word], ~state), weight
+
+    def traverse(self, token: np.ndarray, first: np.ndarray, sizes: np.ndarray, steps: int = STEPS) -> np.ndarray:
+        """log10 probability of each text: its tokens from left to right, the state carried along.
+
+        Texts run side by side, and long ones in pieces of `steps` tokens: no state remembers more than two words, so the state
+        in which a piece begins is found by reading the two words before it from the root.
+        """
+        pieces = -(-sizes // steps)
+        owner = np.repeat(np.arange(len(sizes)), pieces)
+        start = (np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * steps
+        length = np.minimum(steps, sizes[owner] - start)
+        at = first[owner] + start
+        state = np.ones(len(owner), np.int64)
+        inner = np.flatnonzero(start > 0)
+        carried = np.zeros(len(inner), np.int64)
+        for back in (2, 1):
+            carried, _ = self.step(carried, token[at[inner] - back])
+        state[inner] = carried
+        order = np.argsort(-length, kind="stable")
+        total = np.zeros(len(owner))
+        running = np.searchsorted(-length[order], -np.arange(int(length.max())), "left")
+        for t, k in enumerate(running.tolist()):
+            live = order[:k]
+            state[live], weight = self.step(state[live], token[at[live] + t])
+            total[live] += weight
+        return np.bincount(owner, total, len(sizes))
 
 
 def scores(docs: pa.Table, replies: pa.Table, n: int, v: int) -> pa.Table:
@@ -159,42 +263,55 @@ def scores(docs: pa.Table, replies: pa.Table, n: int, v: int) -> pa.Table:
         return pa.Table.from_pylist([], pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                                                    ("base_score", pa.float64()), ("score", pa.float64())]))
     g = Grams(docs)
-    replies = replies.sort_by([("kind", "ascending"), ("rng", "ascending")])
-    kinds = replies.column("kind").to_pylist()
-    totals = [unplanes(x.as_py(), "<u8").astype(np.int64) for x in replies.column("totals")]
-    words, pairs = (np.concatenate([t for t, k in zip(totals, kinds) if k == kind]) for kind in (0, 1))
-    model = Automaton(g, words, pairs, n, v)
-    first = g.ends - g.sizes
+    replies = replies.sort_by([("kind", "ascending"), ("prefix", "ascending")])
+    totals = {WORDS: [], PAIRS: [], TRIPLES: []}
+    for kind, raw in zip(replies.column("kind").to_pylist(), replies.column("totals")):
+        totals[kind].append(unplanes(raw.as_py(), "<u8").astype(np.int64))
+    words, pairs, triples = (np.concatenate(t) if t else np.zeros(0, np.int64) for t in totals.values())
+    model = Automaton(g, words, pairs, triples, n, v)
     return pa.table({
         "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": g.sizes,
-        "n_known": np.add.reduceat((words[g.token] > 0).astype(np.int64), first),
-        "base_score": np.add.reduceat(model.base[g.token], first), "score": model.traverse(g)})
+        "n_known": np.add.reduceat((words[g.token] > 0).astype(np.int64), g.first),
+        "base_score": np.add.reduceat(model.base[g.token], g.first), "score": model.traverse(g.token, g.first, g.sizes)})
+
 
+def scored(docs: DataFrame, place: Column | None = None, block_bytes: int = BLOCK_BYTES, bits: int = RANGE_BITS) -> DataFrame:
+    """Scores of all documents under the model of those that are not held out. `docs`: doc_id, text, held_out.
 
-def scored(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Scores of all documents under the model of those that are not held out. `docs`: doc_id, text, held_out."""
+    `place` tells equal rows apart and is the same whenever `docs` is read, such as a row's file and number. Without one
+    the documents are written down first.
+    """
     spark = docs.sparkSession
     ship(spark)
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "held_out")
-    size = picked.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "held_out",
+                        (F.monotonically_increasing_id() if place is None else place).alias("__place"))
+    if place is None:
+        named = staged(named, "lm-documents")
+    size = named.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
-    dealt = picked.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+    block = F.pmod(F.xxhash64("__place"), F.lit(blocks)).cast("long")
+    dealt = named.select("doc_id", "text", "held_out", block.alias("block"))
+
+    def asks_of(kinds: tuple[int, ...]):
+        def ask(group: pa.Table) -> pa.Table:
+            g, unit, training = Grams(group), group.column("block")[0].as_py(), ~group.column("held_out").to_numpy()
+            return _table([row for k in kinds for row in asked(unit, k, g.keys[k], g.counts(k, training), 64 - bits, 0, 1 << bits)], ASK)
 
-    def ask(group: pa.Table) -> pa.Table:
-        return asks(group, blocks)
+        return dealt.groupBy("block").applyInArrow(ask, ASK)
 
-    replies = staged(dealt.groupBy("block").applyInArrow(ask, ASK).groupBy("rng").applyInArrow(answers, ANSWER), "lm-answers")
-    known = replies.agg(F.sum("n"), F.sum("v")).first()
+    passes = [staged(resolved(asks_of(kinds), blocks, bits), "lm-answers") for kinds in PASSES]
+    known = passes[0].agg(F.sum("n"), F.sum("v")).first()
     n, v = known[0] or 0, known[1] or 0
+    replies = passes[0].unionByName(passes[1]).select("unit", "prefix", "kind", "totals")
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         return scores(left, right, n, v)
 
-    return (dealt.groupBy("block").cogroup(replies.select("block", "rng", "kind", "totals").groupBy("block"))
-            .applyInArrow(score, SCORED).withColumn("train_tokens", F.lit(n).cast("long")))
+    return dealt.groupBy("block").cogroup(replies.groupBy("unit")).applyInArrow(score, SCORED).withColumn("train_tokens", F.lit(n).cast("long"))
 
 
 def op5_language_model(spark, sf_dir):
     """Unigram and model scores of every document."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", (F.coalesce(crc32_of("doc_id"), F.lit(0)) % 10 == 0).alias("held_out"))
-    return scored(docs).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", (F.coalesce(crc32_of("doc_id"), F.lit(0)) % 10 == 0).alias("held_out"),
+                                                   F.struct("_metadata.file_path", "_metadata.row_index").alias("__at"))
+    return scored(docs, F.col("__at")).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
