@@ -121,10 +121,11 @@ def test_tolerant_json(spark, tmp_path):
     assert found(bad, "record_key", "rule_name") == [("IT|01.02.2025|x", "missing_required_field"), ("IT|2025-01-01", "missing_required_field")]
 
 
-def test_broken_json_stops_the_job(frame):
+def test_broken_json_is_quarantined(frame):
     df = frame("source_file string, text string", [("f", '[{"countryCode":"NL"')])
-    with pytest.raises(Exception, match="(?i)malformed"):
-        json_records.records(df, "text", json_records.HOLIDAY).collect()
+    assert json_records.records(df, "text", json_records.HOLIDAY).isEmpty()
+    bad = json_records.malformed(json_records.parsed(df, "text", json_records.HOLIDAY), "silver_holiday", "source_file", "2025-01-01")
+    assert found(bad, "rule_name", "details", "source_file") == [("malformed_json", '[{"countryCode":"NL"', "f")]
 
 
 def weather_file(path, times, temperature, zone="GMT"):

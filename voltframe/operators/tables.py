@@ -9,8 +9,10 @@ renaming; a table that a crash has left set aside is put back by the next read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+import hashlib
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -95,6 +97,11 @@ class Lake:
         by = [self.days[table].column] if table in self.days else []
         writer = (df.hint("rebalance", *by) if by else df).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
         (writer.partitionBy(*by) if by else writer).parquet(f"{path}.new")
+        self._swap(table)
+
+    def _swap(self, table: str) -> None:
+        """Put what was written beside a table in its place."""
+        path = self.path(table)
         self._recover(table)
         self._remove(f"{path}.old")
         if self._exists(path):
@@ -151,6 +158,17 @@ class Lake:
             self._scratch.append(folder)
         return self.spark.read.schema(df.schema).parquet(folder)
 
+    def staged_all(self, label: str, parts: Iterable[DataFrame]) -> DataFrame:
+        """Written copies of several frames of one schema in one folder; only one of them is worked on at a time. There is at
+        least one."""
+        folder, schema = new_folder(self.spark, label), None
+        if self._scratch is not None:
+            self._scratch.append(folder)
+        for df in parts:
+            df.write.mode("append").parquet(folder)
+            schema = df.schema
+        return self.spark.read.schema(schema).parquet(folder)
+
     @contextmanager
     def scratch(self) -> Iterator[None]:
         """Staged copies made inside are removed at the end, unless an outer scratch does that."""
@@ -168,12 +186,23 @@ class Lake:
     def append(self, table: str, df: DataFrame) -> None:
         self._write(table, self._shaped(table, df), "append")
 
+    def append_missing(self, table: str, df: DataFrame, keys: Sequence[str]) -> int:
+        """Append the rows whose key, NULLs being equal, the table has not, so that a repeated call adds nothing. Returns their number."""
+        new, old = self._shaped(table, df), self.read(table).select(*[F.col(k).alias(f"_old_{k}") for k in keys])
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in keys])
+        fresh = self.staged(table, new.join(old, same, "left_anti").dropDuplicates(list(keys)))
+        n = fresh.count()
+        if n:
+            self._write(table, fresh, "append")
+        return n
+
     def overwrite(self, table: str, df: DataFrame) -> None:
         """Truncate and reload; `df` may read the table."""
         self._put(table, self._shaped(table, df))
 
-    def upsert(self, table: str, source: DataFrame, keys: Sequence[str], **options) -> Counts:
-        """Conditional merge; when nothing changes nothing is written."""
+    def upsert(self, table: str, source: DataFrame, keys: Sequence[str], note: Callable[[DataFrame], None] | None = None, **options) -> Counts:
+        """Conditional merge; when nothing changes nothing is written. `note` is called with the inserted, updated and deleted
+        rows before they are put in place, so that a crash in between leaves a note too many, never one too few."""
         with self.scratch():
             src, target = self._shaped(table, source), self._stored(table)
             day = self.days.get(table)
@@ -187,6 +216,8 @@ class Lake:
             staged = self.staged(table, change.merge(target, src, keys, **options))
             found = {r["_action"]: r["rows"] for r in change.action_counts(staged).collect()}
             counts = Counts(*[found.get(a, 0) for a in ("insert", "update", "delete")])
+            if any(counts) and note is not None:
+                note(staged.where(F.col("_action") != "keep"))
             if any(counts) and by_part:
                 self._write(table, change.result(staged), "overwrite")
             elif any(counts):
@@ -204,6 +235,30 @@ class Lake:
                     self._remove(f"{self.path(table)}/{part}={day}")
             self._write(table, staged, "overwrite")
 
+    def replace_parts(self, table: str, new: DataFrame, parts: Sequence[int]) -> None:
+        """Replace exactly the given parts; those without new rows go, all others keep their files. `new` may read the table."""
+        part = self.days[table].column
+        with self.scratch():
+            staged = self.staged(table, self._shaped(table, new).where(F.col(part).isin(list(parts))))
+            fresh = {r[0] for r in staged.select(part).distinct().collect()}
+            for gone in set(parts) - fresh:
+                self._remove(f"{self.path(table)}/{part}={gone}")
+            if fresh:
+                self._write(table, staged, "overwrite")
+
+    def replace_keys(self, table: str, new: DataFrame, keys: DataFrame, parts: Sequence[int]) -> None:
+        """Within the given parts, replace the rows whose key columns occur in `keys` by `new`; other rows stay as they are."""
+        kept = self.read(table, days=parts).join(keys, keys.columns, "left_anti")
+        self.replace_parts(table, kept.unionByName(align(new, self.schemas[table], table)), parts)
+
+    def stamps(self, table: str) -> dict[int, str]:
+        """For each part a mark that changes whenever its files do: a digest of their names, sizes and times, by listing."""
+        part, out = self.days[table].column, {}
+        for p in self.parts(table):
+            files = sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in self._listed(f"{self.path(table)}/{part}={p}"))
+            out[p] = hashlib.md5(repr(files).encode()).hexdigest()
+        return out
+
     def _listed(self, path: str) -> list:
         fs, there = self._at(path)
         return list(fs.listStatus(there)) if fs.exists(there) else []
@@ -225,14 +280,40 @@ class Lake:
         part = self.days[table].column
         return {p: self._files(f"{self.path(table)}/{part}={p}") for p in self.parts(table)}
 
-    def compact(self, table: str, above: int = 20, rows_per_file: int = 5_000_000) -> tuple[int, int]:
-        """Rewrite the parts that consist of more than `above` files, and only those; (files before, files after)."""
+    def compact(self, table: str, above: int = 20, rows_per_file: int = 5_000_000, cluster_by: Sequence[str] = ()) -> tuple[int, int]:
+        """Rewrite the parts that consist of more than `above` files, and only those; (files before, files after).
+
+        With `cluster_by` the rows of these parts are range-sorted by those columns, so that each new file holds a narrow range
+        of them and its statistics let a filter on them skip it. Rows of one key may lie in several files, so a very frequent
+        key is no hot task.
+        """
         counts = self.file_counts(table)
         before, crowded = sum(counts.values()), [p for p, n in counts.items() if n > above]
-        if crowded and table not in self.days:
-            self._put(table, self._stored(table).hint("rebalance"), rows_per_file)
-        elif crowded:
-            with self.scratch():
-                rows = self._stored(table).where(F.col(self.days[table].column).isin(crowded))
+        if not crowded:
+            return before, before
+        with self.scratch():
+            if table not in self.days:
+                rows, by = self._stored(table), []
+            else:
+                by = [self.days[table].column]
+                rows = self._stored(table).where(F.col(by[0]).isin(crowded))
+            if cluster_by:
+                rows = self.staged(table, rows)
+                files = max(len(crowded), -(-rows.count() // rows_per_file))
+                spread = F.xxhash64(*rows.columns)
+                rows = rows.repartitionByRange(files, *by, *cluster_by, spread).sortWithinPartitions(*by, *cluster_by)
+                self._clustered(table, rows, rows_per_file)
+            elif by:
                 self._write(table, self.staged(table, rows), "overwrite", rows_per_file)
-        return before, sum(self.file_counts(table).values()) if crowded else before
+            else:
+                self._put(table, rows.hint("rebalance"), rows_per_file)
+        return before, sum(self.file_counts(table).values())
+
+    def _clustered(self, table: str, rows: DataFrame, rows_per_file: int) -> None:
+        """Write rows as they are dealt: the rebalance of other writes would mix their ranges."""
+        writer = rows.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+        if table in self.days:
+            writer.option("partitionOverwriteMode", "dynamic").partitionBy(self.days[table].column).parquet(self.path(table))
+        else:
+            writer.parquet(f"{self.path(table)}.new")
+            self._swap(table)

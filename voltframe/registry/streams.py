@@ -102,3 +102,20 @@ def stream_json_docks(spark, sf):
     messages.write.json(f"{folder}/in")
     stored = streams.drained(spark, streams.json_stream(spark, f"{folder}/in"), "docks")
     return plain(stored.where("arrived_at IS NOT NULL").select("BikepointID", "Street", "No_Bikes", "Latitude"))
+
+
+@query("stream_late_rows", f"""
+SELECT s AS window_start, s + INTERVAL 6 HOUR AS window_end, event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents, max(event_id) AS last_id
+FROM (SELECT *, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2024-01-01') AS s FROM events)
+WHERE s + INTERVAL 6 HOUR <= {_CLOSED} GROUP BY ALL""")
+def stream_late_rows(spark, sf):
+    """Events in files of no order, a file a batch: nearly all are late after the first file, and none is lost."""
+    folder = new_folder(spark, "late")
+    shuffled = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    for i in range(4):
+        shuffled.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == i).write.mode("append").parquet(f"{folder}/feed")
+    feed = spark.readStream.schema(shuffled.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/feed")
+    windows = streams.LateWindows(spark, f"{folder}/state", "ts", "1 hour", "6 hours", ["event_type"], {
+        "n": (F.count(F.lit(1)), F.sum), "cents": (_cents(), F.sum), "last_id": (F.max("event_id"), F.max)})
+    windows.run(feed, f"{folder}/checkpoint")
+    return plain(windows.closed())

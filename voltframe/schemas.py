@@ -66,6 +66,13 @@ CONTROL = {
         processed_until_ingested_at timestamp
         updated_at_utc timestamp
     """),
+    "ctl_touched_hours": describe("""
+        table_name string !     # the silver table that changed
+        scope string !          # area, country or type of direction
+        to_scope string         # receiving area of a flow
+        ts_hour_utc timestamp !
+        noted_at timestamp
+    """),
     "dq_quarantine": describe("""
         table_name string
         record_key string

@@ -3,8 +3,10 @@ on with another trigger."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import datetime as dt
+from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -70,13 +72,14 @@ def failures(events: DataFrame, column: str, failed: str) -> DataFrame:
     return events.where(F.col(column) == failed)
 
 
-def _drain(writer: DataStreamWriter) -> None:
+def drain(writer: DataStreamWriter) -> None:
+    """Run a stream over what is available, then stop."""
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
 def to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Append what is available to a parquet table, exactly once per checkpoint."""
-    _drain(stream.writeStream.format("parquet").outputMode("append").option("path", path)
+    drain(stream.writeStream.format("parquet").outputMode("append").option("path", path)
                  .option("checkpointLocation", checkpoint))
 
 
@@ -87,6 +90,72 @@ def drained(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{folder}/table")
 
 
+Merged = Mapping[str, tuple[Column, Callable[[Column], Column]]]
+
+
+class LateWindows:
+    """Event-time windows that lose no late row.
+
+    A row is late if its window had ended, by the watermark of the batches before its own, when it arrived. Late rows are kept
+    whole in a table of their own; all others become partial aggregates per window and batch. Both tables and the watermark of each
+    batch lie in one folder per batch, so a batch that is done again replaces its own rows and changes nothing else.
+    `aggregates` names each aggregate and what adds up its partial results.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, ts: str, delay: str, window: str, keys: Sequence[str], aggregates: Merged):
+        self.spark, self.root, self.ts, self.delay = spark, root, ts, delay
+        self.window, self.keys, self.aggregates = window, list(keys), aggregates
+
+    def _stored(self, name: str) -> DataFrame | None:
+        """All batches of a table; None while there are none."""
+        try:
+            return self.spark.read.option("basePath", f"{self.root}/{name}").parquet(f"{self.root}/{name}")
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return None
+
+    def _put(self, name: str, batch: int, df: DataFrame) -> None:
+        df.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch}")
+
+    def mark(self, before: int | None = None) -> dt.datetime | None:
+        """The watermark: the latest instant of all batches, or those before one, less the delay."""
+        marks = self._stored("marks")
+        if marks is None:
+            return None
+        seen = marks if before is None else marks.where(F.col("batch") < before)
+        return seen.agg((F.max("last") - F.expr(f"INTERVAL {self.delay}")).alias("m")).first()["m"]
+
+    def _windowed(self, df: DataFrame) -> DataFrame:
+        placed = df.withColumn("_w", F.window(self.ts, self.window))
+        return placed.withColumns({"window_start": F.col("_w.start"), "window_end": F.col("_w.end")}).drop("_w")
+
+    def _grouped(self, df: DataFrame) -> DataFrame:
+        return df.groupBy("window_start", "window_end", *self.keys).agg(*[a.alias(n) for n, (a, _) in self.aggregates.items()])
+
+    def add(self, batch: DataFrame, number: int) -> None:
+        mark = self.mark(before=number)
+        rows = self._windowed(batch)
+        late = F.col("window_end") <= F.lit(mark) if mark is not None else F.lit(False)
+        self._put("parts", number, self._grouped(rows.where(~late)))
+        self._put("late", number, rows.where(late))
+        self._put("marks", number, batch.agg(F.max(self.ts).alias("last")))
+
+    def run(self, stream: DataFrame, checkpoint: str) -> None:
+        drain(stream.writeStream.foreachBatch(self.add).option("checkpointLocation", checkpoint))
+
+    def late_rows(self) -> DataFrame | None:
+        return self._stored("late")
+
+    def closed(self, with_late: bool = True) -> DataFrame:
+        """The windows that have ended, late rows merged into them unless left out."""
+        parts = self._stored("parts").drop("batch")
+        if with_late:
+            parts = parts.unionByName(self._grouped(self.late_rows()))
+        ended = parts.where(F.col("window_end") <= F.lit(self.mark()))
+        return ended.groupBy("window_start", "window_end", *self.keys).agg(*[merge(F.col(n)).alias(n) for n, (_, merge) in self.aggregates.items()])
+
+
 def keep_latest(stream: DataFrame, store: Lake, table: str, keys: Sequence[str], order: Sequence[str], checkpoint: str) -> None:
     """Keep the newest row of every key in a table.
 
@@ -100,4 +169,4 @@ def keep_latest(stream: DataFrame, store: Lake, table: str, keys: Sequence[str],
         newest = latest(batch, keys, *order)
         store.upsert(table, newest, keys, guard=newer)
 
-    _drain(stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint))
+    drain(stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint))
