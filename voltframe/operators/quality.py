@@ -18,7 +18,7 @@ CHECK_COLUMNS = ["check_name", "table_name", "scope", "metric", "threshold", "st
 WORST_DAYS = 5
 
 
-def _check(name: str, table: str, scope: Column | str, metric: Column, threshold: Column | str,
+def check_row(name: str, table: str, scope: Column | str, metric: Column, threshold: Column | str,
            failed: str, ok: Column, details: Column | None = None) -> Column:
     def text(v):
         return F.lit(v) if isinstance(v, str) else v
@@ -36,7 +36,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def unique_key(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     found = duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("n"))
-    return found.select(F.inline(F.array(_check(
+    return found.select(F.inline(F.array(check_row(
         "unique_key", table, ",".join(keys), F.col("n"), "= 0", "FAIL", F.col("n") == 0))))
 
 
@@ -56,7 +56,7 @@ def in_reference(df: DataFrame, table: str, column: str, reference: DataFrame, r
                  name: str = "area_in_reference") -> DataFrame:
     """How many distinct values are unknown; `unknown_codes` names them."""
     found = unknown_values(df, column, reference, reference_column).agg(F.count(column).alias("n"))
-    return found.select(F.inline(F.array(_check(name, table, column, F.col("n"), "= 0", "FAIL", F.col("n") == 0))))
+    return found.select(F.inline(F.array(check_row(name, table, column, F.col("n"), "= 0", "FAIL", F.col("n") == 0))))
 
 
 Rule = tuple[str, float, float]
@@ -69,13 +69,13 @@ def scan_checks(df: DataFrame, table: str, rules: Sequence[Rule] = (), fresh_hou
     Ranges have inclusive bounds and NULLs pass. Freshness is the age of the latest instant.
     """
     wanted = [F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias(f"r{i}") for i, (c, lo, hi) in enumerate(rules)]
-    checks = [_check("value_range", table, c, F.col(f"r{i}"), f"[{lo}, {hi}]", "WARN", F.col(f"r{i}") == 0)
+    checks = [check_row("value_range", table, c, F.col(f"r{i}"), f"[{lo}, {hi}]", "WARN", F.col(f"r{i}") == 0)
               for i, (c, lo, hi) in enumerate(rules)]
     if fresh_hours is not None:
         wanted.append(F.max(ts).cast("timestamp").alias("last"))
         age = F.coalesce(F.timestamp_diff("SECOND", "last", F.lit(as_of).cast("timestamp")) / F.lit(3600.0), F.lit(1e9))
         latest = F.coalesce(F.date_format("last", "yyyy-MM-dd HH:mm:ss"), F.lit("None"))
-        checks.append(_check("freshness_hours", table, f"max({ts})", F.round(age, 1), f"<= {fresh_hours} h", "WARN",
+        checks.append(check_row("freshness_hours", table, f"max({ts})", F.round(age, 1), f"<= {fresh_hours} h", "WARN",
                              age <= fresh_hours, F.concat(F.lit(f"latest {ts} "), latest)))
     return df.agg(*wanted).select(F.inline(F.array(*checks)))
 
@@ -122,9 +122,9 @@ def completeness(df: DataFrame, table: str, scope: Sequence[str], as_of: str, ts
     overlap_text = F.concat(text["overlaps"], F.lit(" scope-days published at more than one resolution"))
     label = ",".join(scope)
     return both.select(F.inline(F.array(
-        _check("completeness_gap_days", table, label, F.col("gaps"), f"minutes < {expected}", "WARN",
+        check_row("completeness_gap_days", table, label, F.col("gaps"), f"minutes < {expected}", "WARN",
                F.col("gaps") == 0, gap_text),
-        _check("completeness_overlap_days", table, label, F.col("overlaps"), f"minutes > {expected}", "INFO",
+        check_row("completeness_overlap_days", table, label, F.col("overlaps"), f"minutes > {expected}", "INFO",
                F.col("overlaps") == 0, overlap_text))))
 
 

@@ -1,7 +1,7 @@
 """The named measures, as aggregates over the star.
 
-A measure is built from base aggregates of one fact. Evaluating several measures groups
-each fact once, joins only the dimensions that the grouping or the filter uses, and lines
+A measure is built from base aggregates of one fact. Evaluating several measures, of whatever
+grain, groups each fact once, joins only the dimensions that the grouping or the filter uses, and lines
 the facts up by union and a final small aggregate, so no fact is ever joined to another.
 
 Empty sums and counts are BLANK (NULL); BLANK minus x is -x; a division by zero or BLANK is
@@ -31,12 +31,32 @@ class Star:
     dims: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
+Part = tuple[Callable[[], Column], Callable[[Column], Column]]
+
+
 @dataclass(frozen=True)
 class Base:
-    """An aggregate over one fact."""
+    """An aggregate over one fact: parts that are aggregated, each with the aggregate that adds up part results of finer
+    groups, and the value made of them."""
 
     fact: str
-    aggregate: Callable[[], Column]
+    parts: tuple[Part, ...]
+    value: Callable[..., Column]
+
+    def aggregate(self) -> Column:
+        return self.value(*[part() for part, _ in self.parts])
+
+    def partial(self, name: str) -> list[Column]:
+        """The parts as columns of a finer grouping."""
+        return [part().alias(f"{name}_{i}") for i, (part, _) in enumerate(self.parts)]
+
+    def of_group(self, name: str) -> Column:
+        """The value within a finer group."""
+        return self.value(*[F.col(f"{name}_{i}") for i in range(len(self.parts))])
+
+    def rolled(self, name: str) -> Column:
+        """The value over finer groups."""
+        return self.value(*[merge(F.col(f"{name}_{i}")) for i, (_, merge) in enumerate(self.parts)])
 
 
 @dataclass(frozen=True)
@@ -45,28 +65,36 @@ class Measure:
     value: Callable[[Mapping[str, Column]], Column]
 
 
-def _sum(column: str) -> Callable[[], Column]:
-    return lambda: F.sum(column).cast("double")
+def _sum(fact: str, column: str) -> Base:
+    return Base(fact, ((lambda: F.sum(column), F.sum),), lambda total: total.cast("double"))
+
+
+def _mean(fact: str, column: str) -> Base:
+    return Base(fact, ((lambda: F.sum(column), F.sum), (lambda: F.count(column), F.sum)), lambda total, n: ratio(total.cast("double"), n))
+
+
+def _greatest(fact: str, column: str, number: bool = True) -> Base:
+    return Base(fact, ((lambda: F.max(column), F.max),), lambda most: most.cast("double") if number else most)
 
 
 BASES: dict[str, Base] = {
-    "generation_total": Base("carbon", _sum("total_generation_mwh")),
-    "renewable": Base("carbon", _sum("renewable_mwh")),
-    "low_carbon": Base("carbon", _sum("low_carbon_mwh")),
-    "covered": Base("carbon", _sum("factor_covered_mwh")),
-    "co2e": Base("carbon", _sum("co2e_kg")),
-    "through": Base("carbon", lambda: F.max("ts_hour_utc")),
-    "exports": Base("border", _sum("export_mwh")),
-    "imports": Base("border", _sum("import_mwh")),
-    "generation": Base("generation", _sum("generation_mwh")),
-    "load": Base("load", _sum("load_mwh")),
-    "load_mw": Base("load", lambda: ratio(F.sum("avg_load_mw").cast("double"), F.count("avg_load_mw"))),
-    "price": Base("price", lambda: ratio(F.sum("price_eur_mwh").cast("double"), F.count("price_eur_mwh"))),
-    "negative": Base("price", lambda: F.nullif(F.count_if(F.col("price_eur_mwh") < 0), F.lit(0))),
-    "wind": Base("weather", lambda: ratio(F.sum("wind_speed_100m_kmh").cast("double"), F.count("wind_speed_100m_kmh"))),
-    "solar": Base("weather", lambda: ratio(F.sum("solar_radiation_wm2").cast("double"), F.count("solar_radiation_wm2"))),
-    "target": Base("threshold", lambda: F.max("renewable_share_target_pct").cast("double")),
-    "alert": Base("threshold", lambda: F.max("carbon_intensity_alert_gco2e_per_kwh").cast("double")),
+    "generation_total": _sum("carbon", "total_generation_mwh"),
+    "renewable": _sum("carbon", "renewable_mwh"),
+    "low_carbon": _sum("carbon", "low_carbon_mwh"),
+    "covered": _sum("carbon", "factor_covered_mwh"),
+    "co2e": _sum("carbon", "co2e_kg"),
+    "through": _greatest("carbon", "ts_hour_utc", number=False),
+    "exports": _sum("border", "export_mwh"),
+    "imports": _sum("border", "import_mwh"),
+    "generation": _sum("generation", "generation_mwh"),
+    "load": _sum("load", "load_mwh"),
+    "load_mw": _mean("load", "avg_load_mw"),
+    "price": _mean("price", "price_eur_mwh"),
+    "negative": Base("price", ((lambda: F.count_if(F.col("price_eur_mwh") < 0), F.sum),), lambda n: F.nullif(n, F.lit(0))),
+    "wind": _mean("weather", "wind_speed_100m_kmh"),
+    "solar": _mean("weather", "solar_radiation_wm2"),
+    "target": _greatest("threshold", "renewable_share_target_pct"),
+    "alert": _greatest("threshold", "carbon_intensity_alert_gco2e_per_kwh"),
 }
 
 
@@ -147,34 +175,53 @@ def with_dimensions(star: Star, fact: DataFrame, columns: Sequence[str]) -> Data
     return out
 
 
-def _bases(star: Star, names: Sequence[str], by: Sequence[str], where: Sequence[tuple[str, Column]]) -> DataFrame:
-    """Base aggregates by group. A filter or grouping a fact cannot reach does not apply to it."""
-    parts = []
-    for fact_name in dict.fromkeys(BASES[n].fact for n in names):
-        fact = _fact(star, fact_name)
-        reachable = set(fact.columns)
-        for dim_name, key in DIMENSION_KEYS.items():
-            if key in fact.columns and dim_name in star.dims:
-                reachable |= set(star.dims[dim_name].columns)
-        tests = [(c, t) for c, t in where if c in reachable]
-        groups = [c for c in by if c in reachable]
-        joined = with_dimensions(star, fact, [*dict.fromkeys([*groups, *[c for c, _ in tests]])])
-        kept = reduce(lambda d, t: d.where(t[1]), tests, joined)
+def _reduced(star: Star, fact_name: str, by: Sequence[str], where: Sequence[tuple[str, Column]]) -> tuple[list[str], DataFrame]:
+    """The groupings that a fact can reach, and its rows after the filters that it can reach."""
+    fact = _fact(star, fact_name)
+    reachable = set(fact.columns)
+    for dim_name, key in DIMENSION_KEYS.items():
+        if key in fact.columns and dim_name in star.dims:
+            reachable |= set(star.dims[dim_name].columns)
+    tests = [(c, t) for c, t in where if c in reachable]
+    groups = [c for c in by if c in reachable]
+    joined = with_dimensions(star, fact, [*dict.fromkeys([*groups, *[c for c, _ in tests]])])
+    return groups, reduce(lambda d, t: d.where(t[1]), tests, joined)
+
+
+def _per_hour(star: Star, names: Sequence[str], by: Sequence[str], where: Sequence[tuple[str, Column]]) -> DataFrame:
+    """Carbon bases and the greenest hour from one grouping of the fact by hour of day, which is then rolled up."""
+    names = list(dict.fromkeys([*names, *MEASURES["carbon_intensity"].needs]))
+    groups, kept = _reduced(star, "carbon", list(dict.fromkeys([*by, "hour_key"])), where)
+    hours = kept.groupBy(*groups).agg(*[part for n in names for part in BASES[n].partial(n)])
+    intensity = MEASURES["carbon_intensity"].value({n: BASES[n].of_group(n) for n in names})
+    order = F.when(F.col("_intensity").isNotNull(), F.struct("_intensity", "hour_key"))
+    return hours.withColumn("_intensity", intensity).groupBy(*by).agg(
+        *[BASES[n].rolled(n).alias(n) for n in names], F.min_by("hour_key", order).cast("int").alias(GREENEST_HOUR))
+
+
+def _bases(star: Star, names: Sequence[str], by: Sequence[str], where: Sequence[tuple[str, Column]], hourly: bool = False) -> DataFrame:
+    """Base aggregates by group, each fact grouped once. A filter or grouping a fact cannot reach does not apply to it. With
+    `hourly` the carbon fact also gives the greenest hour."""
+    parts, wanted = [], list(names)
+    for fact_name in dict.fromkeys([*["carbon"] * hourly, *[BASES[n].fact for n in names]]):
         mine = [n for n in names if BASES[n].fact == fact_name]
+        if hourly and fact_name == "carbon":
+            parts.append((list(by), _per_hour(star, mine, by, where).select(*by, *mine, GREENEST_HOUR)))
+            wanted.append(GREENEST_HOUR)
+            continue
+        groups, kept = _reduced(star, fact_name, by, where)
         parts.append((groups, kept.groupBy(*groups).agg(*[BASES[n].aggregate().alias(n) for n in mine])))
     if len(parts) == 1 and parts[0][0] == list(by):
         return parts[0][1]
     if any(groups != list(by) for groups, _ in parts):
         raise ValueError("all requested measures must be groupable by the same columns")
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p for _, p in parts])
-    return stacked.groupBy(*by).agg(*[F.max(n).alias(n) for n in names])
+    return stacked.groupBy(*by).agg(*[F.max(n).alias(n) for n in wanted])
 
 
 def greenest_hour(star: Star, by: Sequence[str] = (), where: Sequence[tuple[str, Column]] = ()) -> DataFrame:
     """Hour of day with the lowest intensity; blanks are left out and ties give the earliest hour."""
-    hours = evaluate(star, ["carbon_intensity"], [*by, "hour_key"], where).where("carbon_intensity IS NOT NULL")
-    return hours.groupBy(*by).agg(
-        F.min_by("hour_key", F.struct("carbon_intensity", "hour_key")).cast("int").alias(GREENEST_HOUR))
+    return evaluate(star, [GREENEST_HOUR], by, where)
 
 
 def evaluate(star: Star, measures: Sequence[str], by: Sequence[str] = (),
@@ -182,15 +229,7 @@ def evaluate(star: Star, measures: Sequence[str], by: Sequence[str] = (),
     """Measures per group. `where` lists (column, condition) pairs, the column telling which
     dimension the condition belongs to."""
     plain = [m for m in measures if m != GREENEST_HOUR]
-    frames = []
-    if plain:
-        needed = list(dict.fromkeys(n for m in plain for n in MEASURES[m].needs))
-        bases = _bases(star, needed, by, where)
-        values = {n: F.col(n) for n in needed}
-        frames.append(bases.select(*by, *[MEASURES[m].value(values).alias(m) for m in plain]))
-    if GREENEST_HOUR in measures:
-        frames.append(greenest_hour(star, by, where))
-    if len(frames) == 1:
-        return frames[0].select(*by, *measures)
-    both = frames[0].unionByName(frames[1], allowMissingColumns=True)
-    return both.groupBy(*by).agg(*[F.max(m).alias(m) for m in measures])
+    needed = list(dict.fromkeys(n for m in plain for n in MEASURES[m].needs))
+    values = {n: F.col(n) for n in needed}
+    made = {m: MEASURES[m].value(values).alias(m) for m in plain} | {GREENEST_HOUR: F.col(GREENEST_HOUR)}
+    return _bases(star, needed, by, where, GREENEST_HOUR in measures).select(*by, *[made[m] for m in measures])

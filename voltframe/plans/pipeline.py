@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.operators import merge, planning, quality
+from voltframe.functions.scalars import date_key, hour_start
+from voltframe.operators import check_state, merge, planning, quality
 from voltframe.operators.tables import Counts, Day, Lake
 from voltframe.plans import gold, silver
 from voltframe.plans.measures import Star
-from voltframe.schemas import KEYS
+from voltframe.schemas import KEYS, TABLES
 from voltframe.sources import reference, thresholds
 
 RANGES = {      # fixed values: plausible bounds per measure
@@ -34,8 +35,12 @@ DAYS = {
 }
 
 
+CHECKED = [t for t in DAYS if t.startswith("silver_")]
+
+
 def lake(spark, root: str) -> Lake:
-    return Lake(spark, root, days=DAYS)
+    schemas, days = check_state.state_tables(CHECKED)
+    return Lake(spark, root, {**TABLES, **schemas}, {**DAYS, **days})
 
 
 def seed_reference(store: Lake) -> Mapping[str, Counts]:
@@ -76,6 +81,27 @@ def check_silver(tables: Mapping[str, DataFrame], area: DataFrame, production_ty
     return quality.report(*checks)
 
 
+def silver_rules(area: DataFrame, production_type: DataFrame) -> dict[str, check_state.Rules]:
+    """What is counted per day of each partitioned silver table."""
+    def references(table: str) -> list[check_state.Reference]:
+        found = [check_state.Reference(c, area, "area_code") for c in AREA_COLUMNS.get(table, [])]
+        types = check_state.Reference("psr_type_code", production_type, "psr_type_code", "psr_in_reference")
+        return [*found, types] if table == "silver_generation" else found
+
+    return {t: check_state.Rules(KEYS[t], references(t), RANGES.get(t, ()), FRESH_HOURS.get(t)) for t in CHECKED}
+
+
+def check_stored(store: Lake, area: DataFrame, production_type: DataFrame, as_of: str, check_days: int = RECENT_DAYS, full_check: bool = False) -> DataFrame:
+    """The checks of `check_silver` on the stored tables. Only days that changed since the last check are read, and the
+    look-back of completeness; the reported numbers are those of the whole tables."""
+    found = [check_state.check_all(store, silver_rules(area, production_type), as_of)]
+    found += [quality.unique_key(store.read(t), t, KEYS[t]) for t in KEYS if t.startswith("silver_") and t not in CHECKED]
+    for table, scope in AREA_COLUMNS.items():
+        rows = store.read(table) if full_check else store.read(table, _day(as_of, check_days)[1])
+        found.append(quality.completeness(quality.recent(rows, "ts_utc", as_of, check_days, full_check), table, scope, as_of))
+    return quality.report(*found)
+
+
 def refresh_dimensions(store: Lake, country: DataFrame, area: DataFrame, production_type: DataFrame, now: str) -> None:
     store.overwrite("dim_country", gold.dim_country(country))
     store.overwrite("dim_area", gold.dim_area(area, country))
@@ -125,6 +151,57 @@ def load_gold(store: Lake, country: DataFrame, area: DataFrame, production_type:
     return check
 
 
+def load_gold_changes(store: Lake, country: DataFrame, area: DataFrame, production_type: DataFrame, as_of: str, before: str | None = None) -> list[int]:
+    """Compute again the hours that merges into silver have touched, and no others; the days that were opened.
+
+    However old a correction is, it reaches gold, and files of other days stay. `before` leaves hours from that date on to
+    a window reload. Hours are taken off the list once all facts hold them; a run that failed before does them again. What
+    follows from changed dimensions alone (an area's country, a type's flags) takes a reload from a date.
+    """
+    refresh_dimensions(store, country, area, production_type, as_of)
+    areas, owner = store.read("dim_area"), store.read("dim_area").select("area_code", "country_code")
+    with store.scratch():
+        listed = store.read("ctl_touched_hours")
+        listed = listed.where(F.col("ts_hour_utc") < F.lit(before).cast("timestamp")) if before else listed
+        todo = store.staged("touched", listed)
+        opened: set[int] = set()
+
+        def hours(table: str, scope: str, to_scope: str | None = None) -> tuple[DataFrame, list[int]]:
+            mine = todo.where(F.col("table_name") == table)
+            names = [F.col("scope").alias(scope), *([F.col("to_scope").alias(to_scope)] if to_scope else []), "ts_hour_utc"]
+            days = sorted(r[0] for r in mine.select(date_key("ts_hour_utc")).distinct().collect())
+            opened.update(days)
+            return mine.select(*names).distinct(), days
+
+        def source(table: str, keys: DataFrame, days: list[int]) -> DataFrame:
+            """The rows of a silver table or fact in the given hours; only their days are listed."""
+            rows, own = store.read(table, days=days), "ts_hour_utc" if table.startswith("fact_") else "ts_utc"
+            return rows.withColumn("_hour", hour_start(own)).join(keys.withColumnRenamed("ts_hour_utc", "_hour"), [*[c for c in keys.columns if c != "ts_hour_utc"], "_hour"],
+                                                                  "left_semi").drop("_hour")
+
+        def again(fact: str, table: str, keys: DataFrame, days: list[int], make: Callable[[DataFrame], DataFrame]) -> None:
+            if days:
+                store.replace_keys(fact, make(source(table, keys, days)), keys, days)
+
+        again("fact_load_hourly", "silver_load", *hours("silver_load", "area_code"), lambda rows: gold.load_hourly(rows, areas, as_of))
+        keys, days = hours("silver_generation", "area_code")
+        again("fact_generation_hourly", "silver_generation", keys, days,
+              lambda rows: gold.generation_hourly(rows, areas, store.read("dim_emission_factor"), as_of))
+        in_country = keys.join(owner, "area_code").select("country_code", "ts_hour_utc").distinct()
+        again("fact_carbon_hourly", "fact_generation_hourly", in_country, days, lambda rows: gold.carbon_hourly(rows, store.read("dim_production_type"), as_of))
+        again("fact_price_hourly", "silver_price", *hours("silver_price", "area_code"), lambda rows: gold.price_hourly(rows, areas, as_of))
+        again("fact_flow_hourly", "silver_flow", *hours("silver_flow", "from_area_code", "to_area_code"), lambda rows: gold.flow_hourly(rows, areas, as_of))
+        again("fact_weather_hourly", "silver_weather_country_hourly", *hours("silver_weather_country_hourly", "country_code"),
+              lambda rows: gold.weather_hourly(rows, as_of))
+        _forget(store, todo)
+        return sorted(opened)
+
+
+def _forget(store: Lake, done: DataFrame) -> None:
+    """Take hours off the list that gold now holds; hours noted meanwhile stay."""
+    store.overwrite("ctl_touched_hours", store.read("ctl_touched_hours").exceptAll(done))
+
+
 def record_watermarks(store: Lake, run_log: DataFrame, as_of: str) -> Counts:
     """Move the stored watermarks of both sources on to what a run has loaded; none moves back."""
     keys = KEYS["ctl_watermark"]
@@ -163,19 +240,22 @@ def run(store: Lake, raw_root: str, country: DataFrame, area: DataFrame, product
         locations: DataFrame, as_of: str, datasets: Sequence[str] = tuple(silver.GRID_TABLES), mode: str = "incremental",
         from_date: str | None = None, check_days: int = RECENT_DAYS, full_check: bool | None = None,
         thresholds_path: str | None = None, run_optimize: bool = False) -> dict:
-    """Silver energy, weather, holidays, thresholds on the first of a month or if there are none yet, checks, gold, compaction."""
+    """Silver energy, weather, holidays, thresholds on the first of a month or if there are none yet, checks, gold, compaction.
+    Gold is reloaded from its window on; hours before the window that a merge has touched are computed again one by one."""
     with store.scratch():
         summary: dict = {d: silver.load_grid(store, raw_root, d, as_of, production_type, mode) for d in datasets}
         summary["weather"] = silver.load_weather(store, raw_root, locations, as_of, mode)
         summary["holidays"] = silver.load_holidays(store, f"{raw_root}/holidays", as_of)
         if thresholds_path and (monthly_branch_due(as_of) or store.read("silver_kpi_threshold").isEmpty()):
             load_thresholds(store, thresholds_path)
-        checked = {t: store.read(t) for t in KEYS if t.startswith("silver_")}
         full = full_scan_due(as_of) if full_check is None else full_check
-        lately = {} if full else {t: store.read(t, _day(as_of, check_days)[1]) for t in AREA_COLUMNS}
-        checks = check_silver(checked, area, production_type, as_of, check_days, full, lately)
+        checks = check_stored(store, area, production_type, as_of, check_days, full)
         store.append("dq_check_result", quality.stamp(checks, as_of, as_of))
+        start = from_date or _day(as_of, RECENT_DAYS)[0]
+        summary["older_days"] = load_gold_changes(store, country, area, production_type, as_of, before=start)
+        noted = store.staged("touched", store.read("ctl_touched_hours"))
         summary["gold"] = load_gold(store, country, area, production_type, as_of, from_date).first().asDict()
+        _forget(store, noted)
         refresh_calendar(store)
         if run_optimize:
             summary["compacted"] = {t: store.compact(t) for t in DAYS}

@@ -6,7 +6,7 @@ import importlib
 
 from voltframe.registry.base import ORACLES, QUERIES, Query
 
-_MODULES = ["facts", "changes", "checks", "planning", "measures", "documents", "streams"]
+_MODULES = ["facts", "changes", "checks", "planning", "measures", "documents", "arrivals", "stored", "streams"]
 
 
 def _load() -> None:

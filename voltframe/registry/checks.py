@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from voltframe.operators import profile, quality, security
+from voltframe.operators import check_state, profile, quality, security
+from voltframe.operators.tables import Day, Lake
 from voltframe.registry import views
 from voltframe.registry.base import plain, query, table
+from voltframe.schemas import describe
+from voltframe.session import new_folder
 from voltframe.sources.inline import rows
 
 AS_OF = "2024-01-31 12:00:00"
@@ -272,3 +275,35 @@ SELECT o_orderkey, 'xxxx' AS o_orderpriority, CAST(0 AS DOUBLE) AS o_totalprice,
 def masked_rows(spark, sf):
     seen = security.mask(table(spark, sf, "orders"), "o_orderpriority", "o_totalprice", "o_orderdate")
     return plain(security.deny(seen, ["o_custkey"]))
+
+
+# ---- maintained counts -----------------------------------------------------------------
+
+_STORED = "(SELECT event_id, ts, user_id, value FROM events UNION ALL SELECT event_id, ts, user_id, value FROM events WHERE event_id % 50 = 0)"
+_VALUE = [("value", 10, 900), ("user_id", 0, 1000000000)]
+
+
+@query("dq_incremental", "\nUNION ALL ".join([
+    _row("unique_key", "stored", "event_id,ts_utc", "n", "= 0", "FAIL", "n = 0") + f" FROM (SELECT count(*) AS n FROM (SELECT 1 FROM {_STORED} GROUP BY event_id, ts HAVING count(*) > 1))",
+    *[_row("value_range", "stored", c, f"count(*) FILTER ({c} < {lo} OR {c} > {hi})", f"[{lo}, {hi}]", "WARN", f"count(*) FILTER ({c} < {lo} OR {c} > {hi}) = 0")
+      + f" FROM {_STORED}" for c, lo, hi in _VALUE],
+    _freshness(24).replace("'events' AS table_name", "'stored' AS table_name"),
+    _row("user_in_reference", "stored", "user_id", "n", "= 0", "FAIL", "n = 0")
+    + f" FROM (SELECT count(DISTINCT user_id) AS n FROM {_STORED} WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0))"]))
+def dq_incremental(spark, sf):
+    """Four rounds of changes: a load, a merge that changes values and one that changes them back, and appended copies. Each
+    round counts only the days that it touched; the report is that of the whole table."""
+    schemas, days = check_state.state_tables(["stored"])
+    schema = describe("event_id bigint\nts_utc timestamp\nuser_id bigint\nvalue double")
+    store = Lake(spark, new_folder(spark, "checks"), {**schemas, "stored": schema}, {**days, "stored": Day("day_key", "ts_utc")})
+    rows = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts_utc"), "user_id", "value")
+    known = table(spark, sf, "customer").where("c_acctbal >= 0").select("c_custkey")
+    rules = check_state.Rules(["event_id", "ts_utc"], [check_state.Reference("user_id", known, "c_custkey", "user_in_reference")], _VALUE, 24)
+    early = rows.where("ts_utc < TIMESTAMP '2024-01-08'")
+    for change in (lambda: store.append("stored", rows.where("event_id % 3 > 0 OR ts_utc < TIMESTAMP '2024-01-08'")),
+                   lambda: store.upsert("stored", early.withColumn("value", F.lit(-1.0)), ["event_id", "ts_utc"]),
+                   lambda: store.upsert("stored", rows.where("event_id % 3 = 0 OR ts_utc < TIMESTAMP '2024-01-08'"), ["event_id", "ts_utc"]),
+                   lambda: store.append("stored", rows.where("event_id % 50 = 0"))):
+        change()
+        check_state.refresh(store, "stored", rules)
+    return check_state.checked(store, "stored", rules, AS_OF)

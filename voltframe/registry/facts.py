@@ -273,3 +273,18 @@ def reconcile_failure(spark, sf):
 @query("hour_start_counts", "SELECT date_trunc('hour', ts) AS h, count(*) AS n FROM events GROUP BY 1")
 def hour_start_counts(spark, sf):
     return plain(table(spark, sf, "events").groupBy(hour_start("ts").alias("h")).agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("validity_asof_many", """
+WITH m AS (SELECT user_id % 5 AS k, date_trunc('minute', ts) AS valid_from, max(value) AS price, max(event_id) AS last_id FROM events WHERE event_type = 'click' GROUP BY 1, 2),
+v AS (SELECT k, valid_from, price, CASE WHEN last_id % 4 = 0 THEN valid_from + INTERVAL 90 MINUTE END AS valid_to FROM m),
+f AS (SELECT event_id, user_id % 5 AS k, ts FROM events WHERE event_type <> 'click')
+SELECT event_id, CASE WHEN valid_to IS NULL OR ts < valid_to THEN price END AS price FROM f ASOF LEFT JOIN v ON f.k = v.k AND f.ts >= v.valid_from""")
+def validity_asof_many(spark, sf):
+    """Events against one version per key and minute: five keys hold everything, each cut into spans of two days."""
+    e = table(spark, sf, "events").withColumn("k", F.col("user_id") % 5)
+    minute = F.date_trunc("minute", "ts").cast("timestamp")
+    versions = e.where("event_type = 'click'").groupBy("k", minute.alias("valid_from")).agg(F.max("value").alias("price"), F.max("event_id").alias("last"))
+    versions = versions.select("k", "valid_from", F.when(F.col("last") % 4 == 0, F.col("valid_from") + F.expr("INTERVAL 90 MINUTE")).alias("valid_to"), "price")
+    rows = e.where("event_type <> 'click'").select("event_id", "k", F.col("ts").cast("timestamp").alias("ts"))
+    return plain(series.version_in_force(rows, versions, "k", "ts", span_seconds=2 * 86400, shares=2).select("event_id", "price"))
