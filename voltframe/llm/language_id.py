@@ -5,10 +5,12 @@ membership of the languages' lexicons. Learned transitions join the words of a t
 posterior, so text that switches language is labelled word by word. A text's language is the label of most posterior mass.
 
 The field is fitted on the driver to a bounded sample: `TRAIN_DOCS` labelled documents per language (those of least hash,
-texts of `TRAIN_CHARS` characters or less first). Their pieces are strung together across languages, which is where the
+texts of `TRAIN_CHARS` characters or less first) and `TRAIN_DOCS` times `TRAIN_CHARS` characters. Their pieces are strung together across languages, which is where the
 transitions are learned from. Prediction runs where the documents lie, whole texts, a time step for all texts of a slice.
 
-NULL texts and texts without a letter get `und` and score 0. Without any labelled row every text does.
+NULL texts and texts without a letter get `und` and score 0. Without any labelled row every text does. Of equally likely
+languages the first by name counts. Repeated rows are predicted each on its own and learned from once; rows that share an
+id are different documents; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltframe.llm.common import SLICE_BYTES, crc32_of, numbered, ragged, read, ship, slices, text_bytes, words_of
+from voltframe.llm.common import SLICE_BYTES, crc32_of, numbered, ragged, read, ship, slices, staged, text_bytes, words_of
 
 TRAIN_DOCS = 200
 TRAIN_CHARS = 20_000
@@ -31,6 +33,7 @@ SHARES = 64
 PIECE, PIECES = 12, 6
 LEXICON = 300
 BITS = 16
+CHUNK = 1024
 ROUNDS, RATE, DECAY = 40, 0.5, 1e-4
 UNKNOWN = "und"
 _TRIM = bytes(b for b in range(128) if not chr(b).isalpha())
@@ -91,58 +94,96 @@ class Field:
         return np.add.reduceat(self.weights[value], at) + self.member[self.lexicon_of(words)] if len(words) else np.zeros((0, len(self.langs)))
 
 
-def posteriors(scores: np.ndarray, token: np.ndarray, sizes: np.ndarray, moves: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _messages(emit: np.ndarray, step: np.ndarray, begin: np.ndarray, token: np.ndarray, at: np.ndarray, length: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What enters each piece of the long texts from the left and from the right. Every piece becomes one matrix, all pieces
+    side by side; the matrices of a text are then applied one after the other."""
+    n_lang = len(step)
+    order = np.argsort(-length, kind="stable")
+    through = np.broadcast_to(np.eye(n_lang), (len(at), n_lang, n_lang)).copy()
+    for t in range(int(length.max())):
+        live = order[:np.searchsorted(-length[order], -t, "left")]
+        own = emit[token[at[live] + t]][:, None, :]
+        moved = through[live] if t else np.where(opens[live][:, None, None], through[live], step)
+        moved = (moved @ step if t else moved) * own
+        through[live] = moved / moved.sum((1, 2), keepdims=True)
+    left, right = np.empty((len(at), n_lang)), np.ones((len(at), n_lang))
+    for i in range(len(at)):
+        left[i] = begin if opens[i] else left[i - 1] @ through[i - 1]
+        left[i] /= left[i].sum()
+    for i in range(len(at) - 2, -1, -1):
+        if not opens[i + 1]:
+            right[i] = through[i + 1] @ right[i + 1]
+            right[i] /= right[i].sum()
+    return left, right
+
+
+def posteriors(scores: np.ndarray, token: np.ndarray, sizes: np.ndarray, moves: np.ndarray, start: np.ndarray,
+               most: int = CHUNK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Forward-backward over many texts at once: `token` are rows of `scores`, text after text, `sizes` their counts.
 
     Returns the posterior of every token, the summed posteriors of neighbouring labels, and that of the first labels. Texts
-    are ordered by length, so the ones that still run at a step are the first ones.
+    of more than `most` tokens are cut into pieces that run side by side; the messages between pieces are computed first,
+    so the result is that of the whole text. Pieces are ordered by length, so the ones that still run at a step are the
+    first ones.
     """
     n_lang = scores.shape[1]
     emit = np.exp(scores - scores.max(1, keepdims=True)) if len(scores) else scores
     step, begin = np.exp(moves - moves.max()), np.exp(start - start.max())
-    order = np.argsort(-sizes, kind="stable")
-    order = order[sizes[order] > 0]
-    first = (np.cumsum(sizes) - sizes)[order]
-    length = sizes[order]
+    cuts = -(-sizes // most)
+    owner = np.repeat(np.arange(len(sizes)), cuts)
+    offset = (np.arange(len(owner)) - np.repeat(np.cumsum(cuts) - cuts, cuts)) * most
+    place, size, opens = (np.cumsum(sizes) - sizes)[owner] + offset, np.minimum(most, sizes[owner] - offset), offset == 0
+    left, right = np.broadcast_to(begin, (len(owner), n_lang)).copy(), np.ones((len(owner), n_lang))
+    long = np.flatnonzero(cuts[owner] > 1)
+    if len(long):
+        left[long], right[long] = _messages(emit, step, begin, token, place[long], size[long], opens[long])
+    order = np.argsort(-size, kind="stable")
+    first, length, opens, left, back = place[order], size[order], opens[order], left[order], right[order]
     longest = int(length[0]) if len(order) else 0
     running = np.searchsorted(-length, -np.arange(longest), "left")
     forward = np.empty((len(token), n_lang))
     for t in range(longest):
         k = running[t]
         at = first[:k] + t
-        now = emit[token[at]] * (begin if t == 0 else last[:k] @ step)
+        now = emit[token[at]] * (last[:k] @ step if t else np.where(opens[:k, None], left, left @ step))
         last = now / now.sum(1, keepdims=True)
         forward[at] = last
     both = np.zeros((n_lang, n_lang))
     out = np.empty_like(forward)
-    back = np.ones((len(order), n_lang))
     for t in range(longest - 1, -1, -1):
         k = running[t]
         at = first[:k] + t
         own = forward[at] * back[:k]
         own /= own.sum(1, keepdims=True)
         out[at] = own
-        if t:
-            ahead = emit[token[at]] * back[:k]
-            before = forward[at - 1]
+        joined = np.arange(k) if t else np.flatnonzero(~opens[:k])
+        if len(joined):
+            ahead = emit[token[at[joined]]] * back[joined]
+            before = forward[at - 1] if t else left[joined]
             reach = ahead @ step.T
             norm = (before * reach).sum(1, keepdims=True)
             both += (before / norm).T @ ahead
-            back[:k] = reach / reach.sum(1, keepdims=True)
-    return out, both * step, out[first].sum(0)
+            if t:
+                back[:k] = reach / reach.sum(1, keepdims=True)
+    return out, both * step, out[first[opens]].sum(0)
 
 
 def sample(docs: DataFrame) -> list[tuple[str, str]]:
-    """(lang, text) of the training sample: at most `TRAIN_DOCS` distinct rows per language, chosen by hash."""
+    """(lang, text) of the training sample: at most `TRAIN_DOCS` distinct rows per language, chosen by hash, and no more of them
+    than `TRAIN_DOCS` texts of `TRAIN_CHARS` characters would hold. Only the chosen rows' keys meet the texts, as a table
+    of known size; texts are not shuffled."""
     rows = (docs.filter("lang IS NOT NULL AND text IS NOT NULL")
-            .withColumn("__key", F.xxhash64("doc_id", "text")).withColumn("__long", F.length("text") > TRAIN_CHARS))
-    keys = rows.select("lang", "__long", "__key").distinct()
+            .withColumn("__key", F.xxhash64("doc_id", "text")).withColumn("__chars", F.length("text")))
+    keys = rows.select("lang", "__chars", "__key").distinct()
     # First within shares of a language, so that no task meets more than its share of the candidates of all tasks.
     chosen = keys.withColumn("__share", F.pmod("__key", F.lit(SHARES)))
+    order = [F.col("__chars") > TRAIN_CHARS, F.col("__key")]
     for by in (("lang", "__share"), ("lang",)):
-        rank = F.row_number().over(Window.partitionBy(*by).orderBy("__long", "__key"))
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
         chosen = chosen.withColumn("__r", rank).filter(F.col("__r") <= TRAIN_DOCS).drop("__r")
-    chosen = chosen.select("lang", "__key")
+    running = F.sum("__chars").over(Window.partitionBy("lang").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    chosen = chosen.withColumn("__sum", running).filter(F.col("__sum") <= TRAIN_DOCS * TRAIN_CHARS)
+    chosen = staged(chosen.select("lang", "__key"), "sample")
     found = rows.join(chosen, ["lang", "__key"]).groupBy("lang", "__key").agg(F.min("text").alias("text"))
     return sorted((r["lang"], r["text"]) for r in found.select("lang", "text").collect())
 
