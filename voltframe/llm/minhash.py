@@ -15,6 +15,7 @@ A NULL id is never a component's id unless all of its documents have none.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -194,12 +195,18 @@ def prefix_pairs(rest: DataFrame, texts: DataFrame) -> DataFrame:
     per = prefix.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("k"))
     main = per.groupBy("shingle").agg(F.max(F.struct("k", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
     main = staged(main.select("shingle", F.col("top.comp").alias("main")), "main")
-    live = prefix.join(main, "shingle")
-    minor = staged(live.filter("comp <> main").select("shingle", F.col("cid").alias("c2"), F.col("n").alias("m"), F.col("comp").alias("comp2"), F.col("r").alias("q")),
-                   "minor")
-    # Of the first shingle that two sets have in common, at places r and q: they share no more than what follows it.
+    live = staged(prefix.join(main, "shingle"), "live")
+    minor = live.filter("comp <> main").select("shingle", F.col("cid").alias("c2"), F.col("n").alias("m"), F.col("comp").alias("comp2"), F.col("r").alias("q"))
+    # Of the first shingle that two sets have in common, at places r and q: they share no more than what follows it. That
+    # and the size bound depend on sizes and places alone, so a shingle's groups of equal size and place meet first, near sizes
+    # only, and classes of a passage that is common but too short never meet at all.
     enough = (100 + PERCENT) * (1 + F.least(F.col("n") - F.col("r"), F.col("m") - F.col("q"))) >= PERCENT * (F.col("n") + F.col("m"))
-    return (prefix.join(minor, "shingle").filter((F.col("comp") != F.col("comp2")) & alike("n", "m") & enough)
+    near = F.floor(F.log("n") / math.log(100 / PERCENT))
+    one = live.select("shingle", "n", "r").distinct().withColumn("size_class", near)
+    other = minor.select("shingle", F.col("m").alias("n"), "q").distinct().withColumn("size_class", F.explode(F.array(near - 1, near, near + 1)))
+    meet = one.join(other.withColumnRenamed("n", "m"), ["shingle", "size_class"]).filter(alike("n", "m") & enough).select("shingle", "n", "r", "m", "q")
+    meet = staged(meet, "meeting")
+    return (live.join(meet, ["shingle", "n", "r"]).join(minor, ["shingle", "m", "q"]).filter(F.col("comp") != F.col("comp2"))
             .select(F.least("cid", "c2").alias("a"), F.greatest("cid", "c2").alias("b")).distinct())
 
 
