@@ -19,7 +19,6 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -129,8 +128,8 @@ _INSIDE = np.zeros(256, bool)
 _INSIDE[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = True
 
 
-def scan(texts: list[bytes], threshold: int = THRESHOLD) -> list[tuple[int, int, int, str, float]]:
-    """(row, unit, hash of its words, license, dice) of all units of lower-case texts that reach the threshold."""
+def scan(texts: list[bytes], threshold: int = THRESHOLD) -> list[tuple[int, int, str, float]]:
+    """(row, unit, license, dice) of all units of lower-case texts that reach the threshold."""
     number, listed, member, sizes, places = compiled()
     raw = b"\n".join(texts)
     signs = np.frombuffer(raw, np.uint8)
@@ -153,11 +152,8 @@ def scan(texts: list[bytes], threshold: int = THRESHOLD) -> list[tuple[int, int,
     pair = at[:-1] * len(distinct) + at[1:]
     fewest = -(-threshold * sizes // (200 - threshold))
 
-    def mark(a: int, z: int) -> int:
-        return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(words[a:z]))).view(np.int64))
-
-    def reached(group: np.ndarray, valid: np.ndarray) -> dict[int, tuple[int, str, float]]:
-        out: dict[int, tuple[int, str, float]] = {}
+    def reached(group: np.ndarray, valid: np.ndarray) -> dict[int, tuple[str, float]]:
+        out: dict[int, tuple[str, float]] = {}
         groups, n = np.unique(group[:-1][valid & hit], return_counts=True)
         for g in groups[n >= fewest.min()].tolist():
             a, z = np.searchsorted(group, g, "left"), np.searchsorted(group, g, "right")
@@ -165,10 +161,12 @@ def scan(texts: list[bytes], threshold: int = THRESHOLD) -> list[tuple[int, int,
             if not (both >= fewest).any():
                 continue
             u = len(np.unique(pair[a:z - 1]))
-            good = np.flatnonzero(200 * both >= threshold * (u + sizes)).tolist()
+            # A unit too large or too small for a template cannot reach it, whatever they share.
+            near = (threshold * u <= (200 - threshold) * sizes) & (threshold * sizes <= (200 - threshold) * u)
+            good = np.flatnonzero(near & (200 * both >= threshold * (u + sizes))).tolist()
             if good:
                 _, name, _, dice = min((-(d := float(2 * both[i] / (u + sizes[i]))), TEMPLATES[i][0], i, d) for i in good)
-                out[g] = (mark(a, z), name, dice)
+                out[g] = (name, dice)
         return out
 
     lines, whole = reached(line, same & (line[1:] == line[:-1])), reached(row, same)
@@ -209,8 +207,8 @@ def scan(texts: list[bytes], threshold: int = THRESHOLD) -> list[tuple[int, int,
                 continue
             taken.append((a, z))
             around = [whole.get(r), lines.get(int(line[a])) if line[a] == line[z] else None]
-            if not any(x and (x[1] == name or x[2] >= -dice) for x in around):
-                found.append((r, SPAN - (a - origin), mark(a, z + 1), name, -dice))
+            if not any(x and (x[0] == name or x[1] >= -dice) for x in around):
+                found.append((r, SPAN - (a - origin), name, -dice))
     return found
 
 
@@ -218,11 +216,12 @@ def matches(docs: DataFrame, threshold: int = THRESHOLD, text: str = "text") ->
     """(doc_id, unit, license, dice) of the best template of every unit that reaches the threshold (percent).
 
     Units are lines from 0 on, the whole text as -1, and spans as -2 less the number of words before them. Ties go to the
-    license first by name. A document row that appears twice counts as one.
+    license first by name. Rows of equal id and text count as one; other rows, also those that share an id or have none, are
+    documents of their own. Other columns are ignored, whatever their names.
     """
     ship(docs.sparkSession)
-    lower = docs.filter(F.col(text).isNotNull()).select("doc_id", F.lower(text).alias("__text"))
-    schema = T.StructType([lower.schema["doc_id"], T.StructField("unit", T.LongType()), T.StructField("__own", T.LongType()),
+    lower = docs.filter(F.col(text).isNotNull()).select("doc_id", F.xxhash64(F.col(text)).alias("__print"), F.lower(text).alias("__text"))
+    schema = T.StructType([lower.schema["doc_id"], lower.schema["__print"], T.StructField("unit", T.LongType()),
                            T.StructField("license", T.StringType()), T.StructField("dice", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,11 +229,12 @@ def matches(docs: DataFrame, threshold: int = THRESHOLD, text: str = "text") ->
             data, ends = text_bytes(part, "__text")
             rows = scan([bytes(data[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], threshold)
             if rows:
-                r, unit, own, name, dice = zip(*rows)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(r, pa.int64())), pa.array(unit, pa.int64()), pa.array(own, pa.int64()),
+                r, unit, name, dice = zip(*rows)
+                own = [part.column(c).take(pa.array(r, pa.int64())) for c in ("doc_id", "__print")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(unit, pa.int64()),
                                                   pa.array(name, pa.string()), pa.array(dice, pa.float64())], names=schema.names)
 
-    return lower.mapInArrow(run, schema).distinct().drop("__own")
+    return lower.mapInArrow(run, schema).distinct().drop("__print")
 
 
 def op3_licenses(spark, sf_dir):
@@ -248,16 +248,17 @@ def _quoted(text: str) -> str:
 
 ORACLE_SQL = f"""
 WITH templates(template, license, t, bigram) AS (VALUES {', '.join(f"({i}, {_quoted(a)}, {n}, {_quoted(b)})" for i, a, n, b in template_rows())}),
-lines AS (SELECT doc_id, lower(text) AS line, CAST({WHOLE} AS BIGINT) AS unit FROM documents WHERE text IS NOT NULL
+docs AS (SELECT row_number() OVER () AS d, doc_id, lower(text) AS text FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)),
+lines AS (SELECT d, text AS line, CAST({WHOLE} AS BIGINT) AS unit FROM docs
           UNION ALL
-          SELECT doc_id, parts[i] AS line, CAST(i - 1 AS BIGINT) AS unit
-          FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT doc_id, string_split(lower(text), chr(10)) AS parts FROM documents WHERE text IS NOT NULL))),
-words AS (SELECT doc_id, unit, regexp_extract_all(line, '[a-z0-9]+') AS w FROM lines),
-pairs AS (SELECT DISTINCT doc_id, unit, w[i] || ' ' || w[i + 1] AS bigram
-          FROM (SELECT doc_id, unit, w, unnest(range(1, len(w))) AS i FROM words)),
-sizes AS (SELECT doc_id, unit, count(*) AS u FROM pairs GROUP BY ALL),
-both_ AS (SELECT p.doc_id, p.unit, s.u, t.template, t.license, t.t, count(*) AS b
-          FROM pairs p JOIN templates t USING (bigram) JOIN sizes s ON s.doc_id = p.doc_id AND s.unit = p.unit GROUP BY ALL),
-good AS (SELECT doc_id, unit, license, template, CAST(2 * b AS DOUBLE) / (u + t) AS dice FROM both_ WHERE 200 * b >= {THRESHOLD} * (u + t))
-SELECT doc_id, unit, license, dice FROM good
-QUALIFY row_number() OVER (PARTITION BY doc_id, unit ORDER BY dice DESC, license, template) = 1"""
+          SELECT d, parts[i] AS line, CAST(i - 1 AS BIGINT) AS unit
+          FROM (SELECT d, parts, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT d, string_split(text, chr(10)) AS parts FROM docs))),
+words AS (SELECT d, unit, regexp_extract_all(line, '[a-z0-9]+') AS w FROM lines),
+pairs AS (SELECT DISTINCT d, unit, w[i] || ' ' || w[i + 1] AS bigram
+          FROM (SELECT d, unit, w, unnest(range(1, len(w))) AS i FROM words)),
+sizes AS (SELECT d, unit, count(*) AS u FROM pairs GROUP BY ALL),
+both_ AS (SELECT p.d, p.unit, s.u, t.template, t.license, t.t, count(*) AS b
+          FROM pairs p JOIN templates t USING (bigram) JOIN sizes s ON s.d = p.d AND s.unit = p.unit GROUP BY ALL),
+good AS (SELECT d, unit, license, template, CAST(2 * b AS DOUBLE) / (u + t) AS dice FROM both_ WHERE 200 * b >= {THRESHOLD} * (u + t)),
+best AS (SELECT * FROM good QUALIFY row_number() OVER (PARTITION BY d, unit ORDER BY dice DESC, license, template) = 1)
+SELECT doc_id, unit, license, dice FROM best JOIN docs USING (d)"""
