@@ -52,10 +52,12 @@ def ship(spark: SparkSession) -> None:
 
 def staged(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """`df` written to the shared folder and read back: cuts the lineage and survives lost executors. Inside `scratch` the
-    table goes at its end unless it is kept."""
+    table goes at its end unless it is kept; every other one goes when the application ends, as results may still read it."""
     spark = df.sparkSession
     path = new_folder(spark, label)
     df.write.option("compression", "zstd").parquet(path)
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(there)
     if _open and not keep:
         _open[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -9,7 +9,9 @@ with an exact cosine of `COSINE` or more, in double precision, are links.
 Equal vectors are one class with a count, so copies never meet. A cell's members and visitors are cut into blocks of bounded
 size; a block pair returns per vector its number of links and one label of its connected part, never the pairs themselves.
 
-Vectors that are NULL, empty, zero or hold NULL or non-finite parts link with nothing; so do vectors of different length.
+Vectors that are NULL, empty, zero or hold NULL or non-finite parts link with nothing; so do vectors of different length. A
+NULL vec_id is a vector like any other: it counts as a link, and names a component only if no other id is in it. Vectors of
+single precision travel as such and are compared in double precision; any others travel in double precision.
 Codebooks are fitted on at most `SAMPLE` classes per length, chosen by hash. The calibration asks `QUERIES` of them against all
 rows and goes on, four times as many a round, until `PARTNERED` had a partner or the sample is used up. If rows are left that
 were not asked and fewer had one, vectors at exactly the cosine, planted around sample vectors, give a least number of visits.
@@ -23,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltframe.llm.common import read, scratch, ship, staged
 from voltframe.llm.components import components
@@ -214,7 +217,8 @@ def placed(classes: DataFrame, grids: dict[int, Grid]) -> DataFrame:
                          pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * seen.shape[1], seen.ravel())],
                         names=["cid", "n", "embedding", "cell", "visits"])
 
-    return classes.select("cid", "n", "embedding").mapInArrow(run, "cid long, n long, embedding array<float>, cell long, visits array<long>")
+    kind = classes.schema["embedding"].dataType.simpleString()
+    return classes.select("cid", "n", "embedding").mapInArrow(run, f"cid long, n long, embedding {kind}, cell long, visits array<long>")
 
 
 def linked_parts(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -285,7 +289,9 @@ def links_of(index: DataFrame, cosine: float = COSINE) -> DataFrame:
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
     """vec_id, n_links, component_id and kept of every vector."""
     ship(vectors.sparkSession)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
+    kind = vectors.schema["embedding"].dataType
+    single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>" if single else "array<double>").alias("embedding"))
     with scratch(vectors.sparkSession):
         classes = staged(rows.filter(usable()).groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"))
                          .withColumn("cid", F.monotonically_increasing_id()), "classes")

@@ -1,7 +1,8 @@
 """Quality rules: a threshold table compiled into one projection of built-in functions.
 
 Each rule bounds a ratio of two measures, written without division: a text fails a rule when
-`scale * numerator` lies outside `bound * denominator`, and the rule applies to texts with at least `from_words` words.
+`scale * numerator` lies outside `bound * denominator`, and the rule applies to texts with at least `from_words` words. The
+rule on stop words knows four languages: where a column names a text's language, it leaves texts of any other one alone.
 NULL and empty texts have no words, fail `n_words` and are not kept. Nothing here runs Python.
 """
 
@@ -18,16 +19,18 @@ WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 
 # Frequent function words of the corpus languages.
-STOP_WORDS = (
-    "the of and to in is that it for on was with as by this are be or from at which not "
-    "der die das und von zu mit den im für ist des sich auf dem nicht ein eine als auch "
-    "le la les un une du de et en que est pour qui dans par sur pas au avec il elle "
-    "el los las y se por para con no su al lo una como"
-).split()
+STOP_WORDS_OF = {
+    "en": "the of and to in is that it for on was with as by this are be or from at which not".split(),
+    "de": "der die das und von zu mit den im für ist des sich auf dem nicht ein eine als auch".split(),
+    "fr": "le la les un une du de et en que est pour qui dans par sur pas au avec il elle".split(),
+    "es": "el los las y se por para con no su al lo una como".split(),
+}
+STOP_WORDS = [w for words in STOP_WORDS_OF.values() for w in words]
 
 
 class Rule(NamedTuple):
-    """`low * of <= 100 * measure <= high * of` for texts of `from_words` words or more; None leaves a side open."""
+    """`low * of <= 100 * measure <= high * of` for texts of `from_words` words or more; None leaves a side open. With `listed`
+    it does not hold for texts of a language that has no list of stop words."""
 
     name: str
     measure: str
@@ -35,6 +38,7 @@ class Rule(NamedTuple):
     low: int | None = None
     high: int | None = None
     from_words: int = 0
+    listed: bool = False
 
 
 # The rules of the fixed base verdict.
@@ -46,7 +50,7 @@ BASE = (
 METHOD = (
     Rule("word_length", "word_chars", "n_words", low=250, high=1200),
     Rule("symbols", "n_symbols", "word_chars", high=5),
-    Rule("stop_words", "n_stop_words", "n_words", low=4, from_words=40),
+    Rule("stop_words", "n_stop_words", "n_words", low=4, from_words=40, listed=True),
     Rule("repeated_lines", "n_dup_lines", "n_lines", high=50),
 )
 
@@ -58,7 +62,7 @@ def fails(rule: Rule) -> Column:
         bad = bad | (value < base * rule.low)
     if rule.high is not None:
         bad = bad | (value > base * rule.high)
-    return bad & (F.col("n_words") >= rule.from_words)
+    return bad & (F.col("n_words") >= rule.from_words) & (F.col("has_list") if rule.listed else F.lit(True))
 
 
 def any_fails(rules: tuple[Rule, ...]) -> Column:
@@ -68,30 +72,32 @@ def any_fails(rules: tuple[Rule, ...]) -> Column:
     return out
 
 
-def measures(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """`carry` and the measures of every text.
+def measures(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",), lang: str | None = None) -> DataFrame:
+    """`carry` and the measures of every text; `has_list` is false for texts that `lang` says are of a language without stop
+    words here.
 
     Words of repeated windows are found in two steps: 64-bit window hashes tell the texts that may repeat a window at all,
     and only those texts sort their windows as word sequences, so the count is exact.
     """
     keep = [F.col(c) for c in carry]
-    base = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    known = F.coalesce(F.col(lang).isin(*STOP_WORDS_OF), F.lit(True)) if lang else F.lit(True)
+    base = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"), known.alias("has_list"))
     split = base.select(
-        *keep,
+        *keep, "has_list",
         F.array_remove(F.split("__text", WORD_SPLIT, -1), "").alias("__words"),
         F.filter(F.split("__text", "\n", -1), lambda x: x.rlike(r"\S")).alias("__lines"),
         F.length(F.translate("__text", " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
         (F.length("__text") - F.length(F.translate("__text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
     )
     counted = split.select(
-        *keep, "__words", "word_chars", "n_symbols",
+        *keep, "has_list", "__words", "word_chars", "n_symbols",
         F.size("__words").cast("long").alias("n_words"),
         F.size("__lines").cast("long").alias("n_lines"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
         F.size(F.filter("__words", lambda w: F.lower(w).isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
         F.transform("__words", lambda w: F.xxhash64(w)).alias("__hashes"),
     )
-    done = [*keep, "word_chars", "n_symbols", "n_words", "n_lines", "n_dup_lines", "n_stop_words"]
+    done = [*keep, "has_list", "word_chars", "n_symbols", "n_words", "n_lines", "n_dup_lines", "n_stop_words"]
     last = F.size("__words") - WINDOW
     hashed = counted.select(*done, "__words", F.when(
         last >= 1, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get("__hashes", i + k) for k in range(WINDOW)]))
@@ -110,37 +116,38 @@ def measures(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc
         "__starts", F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
         lambda acc, i: F.struct((acc["n"] + i + WINDOW - F.greatest(i, acc["end"])).alias("n"), (i + WINDOW).alias("end")),
         lambda acc: acc["n"])
-    found = ("word_chars", "n_symbols", "n_words", "n_lines", "n_dup_lines", "n_stop_words")
+    found = ("has_list", "word_chars", "n_symbols", "n_words", "n_lines", "n_dup_lines", "n_stop_words")
     # Through a generator, so that a filter on a verdict is not pushed down into the measures and repeats their work.
     pinned = F.struct(*found, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"), F.lit(1).alias("one"))
     return starts.select(*keep, F.inline(F.array(pinned)))
 
 
-def judged(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def judged(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",), lang: str | None = None) -> DataFrame:
     """Measures, one flag per method rule, `base_failed` and `kept`. `n_words` columns of `docs` itself are not used."""
-    m = measures(docs, text, carry).withColumn("base_failed", any_fails(BASE))
+    m = measures(docs, text, carry, lang).withColumn("base_failed", any_fails(BASE))
     flags = {f"failed_{r.name}": fails(r) for r in METHOD}
-    return m.withColumns(flags).withColumn("kept", ~F.col("base_failed") & ~any_fails(METHOD)).drop("one")
+    return m.withColumns(flags).withColumn("kept", ~F.col("base_failed") & ~any_fails(METHOD)).drop("one", "has_list")
 
 
 def op10_quality(spark, sf_dir):
     """Base measures and the verdict of every document."""
     from voltframe.llm.common import read
 
-    return judged(read(spark, sf_dir, "documents")).select(
+    return judged(read(spark, sf_dir, "documents"), lang="lang").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+_LISTED = ", ".join(f"'{x}'" for x in STOP_WORDS_OF)
 ORACLE_SQL = rf"""
-WITH t AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS words,
+WITH t AS (SELECT doc_id, coalesce(lang IN ({_LISTED}), true) AS has_list, coalesce(text, '') AS text, {_WORDS} AS words,
                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
            FROM documents),
 win AS (SELECT doc_id, i, array_to_string(words[i:i + {WINDOW - 1}], ' ') AS w
         FROM (SELECT doc_id, words, unnest(range(1, len(words) - {WINDOW - 2})) AS i FROM t WHERE len(words) >= {WINDOW})),
 twice AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1),
 covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(0, {WINDOW}) AS r(k) GROUP BY doc_id),
-m AS (SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+m AS (SELECT t.doc_id, has_list, CAST(len(words) AS BIGINT) AS n_words,
              CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
              CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
              CAST(len(lines) AS BIGINT) AS n_lines,
@@ -153,6 +160,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed
        AND NOT (100 * word_chars < 250 * n_words OR 100 * word_chars > 1200 * n_words)
        AND NOT (100 * n_symbols > 5 * word_chars)
-       AND NOT (n_words >= 40 AND 100 * n_stop_words < 4 * n_words)
+       AND NOT (has_list AND n_words >= 40 AND 100 * n_stop_words < 4 * n_words)
        AND NOT (100 * n_dup_lines > 50 * n_lines) AS kept
 FROM b"""

@@ -5,7 +5,8 @@ there an expression is matched, anchored at the hit. Hex runs have no keyword: t
 runs of sufficient length are found vectorised. Tokens of services that embed a CRC-32 are kept only if it is right.
 
 Kinds, in order: assign, access, hex (the base), then github, npm and pem. A span covers the whole match, in code points,
-end exclusive; spans of one kind never overlap. NULL and empty texts have no spans.
+end exclusive; spans of one kind never overlap. The body of a private key ends at the next row of five dashes, so text behind
+a key without an end is not read again and again. NULL and empty texts have no spans; repeated rows are scanned each on its own.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ PATTERNS = {
     "access": re.compile(rb"AKIA[A-Z0-9]+"),
     "github": re.compile(rb"gh[pousr]_([A-Za-z0-9]{36})(?![A-Za-z0-9])"),
     "npm": re.compile(rb"npm_([A-Za-z0-9]{36})(?![A-Za-z0-9])"),
-    "pem": re.compile(rb"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s:,-]*?-----END ([A-Z]+ )*PRIVATE KEY-----"),
+    "pem": re.compile(rb"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s:,]*+(?:-(?!----)[A-Za-z0-9+/=\s:,]*+)*+-----END ([A-Z]+ )*PRIVATE KEY-----"),
 }
 KEYWORDS = {
     "assign": ["password", "passwd", "secret", "token", "apikey", "api_key"],
