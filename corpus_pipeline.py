@@ -39,7 +39,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that pass the quality rules."""
-    kept = quality.judged(_apart(docs), text="__body", carry=("__row", "__body")).filter("kept")
+    lang = "__row.lang" if "lang" in docs.columns else None
+    kept = quality.judged(_apart(docs), text="__body", carry=("__row", "__body"), lang=lang).filter("kept")
     return kept.select(*_columns(docs))
 
 
