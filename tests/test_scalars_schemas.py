@@ -81,3 +81,13 @@ def test_iso_timestamp_forms(spark):
     df = spark.createDataFrame(list(forms.items()), "t string, want string")
     got = df.select("t", F.date_format(f.iso_timestamp("t"), "HH:mm").alias("v")).collect()
     assert {r["t"]: r["v"] for r in got} == forms
+
+
+def test_exact_sum_equals_decimal_sums(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    values = [-0.1234565, 0.1, 0.2, -3.5, 1e12 + 0.25, -1e12 - 0.75, 2.0000005, 0.0, 123456789.123456, -0.0000004, 9.9999995]
+    want = sum(Decimal(repr(v)).quantize(Decimal("0.000001"), ROUND_HALF_UP) for v in values)
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = df.agg(f.exact_sum("v").alias("s"))
+    assert got.first()["s"] == want and got.schema["s"].dataType.simpleString() == "decimal(28,6)"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 from string import Formatter
 
@@ -50,12 +51,16 @@ def ratio(numerator: ColumnLike, denominator: ColumnLike) -> Column:
 def exact_sum(value: ColumnLike, scale: int = 6) -> Column:
     """Sum of a double as a fixed-point decimal.
 
-    The result does not depend on the order in which partitions are merged. NaN and infinite values have no place
-    in a sum and are left out, as NULL is; a sum of such values only is NULL.
+    Every value is rounded to `scale` places, half away from zero, and split into whole units and the rest; both are summed as
+    longs, so the aggregation buffer stays primitive and the result does not depend on the order in which partitions are
+    merged. NaN and infinite values have no place in a sum and are left out, as NULL is; a sum of such values only is NULL.
     """
     v = _col(value).cast("double")
-    finite = F.when(F.abs(v) < F.lit(float("inf")), v)
-    return F.sum(finite.cast(f"decimal(28,{scale})")).cast(f"decimal(28,{scale})")
+    rounded = F.round(F.when(F.abs(v) < F.lit(float("inf")), v), scale)
+    whole = F.floor(rounded)
+    rest = F.round((rounded - whole) * F.lit(float(10 ** scale))).cast("bigint")
+    total = F.sum(whole).cast(f"decimal(28,{scale})") + F.sum(rest).cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-scale))
+    return total.cast(f"decimal(28,{scale})")
 
 
 def to_decimal(value: ColumnLike, precision: int, scale: int) -> Column:

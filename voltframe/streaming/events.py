@@ -150,8 +150,9 @@ class LateWindows:
     def closed(self, with_late: bool = True) -> DataFrame:
         """The windows that have ended, late rows merged into them unless left out."""
         parts = self._stored("parts").drop("batch")
-        if with_late:
-            parts = parts.unionByName(self._grouped(self.late_rows()))
+        late = self.late_rows() if with_late else None
+        if late is not None:
+            parts = parts.unionByName(self._grouped(late))
         ended = parts.where(F.col("window_end") <= F.lit(self.mark()))
         return ended.groupBy("window_start", "window_end", *self.keys).agg(*[merge(F.col(n)).alias(n) for n, (_, merge) in self.aggregates.items()])
 
