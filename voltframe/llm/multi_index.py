@@ -12,7 +12,8 @@ size; a block pair returns per vector its number of links and one label of its c
 Vectors that are NULL, empty, zero or hold NULL or non-finite parts link with nothing; so do vectors of different length. A
 NULL vec_id is a vector like any other: it counts as a link, and names a component only if no other id is in it. Vectors of
 single precision travel as such and are compared in double precision; any others travel in double precision.
-Codebooks are fitted on at most `SAMPLE` classes per length, chosen by hash. The calibration asks `QUERIES` of them against all
+Codebooks are fitted on at most `SAMPLE` classes per length, chosen by hash, and grow with the table, so that a cell holds
+`CELL_VECTORS` on average up to `MOST_CENTROIDS` a half (10⁹ vectors; beyond that cells grow). The calibration asks `QUERIES` of them against all
 rows and goes on, four times as many a round, until `PARTNERED` had a partner or the sample is used up. If rows are left that
 were not asked and fewer had one, vectors at exactly the cosine, planted around sample vectors, give a least number of visits.
 """
@@ -37,7 +38,8 @@ QUERIES = 256
 PARTNERED = 100
 PLANTED = 2048
 CELL_VECTORS = 16
-MOST_CENTROIDS = 1024
+MOST_CENTROIDS = SAMPLE // 2
+DISTANCES = 1 << 20
 BLOCK = 2048
 LEAST_VISITS = 4
 
@@ -66,8 +68,9 @@ def by_length(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 def kmeans(points: np.ndarray, k: int, seed: int, rounds: int = 12) -> np.ndarray:
     rng = np.random.default_rng(seed)
     centres = points[rng.permutation(len(points))[:k]].copy()
+    part = max(1, DISTANCES // k)
     for _ in range(rounds):
-        near = distances(points, centres).argmin(1)
+        near = np.concatenate([distances(points[i:i + part], centres).argmin(1) for i in range(0, len(points), part)])
         n = np.bincount(near, minlength=k)
         total = np.zeros_like(centres)
         np.add.at(total, near, points)
@@ -163,7 +166,8 @@ def asked_ranks(classes: DataFrame, grids: dict[int, Grid], asked: dict[int, tup
                 for at in range(0, whole.num_rows, 2048):
                     part = whole.slice(at, 2048)
                     x, cid, grid = matrix(part.column("embedding")), part.column("cid").to_numpy(), grids[length]
-                    cell = grid.cells(x)
+                    step = max(64, DISTANCES // grid.k)
+                    cell = np.concatenate([grid.cells(x[i:i + step]) for i in range(0, len(x), step)])
                     for start in range(0, len(asked[length][0]), 1024):
                         ids, q = (v[start:start + 1024] for v in asked[length])
                         qi, xi = np.nonzero((q @ x.T >= cosine) & (ids[:, None] != cid[None]))
@@ -207,10 +211,12 @@ def placed(classes: DataFrame, grids: dict[int, Grid]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for whole in by_length(batch):
-                for at in range(0, whole.num_rows, 1024):
-                    part = whole.slice(at, 1024)
+                length = len(whole.column("embedding")[0])
+                grid, name = grids[length], length << 32
+                rows = max(64, min(1024, DISTANCES // grid.k))
+                for at in range(0, whole.num_rows, rows):
+                    part = whole.slice(at, rows)
                     x = matrix(part.column("embedding"))
-                    grid, name = grids[x.shape[1]], x.shape[1] << 32
                     seen = grid.visited(x) + name
                     yield pa.RecordBatch.from_arrays(
                         [part.column("cid"), part.column("n"), part.column("embedding"), pa.array(grid.cells(x) + name),
