@@ -48,7 +48,7 @@ def _grid_files(spark, sf, dataset: str) -> str:
     """A document per area and day: the largest value of each type and hour stands for both half hours of it (purchases: the
     first one, then 7). Errors are documents of areas of their own, whose values are no numbers."""
     hours = (table(spark, sf, "events").withColumn("hour", F.date_trunc("hour", "ts"))
-             .groupBy("event_type", F.concat(F.when(F.col("event_type") == "error", "E").otherwise("A"), (F.col("user_id") % 4).cast("string")).alias("area"), "hour")
+             .groupBy("event_type", F.concat(F.when(F.col("event_type") == "error", "E").otherwise("A"), (F.col("user_id") % 2).cast("string")).alias("area"), "hour")
              .agg(F.max("value").alias("value")))
     tag = "price.amount" if dataset == grid_xml.PRICE_DATASET else "quantity"
 
@@ -73,7 +73,7 @@ def _grid_files(spark, sf, dataset: str) -> str:
 
 
 _HALF_HOURS = """
-WITH h AS (SELECT event_type, CASE WHEN event_type = 'error' THEN 'E' ELSE 'A' END || (user_id % 4) AS area, date_trunc('hour', ts) AS hour, max(value) AS value
+WITH h AS (SELECT event_type, CASE WHEN event_type = 'error' THEN 'E' ELSE 'A' END || (user_id % 2) AS area, date_trunc('hour', ts) AS hour, max(value) AS value
            FROM events GROUP BY ALL),
 x AS (SELECT event_type, area, hour + INTERVAL 30 MINUTE * i AS ts_utc, hour, CASE WHEN event_type = 'purchase' AND i = 1 THEN 7 ELSE value END AS value
       FROM h, range(0, 2) r(i) WHERE event_type <> 'error')
@@ -112,7 +112,7 @@ def scan_xml_files(spark, sf):
 
 
 @query("scan_xml_faults", """
-SELECT DISTINCT 'silver_generation' AS table_name, 'xml_parse_error' AS rule_name, 'value is not a number' AS details, 'E' || (user_id % 4) AS area,
+SELECT DISTINCT 'silver_generation' AS table_name, 'xml_parse_error' AS rule_name, 'value is not a number' AS details, 'E' || (user_id % 2) AS area,
   strftime(ts, '%Y-%m-%d') AS day FROM events WHERE event_type = 'error'""")
 def scan_xml_faults(spark, sf):
     """One pass over the documents gives rows and faults; a second full run notes no fault twice."""
@@ -151,7 +151,7 @@ def xml_price(spark, sf):
 
 def _single_series(spark, sf, dataset: str, target: str, values: list[str]) -> DataFrame:
     folder, store = _grid_files(spark, sf, dataset), _lake(spark)
-    todo = files.grouped(_log(spark, folder, silver.GRID_SOURCE), most_files=60).repartitionByRange("scan_group")
+    todo = files.grouped(_log(spark, folder, silver.GRID_SOURCE), most_files=30).repartitionByRange("scan_group")
     todo = store.staged("pending", todo.select("dataset", "area_key", "file_path", "ingested_at_utc", "scan_group"))
 
     def clicks(group: DataFrame) -> DataFrame:
