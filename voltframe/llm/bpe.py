@@ -10,7 +10,8 @@ part takes the values of its right spine, each until a merge of known rank takes
 along its left spine. A merge across the edge happens if some pair of such parts has a rank that is lower than that of the
 left part's own merge, or no higher than that of the right part's.
 
-NULL and empty texts have no tokens. Special tokens in a text are found first, as the library does by default.
+NULL and empty texts have no tokens. Special tokens in a text are found first, as the library does by default. Repeated rows are
+encoded each on its own; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
