@@ -16,27 +16,31 @@ COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 WIDTHS = np.array([64, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 ESCAPE = 0
 _U = np.uint64
-
-
 LIMITS = (np.uint64(1) << WIDTHS[1:].astype(np.uint64)) - np.uint64(1)
-FEW = 8
 MOST = int(COUNTS.max())
+SHORT = 1 << 16
+_CLASS = np.searchsorted(LIMITS, np.arange(SHORT, dtype=np.uint64)).astype(np.uint8)
+
+
+def _classes(values: np.ndarray) -> np.ndarray:
+    """The first selector, less one, whose width holds each value; 14 where none does."""
+    return _CLASS[values] if len(values) and values.max() < SHORT else np.searchsorted(LIMITS, values).astype(np.uint8)
 
 
-def _choose(classes: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The selector that packs most values from each flat position `at`. A value's class is the first selector, less one,
-    whose width holds it; the padding behind each block has class 0 and fits any word."""
-    top = np.maximum.accumulate(classes[at[:, None] + np.arange(FEW)], axis=1)
-    best = np.full(len(at), ESCAPE, np.int64)
+def _selectors(classes: np.ndarray) -> np.ndarray:
+    """The selector that packs most values from every position on, from sliding maxima of the classes: those over doubled
+    windows give those over windows of any width. Behind the end any word fits."""
+    n = len(classes)
+    doubled = [np.concatenate((classes, np.zeros(MOST, np.uint8)))]
+    while 2 ** len(doubled) <= MOST:
+        half, step = doubled[-1], 2 ** (len(doubled) - 1)
+        doubled.append(np.maximum(half[:-step], half[step:]))
+    best = np.full(n, ESCAPE, np.uint8)
     for s in range(len(COUNTS) - 1, 0, -1):
-        if COUNTS[s] <= FEW:
-            best[top[:, COUNTS[s] - 1] < s] = s
-    small = np.flatnonzero(best == int(np.flatnonzero(COUNTS == FEW)[0]))
-    if len(small):
-        top = np.maximum.accumulate(classes[at[small][:, None] + np.arange(MOST)], axis=1)
-        for s in range(len(COUNTS) - 1, 0, -1):
-            if COUNTS[s] > FEW:
-                best[small[top[:, COUNTS[s] - 1] < s]] = s
+        level = int(COUNTS[s]).bit_length() - 1
+        rest = int(COUNTS[s]) - 2 ** level
+        top = np.maximum(doubled[level][:n], doubled[level][rest:rest + n])
+        best[top < s] = s
     return best
 
 
@@ -47,26 +51,27 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, _U), np.zeros(0, np.int64)
     blocks, span = -(-n // BLOCK), BLOCK + MOST
     padded = np.zeros((blocks, span), _U)
+    classes = np.zeros((blocks, span), np.uint8)
     full = n // BLOCK
-    padded[:full, :BLOCK] = values[:full * BLOCK].reshape(full, BLOCK)
-    padded[full:, :n - full * BLOCK] = values[full * BLOCK:]
+    own = _classes(values)
+    for out, given in ((padded, values), (classes, own)):
+        out[:full, :BLOCK] = given[:full * BLOCK].reshape(full, BLOCK)
+        out[full:, :n - full * BLOCK] = given[full * BLOCK:]
     padded = padded.ravel()
-    classes = np.searchsorted(LIMITS, padded).astype(np.uint8)
-    # All blocks advance together, a word at a time.
-    at = np.arange(blocks) * span
-    ends = at + np.minimum(BLOCK, n - np.arange(blocks) * BLOCK)
-    live = np.arange(blocks)
-    heads, chosen, owners = [], [], []
-    while len(live):
-        sel = _choose(classes, at[live])
-        heads.append(at[live])
-        chosen.append(sel)
-        owners.append(live)
-        at[live] += COUNTS[sel]
-        live = live[at[live] < ends[live]]
-    head, sel, owner = map(np.concatenate, (heads, chosen, owners))
-    order = np.argsort(head)
-    head, sel, owner = head[order], sel[order], owner[order]
+    best = _selectors(classes.ravel())
+    # Words follow each other from the start of each block; all blocks advance together.
+    follows = np.arange(blocks * span) + COUNTS[best]
+    begin = np.arange(blocks) * span
+    ends = begin + np.minimum(BLOCK, n - np.arange(blocks) * BLOCK)
+    starts_word = np.zeros(blocks * span, bool)
+    at = begin
+    while len(at):
+        starts_word[at] = True
+        at = follows[at]
+        live = at < ends
+        at, ends = at[live], ends[live]
+    head = np.flatnonzero(starts_word)
+    sel = best[head]
     place = np.arange(len(head)) + np.cumsum(sel == ESCAPE) - (sel == ESCAPE)
     words = np.zeros(int(place[-1]) + 1 + int(sel[-1] == ESCAPE), _U)
     words[place] = sel.astype(_U) << _U(60)
@@ -79,7 +84,7 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         for k in range(1, int(COUNTS[s])):
             payload |= padded[head[own] + k] << _U(k * int(WIDTHS[s]))
         words[place[own]] |= payload
-    return words, place[np.searchsorted(owner, np.arange(blocks))]
+    return words, place[np.searchsorted(head, begin)]
 
 
 def decode(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:

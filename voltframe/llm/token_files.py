@@ -3,7 +3,8 @@
 A file row is one segment: its ids as Simple-8b words, the first word of each block, and its documents with their counts, so
 a segment is decoded on its own and its blocks side by side. Documents are range-partitioned by id, each partition
 writes its segments in order, and a document's place among all ids is its place in the partition plus the ids of the
-partitions before. Rows with equal ids follow each other in an order fixed by their text; NULL ids come first.
+partitions before. Rows with equal ids follow each other in an order fixed by their text; NULL ids come first. NULL and empty
+texts hold the end id alone; repeated rows are written each on its own; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -46,10 +47,10 @@ def segments(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFra
         for batch in slices(batches, "text"):
             ids, n = encode_rows(*text_bytes(batch, "text"), path, end_id)
             words, offsets = simple8b.encode(ids)
-            yield pa.RecordBatch.from_pylist([{
-                "part": part, "segment": number, "n_ids": len(ids), "doc_ids": batch.column("doc_id").to_pylist(),
-                "doc_tokens": n.astype("<u4").tobytes(), "offsets": offsets.astype("<u4").tobytes(), "words": words.astype("<u8").tobytes(),
-            }], _SEGMENT)
+            doc_ids = pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), batch.column("doc_id"))
+            raw = (n.astype("<u4"), offsets.astype("<u4"), words.astype("<u8"))
+            yield pa.RecordBatch.from_arrays([*(pa.array([v], pa.int64()) for v in (part, number, len(ids))), doc_ids,
+                                              *(pa.array([memoryview(v).cast("B") if len(v) else b""], pa.binary()) for v in raw)], schema=_SEGMENT)
             number += 1
 
     return ordered.mapInArrow(run, SEGMENT)
@@ -61,9 +62,13 @@ def decoded(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return ids.astype("<u4"), np.frombuffer(row["doc_tokens"], "<u4").astype(np.int64)
 
 
-def write(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFrame:
-    """Write the files to the shared folder; the returned rows are read from them."""
-    return staged(segments(docs, path, end_id), "token-files")
+def write(docs: DataFrame, path: str, end_id: int | None = END_ID, folder: str | None = None) -> DataFrame:
+    """Write the files to a folder, or to the shared one until the application ends; the returned rows are read from them."""
+    made = segments(docs, path, end_id)
+    if folder is None:
+        return staged(made, "token-files")
+    made.write.option("compression", "zstd").parquet(folder)
+    return docs.sparkSession.read.schema(SEGMENT).parquet(folder)
 
 
 def documents_in(files: DataFrame) -> DataFrame:
@@ -73,13 +78,14 @@ def documents_in(files: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+                row = {name: batch.column(name)[i].as_buffer() if pa.types.is_binary(batch.schema.field(name).type) else batch.column(name)[i].as_py()
+                       for name in batch.schema.names if name != "doc_ids"}
                 ids, n = decoded(row)
                 ends = np.cumsum(n)
-                raw = memoryview(ids.tobytes())
+                raw = memoryview(ids).cast("B") if len(ids) else b""
                 yield pa.RecordBatch.from_pydict({
                     "part": np.full(len(n), row["part"]), "segment": np.full(len(n), row["segment"]),
-                    "doc_id": pa.array(row["doc_ids"], pa.int64()), "before": ends - n, "n_tokens": n,
+                    "doc_id": batch.column("doc_ids")[i].values, "before": ends - n, "n_tokens": n,
                     "ids_crc32": np.array([zlib.crc32(raw[4 * (e - k):4 * e]) for e, k in zip(ends.tolist(), n.tolist())], np.int64)})
 
     return files.mapInArrow(run, DOCUMENT)
