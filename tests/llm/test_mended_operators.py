@@ -179,3 +179,39 @@ def test_vectors_of_double_precision_keep_their_digits(spark):
 
 def test_numbered_words_keep_their_order():
     assert numbered([b"b", b"a", b"b"])[0] == [b"b", b"a"]
+
+
+# token ids
+
+def test_words_are_found_by_their_hashes(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from voltframe.llm import vocab
+
+    path = vocab.tokenizer_path(vocab.WORD_VOCAB)
+    lib = Tokenizer.from_file(path)
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choice("abcdeé1.'") for _ in range(rng.choice([1, 2, 7, 8, 9, 16, 17, 40]))) for _ in range(rng.randint(0, 60))) for _ in range(200)]
+    texts += ["", " ", "\n\t", "x" * 700, "x" * 700 + " " + "x" * 701, "a\x00 a", "日本語 🙂", "<|endoftext|> it's", "don't 's\x0bb\x0c c\r\n"]
+    data = [t.encode() for t in texts]
+    ends = np.cumsum([0, *map(len, data)])
+    monkeypatch.setattr(vocab, "STORE_WORDS", 500)
+    for end_id in (None, 2):
+        for _ in range(2):      # new words, then known ones
+            ids, n = vocab.encode_rows(memoryview(b"".join(data)), ends, path, end_id)
+            stops = np.cumsum(n)
+            for text, a, b in zip(texts, stops - n, stops):
+                assert ids[a:b].tolist() == lib.encode(text, add_special_tokens=False).ids + ([end_id] if end_id else [])
+
+
+def test_the_table_of_words_takes_clashing_slots(monkeypatch):
+    from voltframe.llm import vocab
+
+    monkeypatch.setattr(vocab, "SLOT_BITS", 4)
+    store, keys = vocab.WordStore(), np.array([[7 << 60, (7 << 60) + 1, 7 << 60, (15 << 60) + 5, (15 << 60) + 6], [1, 2, 3, 4, 5]], np.uint64)
+    store.learn(keys[:, :3], np.arange(6, dtype=np.uint32), np.array([1, 2, 3]))
+    store.learn(keys[:, 3:], np.arange(2, dtype=np.uint32), np.array([1, 1]))
+    assert store.find(keys).tolist() == [0, 1, 2, 3, 4] and store.find(np.array([[7 << 60], [9]], np.uint64)).tolist() == [-1]
+    more = np.random.default_rng(1).integers(0, 2**63, (2, 3000)).astype(np.uint64)
+    store.learn(more, np.arange(3000, dtype=np.uint32), np.ones(3000, np.int64))     # the table grows
+    assert store.find(np.concatenate((keys, more), axis=1)).tolist() == list(range(3005))

@@ -1,8 +1,9 @@
 """Token ids of whole texts by a public tokenizer whose words never join across white space.
 
-The tokenizers library encodes every distinct word once; texts are then put together from the ids of their words. A slice
-of texts is cut at ASCII white space, its distinct words at the vocabulary's own boundaries, and the pieces' ids are kept
-between slices in a store of bounded size (it starts anew when full; results do not depend on it). Words with characters
+The tokenizers library encodes every distinct piece of a word once; texts are then put together from the ids of their words. A
+slice of texts is cut at ASCII white space and its words are looked up, all at once, in a table of the words met before; only new
+ones are cut at the vocabulary's own boundaries. The ids of words and of pieces are kept between slices in stores of bounded
+size (they start anew when full; results do not depend on them). Words are told apart by 128 bits of hash. Words with characters
 beyond the plain Latin range, where normalisation could differ, and words that may hold special tokens go to the library
 as they are.
 """
@@ -15,11 +16,15 @@ from functools import cache
 from itertools import chain, count
 
 import numpy as np
+import xxhash
 
-from voltframe.llm.common import numbered, ragged, words_of
+from voltframe.llm.common import mix64, ragged
 
 WORD_VOCAB = "word_bpe_49k.json"
 STORE_PIECES = 200_000
+STORE_WORDS = 1_000_000
+SLOT_BITS = 22
+LONG = 512
 TOGETHER = 256
 # The vocabulary's split pattern over lower-cased words of the characters U+0021-U+007E and U+00A1-U+00FF,
 # whose letters and numbers are spelt out; a line feed stands between words.
@@ -81,6 +86,9 @@ class Store:
 
     def add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         self.place.update(zip(pieces, count(len(self.place))))
+        self._append(ids, sizes)
+
+    def _append(self, ids: np.ndarray, sizes: np.ndarray) -> None:
         self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(sizes) - sizes))
         self.sizes = np.concatenate((self.sizes, sizes))
         self.ids = np.concatenate((self.ids, ids))
@@ -91,12 +99,111 @@ class Store:
         return self.ids[ragged(self.starts[at], sizes)], sizes
 
 
+class WordStore(Store):
+    """Ids of words, found by two hashes of theirs in an open table that is probed for many words at once."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.bits = SLOT_BITS
+        self.table = np.full(1 << self.bits, -1, np.int32)
+        self.keys = np.zeros((2, 0), np.uint64)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys[0] >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each word, or -1."""
+        out, slot, left = np.full(keys.shape[1], -1, np.int64), self._slots(keys), np.arange(keys.shape[1])
+        while len(left):
+            at = self.table[slot[left]]
+            left, at = left[at >= 0], at[at >= 0]
+            same = (self.keys[0, at] == keys[0, left]) & (self.keys[1, at] == keys[1, left])
+            out[left[same]] = at[same]
+            left = left[~same]
+            slot[left] = (slot[left] + 1) & (len(self.table) - 1)
+        return out
+
+    def learn(self, keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Add words that are not there yet, no two alike. The table is never more than half full."""
+        self.keys = np.concatenate((self.keys, keys), axis=1)
+        self._append(ids, sizes)
+        if 2 * len(self.sizes) > len(self.table):
+            self.bits = len(self.sizes).bit_length() + 1
+            self.table = np.full(1 << self.bits, -1, np.int32)
+            self._enter(0)
+        else:
+            self._enter(len(self.sizes) - len(sizes))
+
+    def _enter(self, from_: int) -> None:
+        number = np.arange(from_, len(self.sizes), dtype=np.int32)
+        slot, left = self._slots(self.keys[:, from_:]), np.arange(len(number))
+        while len(left):
+            free = left[self.table[slot[left]] < 0]
+            self.table[slot[free]] = number[free]
+            left = left[self.table[slot[left]] != number[left]]
+            slot[left] = (slot[left] + 1) & (len(self.table) - 1)
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_KEPT = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
+
+def cut_words(data: memoryview, row_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of all rows start and stop, and how many each row has."""
+    inside = ~_SPACE[np.frombuffer(data, np.uint8)]
+    joined = np.zeros(len(inside) + 1, bool)
+    if len(inside):
+        joined[1:-1] = inside[1:] & inside[:-1]
+    joined[row_ends] = False
+    starts = np.flatnonzero(inside & ~joined[:-1])
+    return starts, np.flatnonzero(inside & ~joined[1:]) + 1, np.diff(np.searchsorted(starts, row_ends))
+
+
+def word_keys(data: memoryview, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Two 64-bit hashes of every word, eight bytes of all words at a time; words of more than `LONG` bytes one by one."""
+    padded = np.concatenate((np.frombuffer(data, np.uint8), np.zeros(8, np.uint8)))
+    eight = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+    size = stops - starts
+    one = mix64(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    two = size.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    for i in np.flatnonzero(size > LONG).tolist():
+        whole = xxhash.xxh3_128_intdigest(data[starts[i]:stops[i]])
+        one[i], two[i] = whole >> 64, whole & (2 ** 64 - 1)
+    live, k = np.flatnonzero(size <= LONG), 0
+    while len(live):
+        lane = eight[starts[live] + k] & _KEPT[np.minimum(size[live] - k, 8)]
+        one[live] = mix64(one[live] + lane)
+        two[live] = mix64(two[live] ^ (lane * np.uint64(0xD6E8FEB86659FD93)))
+        k += 8
+        live = live[size[live] > k]
+    return np.stack((one, two))
+
+
 class WordIds:
-    """Ids of words, piece by piece; `ids_of` is all that callers need."""
+    """Ids of words, piece by piece; `occurrences` is all that callers need."""
 
     def __init__(self, path: str):
         self.path = path
-        self.young, self.old = Store(), Store()
+        self.words, self.young, self.old = WordStore(), Store(), Store()
+
+    def occurrences(self, data: memoryview, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A pool of ids, and the start and size of every word in it, repeated words included."""
+        if len(self.words.sizes) > STORE_WORDS:
+            self.words = WordStore()
+        keys = word_keys(data, starts, stops)
+        at = self.words.find(keys)
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            _, first, place = np.unique(keys[0, missing], return_index=True, return_inverse=True)
+            new = missing[first]
+            if (keys[1, missing] != keys[1, new][place]).any():
+                raise ValueError("two different words share a hash")
+            raw = bytes(data)
+            pool, begin, sizes = self.ids_of([raw[a:b] for a, b in zip(starts[new].tolist(), stops[new].tolist())])
+            at[missing] = len(self.words.sizes) + place
+            self.words.learn(keys[:, new], pool[ragged(begin, sizes)], sizes)
+        return self.words.ids, self.words.starts[at], self.words.sizes[at]
 
     def _learn(self, pieces: list[str]) -> None:
         """Bring all pieces into the young store: from the old one, or encoded by the library many at a time."""
@@ -152,16 +259,17 @@ def word_ids(path: str) -> WordIds:
 
 def encode_rows(data: memoryview, row_ends: np.ndarray, path: str, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Ids of every row in order and each row's count; `end_id` is appended to each row."""
-    words, counts = words_of(data, row_ends, lower=False)
-    distinct, at = numbered(words)
-    del words
-    pool, starts, sizes = word_ids(path).ids_of(distinct)
-    per_word = sizes[at]
-    ids = pool[ragged(starts[at], per_word)]
-    ends = np.concatenate(([0], np.cumsum(per_word)))
-    stop = np.cumsum(counts)
-    n = ends[stop] - ends[stop - counts]
+    first, stops, counts = cut_words(data, row_ends)
+    pool, starts, sizes = word_ids(path).occurrences(data, first, stops)
     if end_id is not None:
-        ids = np.insert(ids, np.cumsum(n), np.uint32(end_id))
-        n = n + 1
-    return ids, n
+        # The end id is one more word that follows the words of each row.
+        place = np.arange(len(starts)) + np.repeat(np.arange(len(counts)), counts)
+        counts = counts + 1
+        pool = np.append(pool, np.uint32(end_id))
+        closed = np.full((2, int(counts.sum())), [[len(pool) - 1], [1]])
+        closed[0, place], closed[1, place] = starts, sizes
+        starts, sizes = closed
+    ids = pool[ragged(starts, sizes)]
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    stop = np.cumsum(counts)
+    return ids, ends[stop] - ends[stop - counts]
