@@ -25,6 +25,7 @@ from voltframe.session import new_folder
 WORD_SPLIT = r"[ \t-\r]+"
 SLICE_BYTES = 4 << 20
 BATCH_BYTES = 8 << 20
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _shipped: set[str] = set()
 _open: list[list[str]] = []
 
@@ -75,6 +76,18 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside leave no shuffle files behind: these go when the table is written, not when the driver happens to
+    collect its garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def crc32_of(column: str) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 

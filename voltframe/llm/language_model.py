@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import crc32_of, mix64, numbered, read, ship, staged, text_bytes, words_of
+from voltframe.llm.common import crc32_of, mix64, numbered, read, ship, shuffles_removed, staged, text_bytes, words_of
 
 BLOCK_BYTES = 4 << 20
 RANGE_BITS = 8
@@ -48,13 +48,13 @@ SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score
 
 
 class Grams:
-    """Tokens of a block of documents and the distinct words, pairs and triples in them, each ordered by key.
+    """Tokens of a block of documents and the distinct words, pairs and triples in them, as far as asked for, each ordered by key.
 
     `token`, `pair` and `triple` number, for every token, the word and the pairs and triples that end with it. A text's first
     pair begins with the start (`left` is -1); it has no first triple (-1).
     """
 
-    def __init__(self, texts: pa.RecordBatch | pa.Table):
+    def __init__(self, texts: pa.RecordBatch | pa.Table, kinds: tuple[int, ...] = (WORDS, PAIRS, TRIPLES)):
         data, ends = text_bytes(_one(texts), "text")
         words, counts = words_of(data, ends)
         distinct, at = numbered(words)
@@ -78,23 +78,26 @@ class Grams:
         key = mix64(word_keys[before] * np.uint64(3) + np.uint64(1)) + word_keys[self.token]
         key[self.first] = mix64(np.full(len(self.first), _START)) + word_keys[self.token[self.first]]
         key = mix64(key)
-        pair_keys, self.pair = np.unique(key, return_inverse=True)
-        self.left, self.right = np.empty(len(pair_keys), np.int64), np.empty(len(pair_keys), np.int64)
         before[self.first] = -1
-        self.left[self.pair], self.right[self.pair] = before, self.token
-        later = np.ones(len(token), bool)
-        later[self.first] = False
-        later = np.flatnonzero(later)
-        triple_keys, place = np.unique(mix64(mix64(key[later - 1] * np.uint64(5) + np.uint64(3)) + word_keys[self.token[later]]), return_inverse=True)
-        self.triple = np.full(len(token), -1)
-        self.triple[later] = place
-        self.history, self.suffix = np.empty(len(triple_keys), np.int64), np.empty(len(triple_keys), np.int64)
-        self.history[place], self.suffix[place] = self.pair[later - 1], self.pair[later]
-        self.keys = (word_keys, pair_keys, triple_keys)
+        self.keys = {WORDS: word_keys}
+        if PAIRS in kinds:
+            self.keys[PAIRS], self.pair = np.unique(key, return_inverse=True)
+            self.left, self.right = np.empty((2, len(self.keys[PAIRS])), np.int64)
+            self.left[self.pair], self.right[self.pair] = before, self.token
+        if TRIPLES in kinds:
+            later = np.ones(len(token), bool)
+            later[self.first] = False
+            later = np.flatnonzero(later)
+            self.keys[TRIPLES], place = np.unique(mix64(mix64(key[later - 1] * np.uint64(5) + np.uint64(3)) + word_keys[self.token[later]]), return_inverse=True)
+            self.triple = np.full(len(token), -1)
+            self.triple[later] = place
+        if {PAIRS, TRIPLES} <= set(kinds):
+            self.history, self.suffix = np.empty((2, len(self.keys[TRIPLES])), np.int64)
+            self.history[place], self.suffix[place] = self.pair[later - 1], self.pair[later]
 
     def counts(self, kind: int, training: np.ndarray) -> np.ndarray:
         """Occurrences of each n-gram of a kind in the training documents."""
-        place = (self.token, self.pair, self.triple)[kind][np.repeat(training, self.sizes)]
+        place = (self.token if kind == WORDS else self.pair if kind == PAIRS else self.triple)[np.repeat(training, self.sizes)]
         return np.bincount(place[place >= 0], minlength=len(self.keys[kind]))
 
 
@@ -185,58 +188,57 @@ def resolved(asks: DataFrame, units: int, bits: int, depth: int = 1) -> DataFram
 class Automaton:
     """The states and arcs that a block can reach, from the block's n-grams and their counts in all training texts.
 
-    State 0 is the root, 1 the start, then come the known words and the known pairs. Arcs are sorted by (state, word).
+    State 0 is the root, 1 the start, then come the known words and, from `first_pair` on, the known pairs. An arc bears the
+    number of the pair or triple that it reads the end of, and the state it leaves; n-grams that no training text holds are no
+    arcs (they leave -1). So a token names the two arcs that may read it, and the carried state tells which of them does.
     """
 
     def __init__(self, g: Grams, words: np.ndarray, pairs: np.ndarray, triples: np.ndarray, n: int, v: int):
-        end = g.end_word
-        self.n_words = len(words)
+        self.g, end = g, g.end_word
         one = (words + ADD) / (n + ADD * (v + 1))
         self.base = np.log10(one)
-        after_word = np.zeros(len(words), np.int64)
+        self.root_to = np.zeros(len(words), np.int64)
         known = np.flatnonzero((words > 0) & (np.arange(len(words)) != end))
-        after_word[known] = 2 + np.arange(len(known))
-        after_pair = after_word[g.right]
+        self.root_to[known] = 2 + np.arange(len(known))
+        self.first_pair = 2 + len(known)
+        after_pair = self.root_to[g.right]
         held = np.flatnonzero((pairs > 0) & (g.right != end))
-        self.fail_to = np.concatenate(([0, 0], np.zeros(len(known), np.int64), after_word[g.right[held]]))
+        self.fail_to = np.concatenate(([0, 0], np.zeros(len(known), np.int64), after_pair[held]))
         begun = np.concatenate(([0, words[end]], words[known], pairs[held]))
         self.fail = np.log10(PRIOR / (begun + PRIOR))
-        after_pair[held] = 2 + len(known) + np.arange(len(held))
-        of_left = np.where(g.left < 0, 1, after_word[g.left])
+        after_pair[held] = self.first_pair + np.arange(len(held))
+        of_left = np.where(g.left < 0, 1, self.root_to[g.left])
         two = (pairs + PRIOR * one[g.right]) / (begun[of_left] + PRIOR)
-        seen2, seen3 = np.flatnonzero(pairs > 0), np.flatnonzero(triples > 0)
-        history, suffix = g.history[seen3], g.suffix[seen3]
-        three = (triples[seen3] + PRIOR * two[suffix]) / (pairs[history] + PRIOR)
-        key = np.concatenate((of_left[seen2] * self.n_words + g.right[seen2], after_pair[history] * self.n_words + g.right[suffix]))
-        order = np.argsort(key)
-        self.arcs = key[order]
-        self.weight = np.log10(np.concatenate((two[seen2], three)))[order]
-        self.to = np.concatenate((after_pair[seen2], after_pair[suffix]))[order]
-        self.root_to = after_word
-
-    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The states after reading a word each, and the weights of the failures and arcs taken."""
-        weight, state, left = np.zeros(len(state)), state.copy(), np.flatnonzero(state > 0)
-        while len(left):
-            key = state[left] * self.n_words + word[left]
-            at = np.minimum(np.searchsorted(self.arcs, key), max(len(self.arcs) - 1, 0))
-            has = self.arcs[at] == key if len(self.arcs) else np.zeros(len(left), bool)
-            go, stay = left[has], left[~has]
-            weight[go] += self.weight[at[has]]
-            state[go] = ~self.to[at[has]]  # read: marked by its complement until all have
-            weight[stay] += self.fail[state[stay]]
-            state[stay] = self.fail_to[state[stay]]
-            left = stay[state[stay] > 0]
-        rest = state == 0
-        weight[rest] += self.base[word[rest]]
-        return np.where(rest, self.root_to[word], ~state), weight
-
-    def traverse(self, token: np.ndarray, first: np.ndarray, sizes: np.ndarray, steps: int = STEPS) -> np.ndarray:
+        three = (triples + PRIOR * two[g.suffix]) / (pairs[g.history] + PRIOR)
+        # The last row stands for the triple that a text's first token has not.
+        self.pair_arcs = (np.where(pairs > 0, of_left, -1), np.log10(two), after_pair)
+        self.triple_arcs = (np.append(np.where(triples > 0, after_pair[g.history], -1), -1), np.append(np.log10(three), 0.0),
+                            np.append(after_pair[g.suffix], 0))
+
+    def step(self, state: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after reading the tokens at `at`, and the weights of the failures and arcs taken."""
+        state, weight, live = state.copy(), np.zeros(len(state)), np.arange(len(state))
+        for (leaves, weighs, leads), number, first in ((self.triple_arcs, self.g.triple, self.first_pair), (self.pair_arcs, self.g.pair, 1)):
+            arc = number[at[live]]
+            takes = leaves[arc] == state[live]
+            go, arc, live = live[takes], arc[takes], live[~takes]
+            weight[go] += weighs[arc]
+            state[go] = leads[arc]
+            fails = live[state[live] >= first]
+            weight[fails] += self.fail[state[fails]]
+            state[fails] = self.fail_to[state[fails]]
+        word = self.g.token[at[live]]
+        weight[live] += self.base[word]
+        state[live] = self.root_to[word]
+        return state, weight
+
+    def traverse(self, steps: int = STEPS) -> np.ndarray:
         """log10 probability of each text: its tokens from left to right, the state carried along.
 
         Texts run side by side, and long ones in pieces of `steps` tokens: no state remembers more than two words, so the state
         in which a piece begins is found by reading the two words before it from the root.
         """
+        first, sizes = self.g.first, self.g.sizes
         pieces = -(-sizes // steps)
         owner = np.repeat(np.arange(len(sizes)), pieces)
         start = (np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * steps
@@ -246,14 +248,14 @@ class Automaton:
         inner = np.flatnonzero(start > 0)
         carried = np.zeros(len(inner), np.int64)
         for back in (2, 1):
-            carried, _ = self.step(carried, token[at[inner] - back])
+            carried, _ = self.step(carried, at[inner] - back)
         state[inner] = carried
         order = np.argsort(-length, kind="stable")
         total = np.zeros(len(owner))
         running = np.searchsorted(-length[order], -np.arange(int(length.max())), "left")
         for t, k in enumerate(running.tolist()):
             live = order[:k]
-            state[live], weight = self.step(state[live], token[at[live] + t])
+            state[live], weight = self.step(state[live], at[live] + t)
             total[live] += weight
         return np.bincount(owner, total, len(sizes))
 
@@ -272,7 +274,7 @@ def scores(docs: pa.Table, replies: pa.Table, n: int, v: int) -> pa.Table:
     return pa.table({
         "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": g.sizes,
         "n_known": np.add.reduceat((words[g.token] > 0).astype(np.int64), g.first),
-        "base_score": np.add.reduceat(model.base[g.token], g.first), "score": model.traverse(g.token, g.first, g.sizes)})
+        "base_score": np.add.reduceat(model.base[g.token], g.first), "score": model.traverse()})
 
 
 def scored(docs: DataFrame, place: Column | None = None, block_bytes: int = BLOCK_BYTES, bits: int = RANGE_BITS) -> DataFrame:
@@ -294,12 +296,13 @@ def scored(docs: DataFrame, place: Column | None = None, block_bytes: int = BLOC
 
     def asks_of(kinds: tuple[int, ...]):
         def ask(group: pa.Table) -> pa.Table:
-            g, unit, training = Grams(group), group.column("block")[0].as_py(), ~group.column("held_out").to_numpy()
+            g, unit, training = Grams(group, kinds), group.column("block")[0].as_py(), ~group.column("held_out").to_numpy()
             return _table([row for k in kinds for row in asked(unit, k, g.keys[k], g.counts(k, training), 64 - bits, 0, 1 << bits)], ASK)
 
         return dealt.groupBy("block").applyInArrow(ask, ASK)
 
-    passes = [staged(resolved(asks_of(kinds), blocks, bits), "lm-answers") for kinds in PASSES]
+    with shuffles_removed(spark):
+        passes = [staged(resolved(asks_of(kinds), blocks, bits), "lm-answers") for kinds in PASSES]
     known = passes[0].agg(F.sum("n"), F.sum("v")).first()
     n, v = known[0] or 0, known[1] or 0
     replies = passes[0].unionByName(passes[1]).select("unit", "prefix", "kind", "totals")
