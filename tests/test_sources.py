@@ -3,6 +3,7 @@ import codecs
 import pytest
 
 from helpers import at, clock, found
+from voltframe.functions import scalars
 from voltframe.plans import silver
 from voltframe.sources import files, grid_xml, json_records, reference, thresholds, weather_json
 
@@ -94,6 +95,32 @@ def test_prefixed_namespaces(frame):
     assert values(frame, text.replace("xmlns=", "xmlns:ns='urn:y' xmlns=")) == [("00:00", 5.0)]
 
 
+def test_prefixes_are_part_of_the_markup_only(frame):
+    """Ends must name the tag they close, any letter may begin a prefix, and text is no tag."""
+    text = document(point(1, 5))
+    assert fault(frame, text.replace("<Point>", "<a:Point>").replace("</Point>", "</b:Point>")) == [("xml_parse_error", "malformed XML", "f1")]
+    assert values(frame, text.replace("Point>", "\u00e9:Point>")) == [("00:00", 5.0)]
+    psr = "<MktPSRType><psrType><![CDATA[<q:B10]]></psrType></MktPSRType>"
+    assert found(grid_xml.intervals(parse(frame, document(point(1, 1), extra=psr))), "psr_type_code") == [("<q:B10",)]
+
+
+def test_each_instant_is_read_once(frame):
+    plan = grid_xml.intervals(parse(frame, "<a/>"), "f", faults=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(scalars.ISO_TIMESTAMP) == 2 and plan.count("from_xml") == 1       # a start and an end
+
+
+def test_the_first_fault_in_order_is_named(frame):
+    """Whatever the place of the faults in the document."""
+    def series(points, **changed):
+        return "<TimeSeries>" + document(points, **changed).split("<TimeSeries>")[1].split("</TimeSeries>")[0] + "</TimeSeries>"
+
+    faulty = [(series(point(1, 5), start="x"), "missing or unreadable start or end"), (series(point(1, 5), res="P1D"), "unsupported resolution"),
+              (series(point(1, 5) + point(2, "NaN")), "value is not a number"), (series(point("x", 5)), "missing or unreadable position")]
+    docs = [("actual_load", reason, "<a>" + series(point(1, 1)) + "".join(t for t, _ in reversed(faulty[k:])) + "</a>") for k, (_, reason) in enumerate(faulty)]
+    read = grid_xml.read_documents(frame("dataset string, want string, text string", docs))
+    assert found(read.where("fault <=> want"), "want") == sorted((w,) for _, w, _ in docs)
+
+
 def test_scan_joins_the_audit_log(spark, frame, tmp_path):
     folder = tmp_path / "actual_load" / "NL"
     folder.mkdir(parents=True)

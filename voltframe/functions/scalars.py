@@ -13,6 +13,7 @@ ColumnLike = Column | str
 
 # The only duration form the grid documents use, and the forms of ISO timestamps.
 ISO_DURATION = r"^PT(?=\d)(?:(\d+)H)?(?:(\d+)M)?$"
+ISO_MINUTE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}Z\z"      # how grid documents write instants
 ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 
 
@@ -112,7 +113,8 @@ def iso_timestamp(text: ColumnLike) -> Column:
     full = F.regexp_replace(t, r"^(.{10}[T ]\d{2}:\d{2})(?=$|Z|[+-])", "$1:00")
     full = F.regexp_replace(full, r"(?<=:\d{2}|[.]\d{1,9})([+-]\d{2}):?(\d{2})?$", "$1:$2")
     full = F.regexp_replace(full, r"([+-]\d{2}):$", "$1:00")
-    return F.when(t.rlike(ISO_TIMESTAMP), full.try_cast("timestamp"))
+    minute = F.concat(F.substring(t, 1, 16), F.lit(":00Z"))
+    return F.when(t.rlike(ISO_MINUTE), minute.try_cast("timestamp")).when(t.rlike(ISO_TIMESTAMP), full.try_cast("timestamp"))
 
 
 def slot_count(start: ColumnLike, end: ColumnLike, step_minutes: ColumnLike) -> Column:
